@@ -17,12 +17,33 @@ def op4_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign(table(spark, sf_dir, "documents"), shards=24)
 
 
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), _vocabulary(), 1024)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .shared import shared_path
+    from .tokenfiles import digests, write
+
+    folder = shared_path(spark, "token-ids")
+    write(table(spark, sf_dir, "documents"), folder, _vocabulary())
+    return digests(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
