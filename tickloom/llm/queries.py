@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,13 @@ def op7_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(spark, folder)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import dedup_substrings
+
+    found = dedup_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
