@@ -12,6 +12,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: how many lines it has, how many went, and the text that stays as a digest and as itself."""
+    from .lines import dedup_lines
+
+    found = dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "text")
+
+
 def op4_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import assign
 
