@@ -20,6 +20,13 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "text")
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and each benchmark item that it contains; clean documents have none."""
+    from .decontaminate import matches
+
+    return matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import assign
 
