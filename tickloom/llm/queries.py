@@ -20,6 +20,13 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "text")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and each benchmark item that it contains; clean documents have none."""
     from .decontaminate import matches
