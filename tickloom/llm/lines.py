@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import units
-from .shared import partitions
 from .textbytes import WordSums, find_words, hash_spans, mix
 
 NEAR_WORDS = 5
@@ -230,7 +229,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     Columns of the input by these two names are replaced.
     """
-    buckets = 2 * partitions(docs.sparkSession)
+    buckets = units.bucket_count(docs)
     kept = [c for c in docs.columns if c not in (key, text, "n_lines", "n_removed")]
     # columns beside the text travel as one struct, whatever their names
     beside = docs.select(key, text, F.struct(F.lit(0).alias("__0"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(kept)]).alias("__kept"))

@@ -21,7 +21,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import units
-from .shared import partitions
 from .simhash import single_spaced
 from .textbytes import Words, WordSums, find_words, hash_spans, windows
 
@@ -114,7 +113,7 @@ def _remove(table, replies):
 
 def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_text (the kept words, one space apart)."""
-    buckets = 2 * partitions(docs.sparkSession)
+    buckets = units.bucket_count(docs)
     dealt = units.deal(docs, key, text)
     shared = units.answer(units.ask(dealt, None, _ask_anchors, buckets), _shared_anchors)
     later = units.answer(units.ask(dealt, shared, _ask_windows, buckets), _later_windows)

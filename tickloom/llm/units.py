@@ -26,6 +26,11 @@ ANSWER = "unit int, kind int, keys binary"
 NO_ID = np.iinfo(np.int64).max
 
 
+def bucket_count(docs: DataFrame) -> int:
+    """Half as many buckets as shuffle partitions: a unit sends a row to each bucket, so their product must stay low."""
+    return max(1, partitions(docs.sparkSession) // 2)
+
+
 def deal(docs: DataFrame, key: str, text: str, keep: list[str] | None = None) -> DataFrame:
     """Documents as (unit, doc_id, text, kept columns), all documents of an id in one unit."""
     count = 2 * partitions(docs.sparkSession)
