@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .shared import gapless, written
 from .textbytes import blocks
-from .tokens import encoder
+from .tokens import BLOCK_BYTES, encoder
 
 CAPACITY = 1024
 
@@ -122,7 +122,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, key: str
         coder = encoder(vocabulary)
         for batch in batches:
             rows: list[tuple[int, int, int, int, int]] = []
-            for first, end, data, at in blocks(batch.column(1), 8 << 20):
+            for first, end, data, at in blocks(batch.column(1), BLOCK_BYTES):
                 ids, bounds = coder.block(data, at)
                 for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
                     raw = memoryview(ids[a:b].astype("<u4").tobytes())

@@ -21,7 +21,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 #: Blocks of documents are cut near this many bytes; a longer document is a block by itself.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 _BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD_BASE = np.uint64(0xD1342543DE82EF95)
@@ -52,7 +52,7 @@ class _Powers:
 
     def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 2 * len(self.up), 1 << 16)
+            size = max(n + n // 8, 1 << 16)
             self.up, self.down = (
                 np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, b, dtype=np.uint64)]), dtype=np.uint64)
                 for b in (self.base, self.inverse)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .shared import partitions
 from .textbytes import blocks
-from .tokens import encoder
+from .tokens import BLOCK_BYTES, encoder
 
 KINDS = ("ids", "offsets", "keys")
 
@@ -74,7 +74,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, key: str = "doc_id", te
                 column = batch.column(0)
                 nulls += column.null_count
                 keys.append(column.fill_null(0).to_numpy(zero_copy_only=False))
-                for _, _, data, at in blocks(batch.column(1), 8 << 20):
+                for _, _, data, at in blocks(batch.column(1), BLOCK_BYTES):
                     ids, bounds = coder.block(data, at)
                     lengths.append(np.diff(bounds))
                     yield ids.tobytes()

@@ -16,6 +16,8 @@ import numpy as np
 from .textbytes import SPACE, hash_spans
 
 END_ID = 2
+#: Bytes of a block that is encoded at once.
+BLOCK_BYTES = 2 << 20
 #: Chunks that a worker keeps between blocks.
 KEPT_CHUNKS = 1_000_000
 _JOINED_BYTES = 1 << 15
@@ -58,9 +60,7 @@ class Encoder:
         self.byte_length = np.zeros(self.size, dtype=np.int64)
         for token, i in vocab.items():
             self.byte_length[i] = len(token)
-        self.keys = np.zeros(0, dtype=np.uint64)
-        self.at = np.zeros(1, dtype=np.int64)
-        self.ids = np.zeros(0, dtype=self.width)
+        self.kept = [_Kept(self.width), _Kept(self.width)]
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -102,33 +102,53 @@ class Encoder:
         end = np.append(start[1:], len(data))
         hashes = hash_spans(data, start, end)
         keys, example, which = np.unique(hashes, return_index=True, return_inverse=True)
-        place = np.searchsorted(self.keys, keys)
-        known = place < len(self.keys)
-        known[known] = self.keys[place[known]] == keys[known]
-        new = np.flatnonzero(~known)
-        ids, lengths = self._chunks(data.tobytes(), start[example[new]], end[example[new]])
-        # chunk numbers below: the kept ones, then the new ones, then the end of a document
-        n = len(self.keys)
-        flat = np.concatenate([self.ids, ids, np.array([END_ID], dtype=self.width)])
-        at = np.concatenate([self.at, self.at[-1] + np.cumsum(lengths)])
-        at = np.append(at, at[-1] + 1)
-        number = np.where(known, place, 0)
-        number[new] = n + np.arange(len(new))
-        order = np.insert(number[which], first[1:], n + len(new))
+        number, base = np.full(len(keys), -1, dtype=np.int64), 0
+        for kept in self.kept:
+            place = np.searchsorted(kept.keys, keys)
+            hit = place < len(kept.keys)
+            hit[hit] = kept.keys[place[hit]] == keys[hit]
+            number[hit] = base + place[hit]
+            base += len(kept.keys)
+        new = np.flatnonzero(number < 0)
+        number[new] = base + np.arange(len(new))
+        raw = data.tobytes()
+        ids, lengths = self._chunks(raw, start[example[new]], end[example[new]])
+        # chunk numbers: the kept ones, the new ones, and one for the end of a document
+        flat = np.concatenate([*(x.ids for x in self.kept), ids, np.array([END_ID], dtype=self.width)])
+        sizes = np.concatenate([*(x.lengths for x in self.kept), lengths, [1]])
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        order = np.insert(number[which], first[1:], base + len(new))
         result = gather(flat, at, order)
-        bounds = np.concatenate([[0], np.cumsum(np.diff(at)[order])])
+        bounds = np.concatenate([[0], np.cumsum(sizes[order])])
         starts = np.append(first[:-1] + np.arange(len(first) - 1), len(order))
-        self._keep(keys[new], flat[:-1], at[:-1])
+        self._keep(_Kept(self.width, keys[new], ids, lengths))
         return result, bounds[starts]
 
-    def _keep(self, new: np.ndarray, flat: np.ndarray, at: np.ndarray) -> None:
-        new = new[: max(0, KEPT_CHUNKS - len(self.keys))]
-        if len(new):
-            keys = np.concatenate([self.keys, new])
-            order = np.argsort(keys, kind="stable")
-            self.keys = keys[order]
-            self.ids = gather(flat, at, order)
-            self.at = np.concatenate([[0], np.cumsum(np.diff(at)[order])])
+    def _keep(self, new: _Kept) -> None:
+        old, recent = self.kept
+        if len(old.keys) + len(recent.keys) + len(new.keys) > KEPT_CHUNKS:
+            return
+        recent = recent.merged(new)
+        if 4 * len(recent.keys) > len(old.keys):
+            old, recent = old.merged(recent), _Kept(self.width)
+        self.kept = [old, recent]
+
+
+class _Kept:
+    """Sorted chunk hashes with the chunks' ids."""
+
+    def __init__(self, width: np.dtype, keys=None, ids=None, lengths=None):
+        self.keys = np.zeros(0, np.uint64) if keys is None else keys
+        self.ids = np.zeros(0, width) if ids is None else ids
+        self.lengths = np.zeros(0, np.int64) if lengths is None else lengths
+
+    def merged(self, other: _Kept) -> _Kept:
+        keys = np.concatenate([self.keys, other.keys])
+        order = np.argsort(keys, kind="stable")
+        lengths = np.concatenate([self.lengths, other.lengths])
+        at = np.concatenate([[0], np.cumsum(lengths)])
+        ids = gather(np.concatenate([self.ids, other.ids]), at, order)
+        return _Kept(self.ids.dtype, keys[order], ids, lengths[order])
 
 
 def gather(flat: np.ndarray, at: np.ndarray, order: np.ndarray) -> np.ndarray:
