@@ -40,7 +40,8 @@ def op4_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign(table(spark, sf_dir, "documents"), shards=24)
 
 
-def _vocabulary() -> str:
+def vocabulary() -> str:
+    """The vocabulary file that the token queries use."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -49,7 +50,7 @@ def _vocabulary() -> str:
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
-    return pack(table(spark, sf_dir, "documents"), _vocabulary(), 1024)
+    return pack(table(spark, sf_dir, "documents"), vocabulary(), 1024)
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +64,7 @@ def op7_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .tokenfiles import digests, write
 
     folder = shared_path(spark, "token-ids")
-    write(table(spark, sf_dir, "documents"), folder, _vocabulary())
+    write(table(spark, sf_dir, "documents"), folder, vocabulary())
     return digests(spark, folder)
 
 
@@ -80,6 +81,12 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op10_language_model_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
