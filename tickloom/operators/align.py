@@ -82,6 +82,11 @@ def assign_forward(snapshots: DataFrame, trades: DataFrame) -> DataFrame:
     return ahead.filter(F.col("kind") == TRADE).select(*KEYS, "seq", "frame_no", "ingested_us", "trade.*")
 
 
+def frame_summary(frames: DataFrame) -> DataFrame:
+    """Per day: number of frames, first and last time, last frame_no."""
+    return frames.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("frame_count"), F.min("event_us").alias("first_us"), F.max("event_us").alias("last_us"), F.max("frame_no").alias("last_frame"))
+
+
 def lagged_prices(frames: DataFrame, price: str, windows: Windows = Windows(), order: tuple[str, str] = ("event_us", "frame_no")) -> DataFrame:
     """The price of the last frame at or before t - lag, for each lag; a null price there is not skipped."""
     time, number = order

@@ -134,7 +134,7 @@ def deep_book(frames: DataFrame, assigned: DataFrame, memory: Memory = Memory(),
     missing = dense.withColumn("state", missing_state(*values, memory)).withColumn("__fresh", F.lit(False)).select(visible.columns)
     both = visible.unionByName(missing)
     if flags is not None:
-        both = both.join(F.broadcast(flags.select(*KEYS, "book_total_depth_unusable", "trade_side_nullable")), list(KEYS), "left")
+        both = both.join(flags.select(*KEYS, "book_total_depth_unusable", "trade_side_nullable"), list(KEYS), "left")
         unusable, nullable = (F.coalesce(F.col(c), F.lit(False)) for c in ("book_total_depth_unusable", "trade_side_nullable"))
     else:
         unusable = nullable = F.lit(False)

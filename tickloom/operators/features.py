@@ -20,7 +20,7 @@ def market_state(frames: DataFrame, extension: DataFrame | None, daily: DataFram
     ``daily`` one row for each symbol and day with price_open.
     """
     bid, ask = (X.usable_levels(F.col(f"book_asof.{s}_levels")) for s in ("bid", "ask"))
-    df = frames.join(F.broadcast(daily.select(*KEYS, F.col("price_open").alias("day_open"))), list(KEYS), "left")
+    df = frames.join(daily.select(*KEYS, F.col("price_open").alias("day_open")), list(KEYS), "left")
     df = df.select(
         *[c for c in frames.columns if c not in ("snap", "book_asof", "trade_asof")],
         "day_open",
@@ -73,7 +73,7 @@ def feature_store(base: DataFrame, technicals: DataFrame, daily: DataFrame, loca
     context = daily.select(
         *KEYS, (F.col("buy_foreign_quantity") - F.col("sell_foreign_quantity")).alias("__foreign"), F.col("total_volume").alias("__total")
     )
-    df = base.join(F.broadcast(technicals), list(KEYS), "left").join(F.broadcast(context), list(KEYS), "left")
+    df = base.join(technicals, list(KEYS), "left").join(context, list(KEYS), "left")
     price, closed = F.col("current_price"), X.time_of_day(F.col(local_us)) >= AFTER_CLOSE_US
     relative = X.safe_div(F.col("cum_volume"), F.col("avg_volume_20d"))
     return df.withColumns(

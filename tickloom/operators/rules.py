@@ -151,7 +151,7 @@ def validation_status(results: DataFrame, books: DataFrame, trades: DataFrame) -
         *[F.count_if(F.col("status") == s).alias(f"{s}_count") for s in ("pass", "fail", "warn", "skip")],
         named("fail").alias("failing_rules"),
         named("warn").alias("warning_rules"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("rule_id", "status")))).alias("status_by_rule"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.concat_ws(".", "scope", "rule_id").alias("rule"), "status")))).alias("status_by_rule"),
     )
     out = counts.join(unusable, list(KEYS), "left").join(nullable, list(KEYS), "left").fillna(False, ["book_total_depth_unusable", "trade_side_nullable"])
     degraded = (F.col("warn_count") > 0) | F.col("book_total_depth_unusable") | F.col("trade_side_nullable")

@@ -150,11 +150,11 @@ def technicals(bars: str) -> dict[str, str]:
         "tr0": f"SELECT *, lag(close) OVER w AS pc, row_number() OVER w AS bar_no FROM {bars} WINDOW w AS (PARTITION BY symbol ORDER BY date)",
         "tr1": """SELECT symbol, date, bar_no, CASE WHEN pc IS NULL THEN high - low ELSE greatest(high - low, abs(high - pc), abs(low - pc)) END AS tr
             FROM tr0 WHERE high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL""",
-        "at": "SELECT symbol, date, CASE WHEN bar_no >= 15 AND count(tr) OVER w = 14 THEN avg(tr) OVER w END AS atr_14 FROM tr1 WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 13 PRECEDING)",
+        "avtr": "SELECT symbol, date, CASE WHEN bar_no >= 15 AND count(tr) OVER w = 14 THEN avg(tr) OVER w END AS atr_14 FROM tr1 WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS 13 PRECEDING)",
         "tech": f"""SELECT b.symbol, b.date, b.close AS bar_close, count(*) OVER (PARTITION BY b.symbol ORDER BY b.date) AS available_days, {carry},
             last_value(CASE WHEN v.date IS NOT NULL THEN struct_pack(v := v.avg_volume_20d) END IGNORE NULLS) OVER (PARTITION BY b.symbol ORDER BY b.date).v AS avg_volume_20d,
             last_value(CASE WHEN a.date IS NOT NULL THEN struct_pack(v := a.atr_14) END IGNORE NULLS) OVER (PARTITION BY b.symbol ORDER BY b.date).v AS atr_14
-            FROM {bars} b LEFT JOIN mv m USING (symbol, date) LEFT JOIN vm v USING (symbol, date) LEFT JOIN at a USING (symbol, date)""",
+            FROM {bars} b LEFT JOIN mv m USING (symbol, date) LEFT JOIN vm v USING (symbol, date) LEFT JOIN avtr a USING (symbol, date)""",
     }
 
 
