@@ -90,31 +90,26 @@ def frame_summary(frames: DataFrame) -> DataFrame:
 def lagged_prices(frames: DataFrame, price: str, windows: Windows = Windows(), order: tuple[str, str] = ("event_us", "frame_no")) -> DataFrame:
     """The price of the last frame at or before t - lag, for each lag; a null price there is not skipped."""
     time, number = order
-    out = frames
-    for name, lag in windows.lags.items():
-        w = Window.partitionBy(*KEYS).orderBy(time).rangeBetween(Window.unboundedPreceding, -lag)
-        out = out.withColumn(f"price_lag_{name}", F.max(F.struct(number, price)).over(w)[price])
-    return out
+    by_time = Window.partitionBy(*KEYS).orderBy(time)
+    last = lambda lag: F.max(F.struct(number, price)).over(by_time.rangeBetween(Window.unboundedPreceding, -lag))
+    return frames.withColumns({f"price_lag_{name}": last(lag)[price] for name, lag in windows.lags.items()})
 
 
 def realized_volatility(frames: DataFrame, price: str, windows: Windows = Windows()) -> DataFrame:
     """Root of summed squared frame returns in (t - w, t], without the return into the first frame there.
 
-    Prefix sums of squared returns are taken at the frame and at the first frame of its window; the second is found
-    by its number with an equi-join on the same partitioning.
+    A running sum of squared returns is taken at the frame and at the first frame of its window, which is the least
+    frame_no of the time range; their difference needs no join.
     """
     rows = Window.partitionBy(*KEYS).orderBy("frame_no")
     to_date = rows.rowsBetween(Window.unboundedPreceding, 0)
-    r = X.simple_return(F.col(price), F.lag(price).over(rows))
-    base = frames.withColumn("frame_return", r)
-    base = base.withColumn("__sq", F.coalesce(F.sum(F.col("frame_return") ** 2).over(to_date), F.lit(0.0)))
-    base = base.withColumn("__n", F.count("frame_return").over(to_date))
     by_time = Window.partitionBy(*KEYS).orderBy("event_us")
-    for name, size in windows.volatility.items():
-        base = base.withColumn(f"__start_{name}", F.count(F.lit(1)).over(by_time.rangeBetween(Window.unboundedPreceding, -size)) + 1)
-    sums = base.select(*KEYS, F.col("frame_no").alias("__at"), F.col("__sq").alias("__sq0"), F.col("__n").alias("__n0"))
+    base = frames.withColumn("frame_return", X.simple_return(F.col(price), F.lag(price).over(rows)))
+    base = base.withColumns({"__sq": F.coalesce(F.sum(F.col("frame_return") ** 2).over(to_date), F.lit(0.0)), "__n": F.count("frame_return").over(to_date)})
+    first = {f"__first_{n}": F.min(F.struct("frame_no", "__sq", "__n")).over(by_time.rangeBetween(-size + 1, 0)) for n, size in windows.volatility.items()}
+    base = base.withColumns(first)
+    out = {}
     for name in windows.volatility:
-        joined = base.withColumn("__at", F.col(f"__start_{name}")).join(sums, [*KEYS, "__at"], "left").drop("__at")
-        some = F.col("__n") > F.col("__n0")
-        base = joined.withColumn(f"rv_{name}", F.when(some, F.sqrt(F.greatest(F.col("__sq") - F.col("__sq0"), F.lit(0.0))))).drop("__sq0", "__n0")
-    return base.drop("__sq", "__n", *[f"__start_{n}" for n in windows.volatility])
+        at = F.col(f"__first_{name}")
+        out[f"rv_{name}"] = F.when(F.col("__n") > at["__n"], F.sqrt(F.greatest(F.col("__sq") - at["__sq"], F.lit(0.0))))
+    return base.withColumns(out).drop("__sq", "__n", *first)

@@ -21,11 +21,9 @@ LEVEL = (*KEYS, "side", "price")
 
 def visible_levels(frames: DataFrame, scale: int = 6) -> DataFrame:
     """(keys, frame_no, side, price, volume) of the as-of book of each frame; of equal prices the last counts."""
-    sides = [
-        frames.select(*KEYS, "frame_no", "event_us", F.lit(side).alias("side"), F.posexplode(F.col(f"book_asof.{side}_levels")).alias("pos", "level"))
-        for side in ("ask", "bid")
-    ]
-    rows = sides[0].unionByName(sides[1]).filter("level.price is not null and level.volume is not null")
+    tagged = lambda side: F.transform(F.coalesce(F.col(f"book_asof.{side}_levels"), F.array()), lambda x, i: F.struct(F.lit(side).alias("side"), i.alias("pos"), x.alias("level")))
+    both = frames.select(*KEYS, "frame_no", "event_us", F.explode(F.concat(tagged("ask"), tagged("bid"))).alias("x"))
+    rows = both.select(*KEYS, "frame_no", "event_us", "x.*").filter("level.price is not null and level.volume is not null")
     return (
         rows.withColumn("price", X.price_token(F.col("level.price"), scale))
         .groupBy(*KEYS, "frame_no", "event_us", "side", "price")
@@ -217,8 +215,6 @@ def depth_extension(frames: DataFrame, levels: DataFrame, depth: int = 5, scale:
 
 def visible_raw(frames: DataFrame, scale: int = 6) -> DataFrame:
     """Usable levels of the as-of book in their order, numbered from 1."""
-    sides = [
-        frames.select(*KEYS, "frame_no", F.lit(side).alias("side"), F.posexplode(X.usable_levels(F.col(f"book_asof.{side}_levels"), scale)).alias("pos", "level"))
-        for side in ("ask", "bid")
-    ]
-    return sides[0].unionByName(sides[1]).select(*KEYS, "frame_no", "side", (F.col("pos") + 1).alias("nth"), F.col("level.price").alias("price"), F.col("level.volume").alias("volume"))
+    usable = lambda side: X.usable_levels(F.coalesce(F.col(f"book_asof.{side}_levels"), F.array()), scale)
+    tagged = lambda side: F.transform(usable(side), lambda x, i: F.struct(F.lit(side).alias("side"), (i + 1).alias("nth"), x["price"].alias("price"), x["volume"].alias("volume")))
+    return frames.select(*KEYS, "frame_no", F.explode(F.concat(tagged("ask"), tagged("bid"))).alias("x")).select(*KEYS, "frame_no", "x.*")

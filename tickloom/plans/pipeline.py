@@ -1,4 +1,7 @@
-"""The whole plan: aligned frames, deep book, market state, features, quality and the package, lazily composed."""
+"""The whole plan: aligned frames, deep book, market state, features, quality and the package.
+
+Everything is lazy but for the aligned frames, which half a dozen later steps read.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import align, daily, deep_book, features
 from ..params import KEYS, Memory, Windows
+from ..staging import written
 
 STATE = (
     "event_us last_trade_price last_trade_volume last_trade_side cum_volume cum_trade_value trade_count_intraday best_bid best_ask best_bid_size best_ask_size "
@@ -24,7 +28,8 @@ SCORES = (
 
 
 def frames_with_memory(snapshots: DataFrame, books: DataFrame, trades: DataFrame, windows: Windows = Windows(), memory: Memory = Memory()) -> tuple[DataFrame, DataFrame]:
-    frames = align.align(snapshots, books, trades, windows)
+    """Frames and the remembered levels of each.  The frames are read by several steps and so written once."""
+    frames = written(align.align(snapshots, books, trades, windows), "frames")
     levels = deep_book.deep_book(frames, align.assign_forward(snapshots, trades), memory)
     return frames, levels
 

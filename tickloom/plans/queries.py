@@ -20,11 +20,11 @@ FRAME = ["symbol", "trading_date", "frame_no"]
 NAMES, WINDOWS_MS = ("2h", "6h", "2h", "6h"), (7_200_000, 21_600_000)
 
 
-def query(sql: str | None = None):
-    """Registers a query by its function's name; what it returns is rounded for comparison."""
+def query(sql: str | None = None, places: int = 6):
+    """Registers a query by its function's name; what it returns is rounded to ``places`` for comparison."""
 
     def add(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[f.__name__] = lambda spark, sf_dir: B.rounded(f(spark, sf_dir))
+        QUERIES[f.__name__] = lambda spark, sf_dir: B.rounded(f(spark, sf_dir), places)
         if sql:
             SQL[f.__name__] = sql
         return f
@@ -255,7 +255,7 @@ _QUALITY = (
 )
 
 
-@query(O.sql(O.ALL, "SELECT " + O.columns(*_QUALITY) + " FROM quality"))
+@query(O.sql(O.ALL, "SELECT " + O.columns(*_QUALITY, places=9) + " FROM quality"), places=9)
 def l3p4_feature_quality(spark, sf_dir):
     return _features(spark, sf_dir).select(*_QUALITY[1], *_QUALITY[0])
 
@@ -263,7 +263,7 @@ def l3p4_feature_quality(spark, sf_dir):
 _PACKED = {"market_state": ["mid_price", "cum_volume", "vwap_intraday"], "feature_store": ["rv_6h", "price_to_ma20", "relative_volume_day"], "feature_quality": ["feature_confidence", "data_quality_score"]}
 
 
-@query(O.sql(O.ALL, "SELECT " + O.columns([c for cs in _PACKED.values() for c in cs], FRAME) + " FROM quality"))
+@query(O.sql(O.ALL, "SELECT " + O.columns([c for cs in _PACKED.values() for c in cs], FRAME, places=9) + " FROM quality"), places=9)
 def l3p5_package(spark, sf_dir):
     packed = pipeline.feature_package(_features(spark, sf_dir))
     return packed.select(*FRAME, *[F.col(s)[c].alias(c) for s, cs in _PACKED.items() for c in cs])
