@@ -2,38 +2,13 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..staging import shared_path, written
 
-@functools.cache
-def _local_folder() -> str:
-    return "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder that driver and executors share (spark.checkpoint.dir).
-
-    Only where that setting is missing, as in local tests, a temporary folder takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = _local_folder()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows from a table written to the shared folder: lineage ends here, and lost executors lose nothing."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["components", "gapless", "partitions", "shared_path", "written"]
 
 
 def partitions(spark: SparkSession) -> int:
