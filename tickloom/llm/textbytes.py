@@ -7,6 +7,8 @@ sequences in every process, which lets tasks compare words, lines and windows wi
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +29,18 @@ _BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD_BASE = np.uint64(0xD1342543DE82EF95)
 
 
+@functools.cache
+def _libc() -> ctypes.CDLL:
+    return ctypes.CDLL(None)
+
+
+def release_memory() -> None:
+    """Gives memory back that earlier tasks of this reused worker no longer need (malloc_trim where libc has it)."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc(), "malloc_trim"):
+        _libc().malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (two xor-shift-multiply rounds)."""
     x = x.astype(np.uint64, copy=True)
@@ -89,6 +103,7 @@ def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
 
 def blocks(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive runs of rows of about ``limit`` bytes."""
+    release_memory()
     data, at = buffers(column)
     first, n = 0, len(at) - 1
     while first < n:
