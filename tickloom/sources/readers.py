@@ -46,7 +46,7 @@ def read_lines(spark: SparkSession, root: str, group: str, symbols: str | None =
 
 def read_lenient(spark: SparkSession, root: str, group: str, symbols: str | None = None) -> DataFrame:
     """Files of any JSON shape, each read as one text (files of a symbol's day are small)."""
-    texts = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root)
+    texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root, wholetext=True)
     located = _located(texts, group, symbols)
     return lenient_json(located, "value", SCHEMAS[group].replace("symbol string, ", "", 1))
 
