@@ -1,11 +1,13 @@
 """SimHash near-duplicates by meet-in-the-middle ball hashing.
 
 Fingerprint: texts are lower-cased (A-Z only) and cut into words; each 3-word shingle, repeats included, is joined by
-single spaces and hashed with XXH64 (seed 42); a bit is set if it is set in over half the hashes.
+single spaces and hashed with XXH64 (seed 42); a bit is set if it is set in over half the hashes.  Shingle width and
+radius are parameters; 3 words and two bits are what they are without.
 
 Links: fingerprints at most two bits apart.  Every distinct fingerprint emits itself and its 64 one-bit neighbours,
 all variants within half the radius.  Two fingerprints link exactly if they share a variant, and no variant can be
 emitted by more than 65 distinct fingerprints, so copies of a text, however many, count once and no group is large.
+(A radius of four has 2081 variants for each.)
 Fingerprints sharing a variant are chained in order, which joins the same components as all their pairs; each chained
 pair is verified by its bit distance and pairs found through several variants are kept once.
 
@@ -17,7 +19,9 @@ often as they come; other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +38,15 @@ RADIUS = 2
 SEED = 42
 
 
-def shingle_hashes(text: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def shingle_hashes(text: bytes, start: np.ndarray, end: np.ndarray, width: int = SHINGLE_WORDS) -> np.ndarray:
     """XXH64 of each shingle of one document, whose words are already one space apart in ``text``."""
     digest = xxhash.xxh64_intdigest
     n = len(start)
     if not n:
         return np.zeros(0, np.uint64)
-    if n < SHINGLE_WORDS:
+    if n < width:
         return np.array([digest(text[start[0] : end[-1]], SEED)], dtype=np.uint64)
-    a, b = start[: n - SHINGLE_WORDS + 1].tolist(), end[SHINGLE_WORDS - 1 :].tolist()
+    a, b = start[: n - width + 1].tolist(), end[width - 1 :].tolist()
     return np.array([digest(text[i:j], SEED) for i, j in zip(a, b)], dtype=np.uint64)
 
 
@@ -71,7 +75,7 @@ def single_spaced(data: np.ndarray, words) -> tuple[bytes, np.ndarray, np.ndarra
     return out.tobytes(), start, end
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fingerprints(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.zeros(batch.num_rows, dtype=np.uint64)
         for first, end, data, at in blocks(batch.column(1)):
@@ -80,30 +84,33 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for i in range(end - first):
                 a, b = words.first[i], words.first[i + 1]
                 if b > a:
-                    prints[first + i] = majority(shingle_hashes(text, start[a:b], stop[a:b]))
+                    prints[first + i] = majority(shingle_hashes(text, start[a:b], stop[a:b], width))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "print"])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, print): the fingerprint as a signed long."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id long, print long")
+    return rows.mapInArrow(functools.partial(_fingerprints, width=width), "doc_id long, print long")
 
 
-def linked(prints: DataFrame) -> DataFrame:
+def linked(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column print) that join the components of the link relation."""
+    if radius % 2:
+        raise ValueError("the radius must be even: both sides emit the variants within half of it")
     distinct = prints.select("print").distinct()
-    bits = F.array(F.lit(0).cast("long"), *[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
+    flips = [sum(1 << i for i in at) for n in range(radius // 2 + 1) for at in combinations(range(64), n)]
+    bits = F.array(*[F.lit(x if x < 1 << 63 else x - (1 << 64)).cast("long") for x in flips])
     emitted = distinct.select("print", F.explode(F.transform(bits, lambda x: F.col("print").bitwiseXOR(x))).alias("variant"))
     before = F.lag("print").over(Window.partitionBy("variant").orderBy("print"))
     pairs = emitted.select(F.col("print").alias("a"), before.alias("b")).filter(F.col("b").isNotNull())
-    return pairs.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS).distinct()
+    return pairs.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).distinct()
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every document; component_id is the smallest doc_id reachable."""
-    prints = written(fingerprints(docs, key, text), "prints")
-    groups = components(linked(prints)).withColumnRenamed("node", "print").withColumnRenamed("component", "root")
+    prints = written(fingerprints(docs, key, text, width), "prints")
+    groups = components(linked(prints, radius)).withColumnRenamed("node", "print").withColumnRenamed("component", "root")
     smallest = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
     # one row per distinct fingerprint from here: copies of a text have met already
     named = written(smallest.join(groups, "print", "left").withColumn("root", F.coalesce("root", "print")), "named")
