@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 
-from tickloom.llm.language import CLASS_WORDS, CLASSES, STATE, Model, score_documents
+from tickloom.llm.language import CLASS_WORDS, CLASSES, STATE, Model, learn, score_documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -99,3 +99,13 @@ def test_odd_tables(spark, docs, empty_docs):
     assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in rows) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
     mixed = score_documents(spark.createDataFrame([(None, "a b"), (None, "a"), (1, "")], "doc_id long, text string")).collect()
     assert len(mixed) == 3 and {r.train_tokens for r in mixed} == {5}  # id 1 is held out
+
+
+def test_every_training_token_is_learned_from(spark):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 50, n)) for n in (3, 700, 0, 5000, 40)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    model = Model(np.zeros(0, np.uint64), np.full(10, 0.1))
+    before = model.flat()
+    assert learn(rows, model) == sum(len(tokens(t)) for t in texts)
+    assert np.isfinite(model.flat()).all() and not np.allclose(before, model.flat())

@@ -7,8 +7,8 @@ The recurrent model reads and predicts ``CLASSES * CLASS_WORDS`` symbols: the mo
 symbol for every other word, whose probability is then shared out by the unigram counts, so that a text's score is a
 proper log10 probability.  A symbol's probability is that of its class times that inside its class.  Weights start
 at the unigram model and are learned by truncated backpropagation through time: in each of ``ROUNDS`` rounds every
-task trains a copy on its part of a fixed share (one in ``SHARE``) of the training documents, by a hash of the id,
-and the copies are averaged, weighted by their tokens.  Scoring carries the state through each whole document, window
+task trains a copy on all training documents of its part, block by block, and the copies are averaged, weighted by
+their tokens.  Scoring carries the state through each whole document, window
 by window.
 
 Counting and scoring compare words by 64-bit hashes.  Texts are dealt to units once; units ask for the counts of
@@ -38,7 +38,6 @@ CLASSES = 32
 CLASS_WORDS = 32
 STATE = 16
 ROUNDS = 3
-SHARE = 10
 STREAMS = 64
 WINDOW = 16
 SCORE_WINDOW = 32
@@ -256,15 +255,18 @@ class Model:
         found |= {"gates": d_table, "state": d_state}
         return -float(logp.sum()), found, h
 
-    def train(self, symbols: np.ndarray, fresh: np.ndarray, rate: float) -> None:
-        """One pass of Adam over a token sequence, cut into parallel streams."""
+    def train(self, symbols: np.ndarray, fresh: np.ndarray, rate: float, adam: dict) -> int:
+        """One pass of Adam over a token sequence, cut into parallel streams; ``adam`` (empty at first) carries its
+        state to the next sequence.  Returns how many tokens of the sequence the streams took."""
         streams = max(1, min(STREAMS, len(symbols) // (4 * WINDOW)))
         length = len(symbols) // streams
         x, f = (v[: streams * length].reshape(streams, length).T for v in (symbols, fresh))
         h = np.zeros((streams, STATE), np.float32)
-        mean = {k: np.zeros_like(v) for k, v in self.w.items()}
-        square = {k: np.zeros_like(v) for k, v in self.w.items()}
-        for i, t in enumerate(range(0, length, WINDOW), 1):
+        if not adam:
+            adam |= {"steps": 0} | {name: {k: np.zeros_like(v) for k, v in self.w.items()} for name in ("mean", "square")}
+        mean, square, done = adam["mean"], adam["square"], adam["steps"]
+        for i, t in enumerate(range(0, length, WINDOW), done + 1):
+            adam["steps"] = i
             window = x[t : t + WINDOW]
             _, found, h = self.gradients(window, f[t : t + WINDOW], h)
             for k, g in found.items():
@@ -272,6 +274,7 @@ class Model:
                 mean[k] += 0.1 * (g - mean[k])
                 square[k] += 0.01 * (g * g - square[k])
                 self.w[k] = (self.w[k] - rate * mean[k] / (1 - 0.9**i) / (np.sqrt(square[k] / (1 - 0.99**i)) + 1e-6)).astype(np.float32)
+        return streams * length
 
     def score(self, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Natural log probability of each whole document, its state carried from window to window."""
@@ -305,27 +308,30 @@ class Model:
         return out
 
 
-def learn(texts: DataFrame, model: Model, key: str) -> None:
-    """Rounds of training in the tasks, averaged; ``texts`` has the key and the column text."""
-    share = texts.filter(F.pmod(F.xxhash64(F.lit("train"), F.col(key)), F.lit(SHARE)) == 0).select("text")
+def learn(texts: DataFrame, model: Model) -> int:
+    """Rounds of training in the tasks, averaged; ``texts`` has the column text.  Returns the tokens of a round."""
+    share, tokens = texts.select("text"), 0
     for number in range(ROUNDS):
         flat, rate = model.flat(), RATES[number]
 
         def run(batches: Iterator[pa.RecordBatch], flat=flat, rate=rate) -> Iterator[pa.RecordBatch]:
-            symbols, fresh = [], []
+            own, adam, learned = Model(np.zeros(0, np.uint64), np.ones(1)), {}, 0
+            own.load(flat)
+            symbols, fresh = np.zeros(0, np.int64), np.zeros(0, dtype=bool)
             for batch in batches:
                 for _, _, keys, first in word_keys(batch.column(0)):
-                    symbols.append(model.symbols(keys))
                     begins = np.zeros(len(keys), dtype=bool)
                     begins[first[:-1]] = True
-                    fresh.append(begins)
-            if symbols:
-                own = Model(np.zeros(0, np.uint64), np.ones(1))
-                own.load(flat)
-                symbols = np.concatenate(symbols)
-                own.train(symbols, np.concatenate(fresh), rate)
-                weights = (own.flat().astype(np.float64) * len(symbols)).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([len(symbols)], pa.int64()), pa.array([weights], pa.binary())], ["part", "tokens", "weights"])
+                    symbols, fresh = np.concatenate([symbols, model.symbols(keys)]), np.concatenate([fresh, begins])
+                    if len(symbols) >= 4 * STREAMS * WINDOW:
+                        taken = own.train(symbols, fresh, rate, adam)
+                        symbols, fresh, learned = symbols[taken:], fresh[taken:], learned + taken
+            while len(symbols):
+                taken = own.train(symbols, fresh, rate, adam)
+                symbols, fresh, learned = symbols[taken:], fresh[taken:], learned + taken
+            if learned:
+                weights = (own.flat().astype(np.float64) * learned).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([learned], pa.int64()), pa.array([weights], pa.binary())], ["part", "tokens", "weights"])
 
         def add(table: pa.Table) -> pa.Table:
             total = sum(np.frombuffer(w, np.float64) for w in table.column("weights").to_pylist())
@@ -340,6 +346,7 @@ def learn(texts: DataFrame, model: Model, key: str) -> None:
         tokens = sum(r.tokens for r in rows)
         if tokens:
             model.load(sum(np.frombuffer(r.weights, np.float64) for r in rows) / tokens)
+    return tokens
 
 
 def _ask(unit, table, _, buckets):
@@ -363,7 +370,7 @@ def _reply(asks: pa.Table, counts: pa.Table) -> pa.Table:
 def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     buckets = units.bucket_count(docs)
-    training = docs.filter(~held_out(key)).select(F.col(key).alias("__key"), F.col(text).cast("string").alias("text"))
+    training = docs.filter(~held_out(key)).select(F.col(text).cast("string").alias("text"))
     counts = written(count_words(training.select("text"), buckets), "counts")
     n, v, words = summary(counts, CLASSES * CLASS_WORDS - 2)
     ends = training.count() if n else 0
@@ -373,7 +380,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     if not n:
         prior[:] = 1 / len(prior)
     model = Model(np.array([k for k, _ in words], dtype=np.int64).view(np.uint64), prior)
-    learn(training, model, "__key")
+    learn(training, model)
     log_other = math.log(prior[OTHER])
     dealt = units.deal(docs, key, text)
     asks = units.ask(dealt, None, _ask, buckets)
