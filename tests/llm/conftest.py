@@ -50,3 +50,11 @@ def docs(spark):
 @pytest.fixture(scope="session")
 def empty_docs(spark):
     return spark.createDataFrame([], DOCS)
+
+
+def twins(n: int, a: str, b: str) -> tuple[list[str], list[str]]:
+    """Two different sequences of n letters (n a power of two) that agree in every polynomial hash modulo 2**64."""
+    first, second = [a], [b]
+    while len(first) < n:
+        first, second = first + second, second + first
+    return first, second

@@ -1,6 +1,8 @@
 import re
 
-from tickloom.llm.lines import dedup_lines
+from tickloom.llm.lines import _within_one, dedup_lines
+
+from .conftest import twins
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -67,3 +69,31 @@ def test_clashing_columns_nulls_and_empty(spark, empty_docs):
     got = {r.doc_id: r for r in dedup_lines(df).collect()}
     assert {k: r.text for k, r in got.items()} == {1: "p q\nr s", 2: "\nt", None: "", 4: None}
     assert got[2]["__text"] == [1] and got[2].unit == "v" and got[2].n_lines == 2
+
+
+def test_lines_that_weak_hashes_confuse(spark):
+    x, y = twins(1024, "foo", "bar")
+    near = [*x[:500], "baz", *x[501:]]
+    rows = [(1, " ".join(x)), (2, " ".join(y)), (3, " ".join(near)), (4, "".join(twins(2048, "a", "b")[0])), (5, "".join(twins(2048, "a", "b")[1]))]
+    got = result(dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {k: m for k, (_, _, m) in got.items()} == {1: 0, 2: 0, 3: 1, 4: 0, 5: 0}
+
+
+def test_bound_is_a_parameter(spark):
+    rows = [(1, "a b c"), (2, "a b d"), (3, "a b c d e f"), (4, "a b c d e g"), (5, "a b c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    removed = lambda **x: [k for k, (_, _, m) in sorted(result(dedup_lines(df, **x)).items()) if m]
+    assert removed(edits=0) == [5] and removed() == [4, 5] and removed(similarity=0.6) == [2, 4, 5]
+
+
+def test_equal_ids_and_repeated_rows(spark):
+    rows = [(7, f"line {i % 3} of one id\nown{i}") for i in range(9)] + [(None, "line 0 of one id")] * 4
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(got) == 13 and sum(r.n_lines - r.n_removed for r in got) == 10 and all(r.n_removed == 1 for r in got if r.doc_id is None)
+
+
+def test_distance_on_words():
+    import itertools
+
+    words = [list(x) for n in range(4) for x in itertools.product(b"ab", repeat=n)]
+    assert all(_within_one(a, b) == (distance(a, b) <= 1) for a in words for b in words)

@@ -2,6 +2,8 @@ import re
 
 from tickloom.llm.substrings import COVER, PERIOD, dedup_substrings
 
+from .conftest import twins
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -44,3 +46,12 @@ def test_nulls_repeats_and_empty(spark, empty_docs):
     rows = [(None, long), (3, long), (3, long), (4, None)]
     got = sorted((str(r.doc_id), r.n_removed) for r in dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == [("3", 0), ("3", 25), ("4", 0), ("None", 25)]
+
+
+def test_windows_that_weak_hashes_confuse(spark):
+    x, y = ("".join(w) for w in twins(1024, "a", "b"))
+    same = " ".join(f"w{i}" for i in range(19))
+    p, q = (" ".join(w) for w in twins(1024, "foo", "bar"))
+    rows = [(1, f"{same} {x}"), (2, f"{same} {y}"), (3, p), (4, q)]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) and got[2][1] == 0

@@ -1,27 +1,31 @@
 """Line dedup by a deletion-neighbourhood join: lines within one word edit of an earlier line are removed.
 
 A line is its sequence of words; white space does not count and blank lines are never compared.  Two lines match if
-their words are equal, or, where the longer has at least ``NEAR_WORDS`` words, one inserted, deleted or replaced word
-apart (a similarity of 0.8 at the bound, more beyond).  A line is removed if an earlier line (smaller document id, or
-same document and smaller line number) matches it; lines are judged on the input.
-
-Every line emits all variants within the edit bound: itself and, for near matching, the line without each of its
-words, as 64-bit hashes with the place of the deletion.  Equal variants are joined.  The places verify the distance:
-lines of equal length match if they agree after deleting the same place, a line matches a longer one if it equals
-one of the longer's variants.  Two variants left by deletions at different places can be two edits apart and do not
-count, unless another variant shows one edit.  Of each set that matches, the earliest is known by a minimum, so no
-pairs are made of lines that agree.
+their words are at most ``edits`` insertions, deletions and replacements of a word apart, and these at most a share of
+1 - ``similarity`` of the longer line's words (at 0.8, one edit from five words on).  A line is removed if an
+earlier line (smaller document id, or same document and smaller line number) matches it; lines are judged on the input.
+The bound is 0 or 1: the variants of two edits grow with the square of a line's words.
+
+Equal lines are found by the 128-bit digest of their words.  For near matching every line emits all variants within
+the edit bound: itself and the line without each of its words, as 64-bit keys with the place of the deletion.  Equal
+variants are joined.  Lines of equal length can match if they agree after deleting the same place, a line can match a
+longer one if it equals one of the longer's variants.  Of each set that agrees the earliest is known by a minimum, so
+no pairs are made of lines that agree: each later line gets the words of the earliest, and the edit distance is
+verified on the words of both.
 
 Before that, a cheap and lossless filter: one edit leaves the first or the second half of the words untouched, so
 only lines that share a half with a different line emit their deletion variants.
 
 Defined results: a null text stays null and an empty one empty, both with no lines compared; documents with equal
-ids are ordered by text and null ids come last; repeated rows count as copies, whose lines are removed; columns of
-the input are kept as they are but for the text; an empty table gives no rows.
+ids are ordered by a hash of the text and null ids come last; repeated rows count as copies, whose lines are removed;
+columns of the input are kept as they are but for the text; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import functools
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,13 +33,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import units
-from .textbytes import WordSums, find_words, hash_spans, mix
+from .textbytes import KEY, WordSums, digests, find_words, mix, single_spaced, word_keys
 
-NEAR_WORDS = 5
-EXACT, HALF, VARIANT = 0, 1, 2
+EXACT, HALF, VARIANT, WORDS = 0, 1, 2, 3
 NO_LINE = np.uint64(0)
-#: Beside a variant: the index of its line in the unit, the place of the deletion (-1: none), the line's number.
-_BESIDE = np.dtype([("line", "<i4"), ("place", "<i4"), ("number", "<i8")])
+#: Beside a variant: the index of its line among all lines of the unit, and the place of the deletion (-1: none).
+_BESIDE = np.dtype([("line", "<i4"), ("place", "<i4")])
+#: What a unit is asked for: the words of ``line`` for the later line ``other`` of ``unit``.
+_FETCH = np.dtype([("unit", "<i4"), ("other", "<i4"), ("line", "<i4")])
+_PAIR = np.dtype([("line", "<i4"), ("text", "<i4")])
 
 
 class _Lines:
@@ -55,11 +61,29 @@ class _Lines:
         self.document = first + self.row
         begin = np.searchsorted(self.row, self.row)
         self.number = np.arange(len(self.row)) - begin
-        spans = find_words(data, np.append(self.start, len(data)))
-        self.first, self.stop = spans.first[:-1], spans.first[1:]
+        self.spans = find_words(data, np.append(self.start, len(data)))
+        self.first, self.stop = self.spans.first[:-1], self.spans.first[1:]
         self.words = self.stop - self.first
-        self.sums = WordSums(hash_spans(data, spans.start, spans.end))
-        self.hash = self.sums.runs(self.first, self.stop)
+
+    @functools.cached_property
+    def sums(self) -> WordSums:
+        return WordSums(word_keys(self.data, self.spans))
+
+    @functools.cached_property
+    def plain(self) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """All words one space apart, and the span of each line there."""
+        text, start, end = single_spaced(self.data, self.spans)
+        ends = np.append(0, end)
+        return text, np.append(start, len(text))[self.first], np.where(self.words, ends[self.stop], np.append(start, len(text))[self.first])
+
+    def texts(self, which: np.ndarray) -> list[bytes]:
+        text, a, b = self.plain
+        return [text[i:j] for i, j in zip(a[which].tolist(), b[which].tolist())]
+
+    @functools.cached_property
+    def key(self) -> np.ndarray:
+        """The digest of each line's words."""
+        return digests(self.texts(np.arange(len(self.words))))
 
     def halves(self, which: np.ndarray) -> list[np.ndarray]:
         """Hashes of the halves by which a line can meet one of its length, one more word, or one fewer."""
@@ -81,16 +105,28 @@ def _joined(parts: list[np.ndarray], dtype) -> np.ndarray:
     return np.concatenate([np.zeros(0, dtype), *parts]).astype(dtype)
 
 
+def _bounds(here: list[_Lines]) -> np.ndarray:
+    return np.cumsum([0, *[len(x.words) for x in here]])
+
+
+def _within_one(a: list[bytes], b: list[bytes]) -> bool:
+    """Whether two sequences of words are at most one insertion, deletion or replacement apart."""
+    short, long = sorted((a, b), key=len)
+    same = next((i for i, (x, y) in enumerate(zip(short, long)) if x != y), len(short))
+    if len(long) == len(short):
+        return short[same + 1 :] == long[same + 1 :]
+    return len(long) == len(short) + 1 and short[same:] == long[same + 1 :]
+
+
 class _Distinct:
     """The distinct lines of a unit: where each is first, by block and line."""
 
     def __init__(self, here: list[_Lines], least_words: int):
-        hashes = _joined([x.hash for x in here], np.uint64)
         words = _joined([x.words for x in here], np.int64)
         use = np.flatnonzero(words >= least_words)
-        self.hash, at = np.unique(hashes[use], return_index=True)
+        self.key, at = units.distinct(_joined([x.key for x in here], KEY)[use])
         self.at = use[at]
-        self.bounds = np.cumsum([0, *[len(x.hash) for x in here]])
+        self.bounds = _bounds(here)
 
     def by_block(self, chosen: np.ndarray):
         """(block, indices of lines in it, indices into the distinct lines) for a mask of the distinct lines."""
@@ -104,29 +140,31 @@ class _Distinct:
 def _half_keys(here: list[_Lines], lines: _Distinct) -> tuple[np.ndarray, np.ndarray]:
     """Keys of halves and the distinct line of each."""
     keys, owner = [], []
-    for b, at, index in lines.by_block(np.ones(len(lines.hash), dtype=bool)):
+    for b, at, index in lines.by_block(np.ones(len(lines.key), dtype=bool)):
         found = here[b].halves(at)
         keys += found
         owner += [index] * len(found)
     return _joined(keys, np.uint64), _joined(owner, np.int64)
 
 
-def _ask_lines(unit, table, _, buckets):
+def _ask_lines(unit, table, _, buckets, near_words):
     here, ids = _blocks(table), units.ids_of(table)
     whole = _Distinct(here, 1)
     document = _joined([x.document for x in here], np.int64)[whole.at]
-    number = _joined([x.number for x in here], np.int64)[whole.at]
-    near = _Distinct(here, NEAR_WORDS - 1)
-    keys, owner = _half_keys(here, near)
-    found, at, counts = np.unique(keys, return_index=True, return_counts=True)
-    # one line of this unit has the key: say which; several have: say that it is shared whoever else has it
-    line = np.where(counts == 1, near.hash[owner[at]] if len(at) else NO_LINE, NO_LINE)
-    return units.packed(unit, buckets, EXACT, whole.hash, ids[document], number) + units.packed(unit, buckets, HALF, found, line)
+    asks = units.packed(unit, buckets, EXACT, whole.key, ids[document])
+    if near_words:
+        near = _Distinct(here, near_words - 1)
+        keys, owner = _half_keys(here, near)
+        found, at, counts = np.unique(keys, return_index=True, return_counts=True)
+        # one line of this unit has the key: say which; several have: say that it is shared whoever else has it
+        line = np.where(counts == 1, near.key["a"][owner[at]] if len(at) else NO_LINE, NO_LINE)
+        asks += units.packed(unit, buckets, HALF, found, line)
+    return asks
 
 
 def _answer_lines(table):
-    exact, half = units.Asked(table, EXACT), units.Asked(table, HALF)
-    later = units.not_first(exact.keys, exact.array("a", np.int64), exact.array("b", np.int64), exact.unit)
+    exact, half = units.Asked(table, EXACT, KEY), units.Asked(table, HALF)
+    later = units.not_first(exact.keys, exact.array("a", np.int64), exact.unit)
     lines = half.array("a", np.uint64)
     order = np.lexsort((lines, half.keys))
     keys, lines = half.keys[order], lines[order]
@@ -140,41 +178,43 @@ def _answer_lines(table):
     return [exact.answers(EXACT, later, exact.keys), half.answers(HALF, chosen, half.keys)]
 
 
-def _ask_variants(unit, table, replies, buckets):
+def _ask_variants(unit, table, replies, buckets, near_words):
     here, ids = _blocks(table), units.ids_of(table)
-    near = _Distinct(here, NEAR_WORDS - 1)
+    near = _Distinct(here, near_words - 1)
     keys, owner = _half_keys(here, near)
-    chosen = np.zeros(len(near.hash), dtype=bool)
+    chosen = np.zeros(len(near.key), dtype=bool)
     chosen[owner[units.contains(keys, units.answered(replies, HALF))]] = True
-    keys, line, document, number, places = [], [], [], [], []
-    for b, at, index in near.by_block(chosen):
+    keys, line, document, places = [], [], [], []
+    for b, at, _ in near.by_block(chosen):
         lines = here[b]
-        long = np.flatnonzero(lines.words[at] >= NEAR_WORDS)
+        long = np.flatnonzero(lines.words[at] >= near_words)
         n = lines.words[at[long]]
         first, stop = (np.repeat(x[at[long]], n) for x in (lines.first, lines.stop))
         place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         # each line itself, then the long ones without each of their words
         entry = np.concatenate([np.arange(len(at)), np.repeat(long, n)])
-        keys += [lines.hash[at], lines.sums.without_one(first, stop, first + place)]
+        keys += [lines.sums.runs(lines.first[at], lines.stop[at]), lines.sums.without_one(first, stop, first + place)]
         places += [np.full(len(at), -1), place]
-        line.append(index[entry])
+        line.append((near.bounds[b] + at)[entry])
         document.append(ids[lines.document[at]][entry])
-        number.append(lines.number[at][entry])
     beside = np.zeros(sum(map(len, keys)), dtype=_BESIDE)
-    beside["line"], beside["place"], beside["number"] = (_joined(x, np.int64) for x in (line, places, number))
+    beside["line"], beside["place"] = (_joined(x, np.int64) for x in (line, places))
     return units.packed(unit, buckets, VARIANT, _joined(keys, np.uint64), _joined(document, np.int64), beside)
 
 
 def _answer_variants(table):
+    """To the unit of the earliest line that agrees with a later one: to send its words there."""
     got = units.Asked(table, VARIANT)
     if not len(got.keys):
         return [units.answer_table(np.zeros(0, np.int32), VARIANT, [])]
     document, beside = got.array("a", np.int64), got.array("b", _BESIDE)
     rank = np.empty(len(got.keys), dtype=np.int64)
-    by_age = np.lexsort((got.unit, beside["number"], document))
+    by_age = np.lexsort((beside["line"], got.unit, document))
     # entries of one line share a rank
-    age = [x[by_age] for x in (document, beside["number"], got.unit)]
+    age = [x[by_age] for x in (document, got.unit, beside["line"])]
     rank[by_age] = np.cumsum(np.append(False, np.any([x[1:] != x[:-1] for x in age], axis=0)))
+    entry = np.empty(rank.max() + 1, dtype=np.int64)
+    entry[rank] = np.arange(len(rank))
     order = np.lexsort((rank, beside["place"], got.keys))
     keys, place, age = got.keys[order], beside["place"][order], rank[order]
     new_key = np.append(True, keys[1:] != keys[:-1])
@@ -187,25 +227,63 @@ def _answer_variants(table):
     first_short = np.minimum.reduceat(np.where(whole, never, age), key_start)[key_of]
     first_same = np.minimum.reduceat(age, place_start)[place_of]
     match = np.where(whole, first_short, np.minimum(first_whole, first_same))
-    late = np.zeros(len(order), dtype=bool)
-    late[order] = match < age
-    return [got.answers(VARIANT, late, beside["line"].astype(np.uint64))]
+    late = match < age
+    pairs = np.unique(np.stack([match[late], age[late]], axis=1), axis=0)
+    early, later = entry[pairs[:, 0]], entry[pairs[:, 1]]
+    fetch = np.zeros(len(pairs), dtype=_FETCH)
+    fetch["unit"], fetch["other"], fetch["line"] = got.unit[later], beside["line"][later], beside["line"][early]
+    unit = got.unit[early]
+    by = np.argsort(unit, kind="stable")
+    found, at = np.unique(unit[by], return_index=True)
+    return [units.answer_table(found, VARIANT, [x.tobytes() for x in np.split(fetch[by], at[1:])] if len(found) else [])]
+
+
+def _send_words(table, replies):
+    """To each unit with later lines: which of them go with which texts, each text once."""
+    asked = units.answered_rows(replies, VARIANT, _FETCH)
+    if not len(asked):
+        return units.answer_table(np.zeros(0, np.int32), WORDS, [])
+    here = _blocks(table)
+    bounds = _bounds(here)
+    out_units, values = np.unique(asked["unit"]), []
+    for unit in out_units.tolist():
+        part = asked[asked["unit"] == unit]
+        lines, text = np.unique(part["line"], return_inverse=True)
+        block = np.searchsorted(bounds, lines, side="right") - 1
+        texts = [here[b].texts(np.array([i]) - bounds[b])[0] for b, i in zip(block.tolist(), lines.tolist())]
+        pairs = np.zeros(len(part), dtype=_PAIR)
+        pairs["line"], pairs["text"] = part["other"], text
+        values.append(len(pairs).to_bytes(8, "little") + pairs.tobytes() + b"\n".join(texts))
+    return units.answer_table(out_units, WORDS, values)
+
+
+def _near(here: list[_Lines], replies: pa.Table) -> np.ndarray:
+    """Indices of lines that are within one word edit of the earlier lines whose words came."""
+    bounds, out = _bounds(here), []
+    for value in units.values_of(replies, WORDS):
+        n = int.from_bytes(value[:8], "little")
+        pairs = np.frombuffer(value, dtype=_PAIR, count=n, offset=8)
+        texts = [x.split(b" ") for x in value[8 + n * _PAIR.itemsize :].split(b"\n")]
+        block = np.searchsorted(bounds, pairs["line"], side="right") - 1
+        for b, line, text in zip(block.tolist(), pairs["line"].tolist(), pairs["text"].tolist()):
+            if _within_one(here[b].texts(np.array([line - bounds[b]]))[0].split(b" "), texts[text]):
+                out.append(line)
+    return np.array(out, dtype=np.int64)
 
 
 def _remove(table, replies):
     here = _blocks(table)
-    whole, near = _Distinct(here, 1), _Distinct(here, NEAR_WORDS - 1)
-    hashes = _joined([x.hash for x in here], np.uint64)
+    whole = _Distinct(here, 1)
+    keys = _joined([x.key for x in here], KEY)
     words = _joined([x.words for x in here], np.int64)
     drop = words > 0
     drop[whole.at] = False
-    late = units.answered(replies, EXACT)
-    later_near = near.hash[units.answered(replies, VARIANT).astype(np.int64)]
-    drop |= (words > 0) & (units.contains(hashes, late) | units.contains(hashes, np.sort(later_near)))
+    near = units.distinct(keys[_near(here, replies)])[0]
+    drop |= (words > 0) & (units.contains(keys, units.answered(replies, EXACT, KEY)) | units.contains(keys, near))
     texts, total, removed, done = [], [], [], 0
     for lines in here:
-        gone = drop[done : done + len(lines.hash)]
-        done += len(lines.hash)
+        gone = drop[done : done + len(lines.words)]
+        done += len(lines.words)
         raw = lines.data.tobytes()
         bounds = np.searchsorted(lines.row, np.arange(lines.row[-1] + 2))
         spans = list(zip(lines.start.tolist(), lines.end.tolist()))
@@ -224,19 +302,27 @@ def _remove(table, replies):
     return table.column("__id"), text, *n
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 1, similarity: float = 0.8) -> DataFrame:
     """The columns of ``docs`` with the text cleaned, and n_lines and n_removed (of lines with words).
 
     Columns of the input by these two names are replaced.
     """
+    if edits not in (0, 1) or not 0 <= similarity < 1:
+        raise ValueError("the edit bound is 0 or 1 words, the similarity in [0, 1)")
+    # the fewest words of which one may differ
+    near_words = max(1, math.ceil(round(1 / (1 - similarity), 9))) if edits else 0
     buckets = units.bucket_count(docs)
     kept = [c for c in docs.columns if c not in (key, text, "n_lines", "n_removed")]
     # columns beside the text travel as one struct, whatever their names
     beside = docs.select(key, text, F.struct(F.lit(0).alias("__0"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(kept)]).alias("__kept"))
     dealt = units.deal(beside, key, text, ["__kept"])
-    lines = units.answer(units.ask(dealt, None, _ask_lines, buckets), _answer_lines)
-    variants = units.answer(units.ask(dealt, lines, _ask_variants, buckets), _answer_variants)
-    replies = lines.filter(F.col("kind") == EXACT).union(variants)
+    ask_lines = functools.partial(_ask_lines, near_words=near_words)
+    lines = units.answer(units.ask(dealt, None, ask_lines, buckets), _answer_lines)
+    replies = lines.filter(F.col("kind") == EXACT)
+    if edits:
+        ask_variants = functools.partial(_ask_variants, near_words=near_words)
+        variants = units.answer(units.ask(dealt, lines, ask_variants, buckets), _answer_variants)
+        replies = replies.union(units.finish(dealt, variants, _send_words, units.ANSWER))
 
     def clean(table: pa.Table, found: pa.Table) -> pa.Table:
         if not table.num_rows:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .shared import components, written
-from .textbytes import LOWER, blocks, find_words
+from .textbytes import LOWER, blocks, find_words, single_spaced
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -59,22 +59,6 @@ def majority(hashes: np.ndarray) -> int:
     return int((2 * counts > len(hashes)).astype(np.uint64) @ (np.uint64(1) << np.arange(64, dtype=np.uint64)))
 
 
-def single_spaced(data: np.ndarray, words) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """The words of a block one space apart, and their spans there."""
-    length = words.end - words.start
-    end = np.cumsum(length + 1) - 1
-    start = end - length
-    out = np.full(int(end[-1]) if len(end) else 0, 0x20, dtype=np.uint8)
-    inside = np.zeros(len(data) + 1, dtype=np.int8)
-    inside[words.start] += 1
-    inside[words.end] -= 1
-    target = np.ones(len(out), dtype=bool)
-    target[end[:-1]] = False
-    # words of neighbouring documents may touch, so a span's end can be another's start
-    out[target] = data[np.cumsum(inside[:-1]).astype(bool)]
-    return out.tobytes(), start, end
-
-
 def _fingerprints(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.zeros(batch.num_rows, dtype=np.uint64)

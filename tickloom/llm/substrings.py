@@ -7,10 +7,10 @@ judged on the input.
 Difference-cover anchors: only runs of ``ANCHOR`` words at positions in ``COVER`` modulo ``PERIOD`` are hashed and
 compared over the corpus.  The cover holds a pair of positions for every difference, so two equal windows share an
 anchor at the same place of both: ANCHOR = WINDOW - PERIOD + 1 words fit behind every shift.  Only around anchors that
-occur twice are the matches extended, by comparing the hashes of the whole windows there.
+occur twice are the matches extended: the whole windows there are compared by 124-bit keys of their words' digests.
 
 Defined results: null and empty texts have no words and keep the empty text; documents with equal ids are ordered by
-text, null ids come last; repeated rows count as copies, the first is kept; other columns are ignored; an empty table
+a hash of the text, null ids come last; repeated rows count as copies, the first is kept; other columns are ignored; an empty table
 gives no rows.
 """
 
@@ -21,8 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import units
-from .simhash import single_spaced
-from .textbytes import Words, WordSums, find_words, hash_spans, windows
+from .textbytes import KEY, Words, WordSums, find_words, single_spaced, windows, word_keys
 
 WINDOW = 20
 PERIOD = 13
@@ -32,11 +31,11 @@ ANCHOR = WINDOW - PERIOD + 1
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
 
 
-def _blocks(table: pa.Table):
+def _blocks(table: pa.Table, lanes: int = 4):
     """(first row, bytes, words, word sums) of each block of documents."""
     for first, _, data, at in units.text_blocks(table):
         words = find_words(data, at)
-        yield first, data, words, WordSums(hash_spans(data, words.start, words.end))
+        yield first, data, words, WordSums(word_keys(data, words), lanes)
 
 
 def _anchors(words: Words, sums: WordSums) -> tuple[np.ndarray, np.ndarray]:
@@ -49,7 +48,7 @@ def _anchors(words: Words, sums: WordSums) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _ask_anchors(unit, table, _, buckets):
-    keys = [np.unique(_anchors(words, sums)[1]) for _, _, words, sums in _blocks(table)]
+    keys = [np.unique(_anchors(words, sums)[1]) for _, _, words, sums in _blocks(table, 2)]
     return units.packed(unit, buckets, 0, np.unique(np.concatenate([np.zeros(0, np.uint64), *keys])))
 
 
@@ -64,33 +63,33 @@ def _ask_windows(unit, table, replies, buckets):
     again = np.concatenate([np.zeros(0, np.uint64), *[x[4] for x in here]])
     values, counts = np.unique(again, return_counts=True)
     shared = np.union1d(shared, values[counts > 1])
-    keys, documents = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    keys, documents = [np.zeros(0, KEY)], [np.zeros(0, np.int64)]
     for first, words, sums, place, hashes in here:
         marked = np.zeros(len(words) + 1, dtype=np.int64)
         marked[place[units.contains(hashes, shared)] + 1] = 1
         marked = np.cumsum(marked)
         start = windows(words.first, WINDOW)
         start = start[marked[start + PERIOD] > marked[start]]
-        keys.append(sums.runs(start, start + WINDOW))
+        keys.append(sums.wide_runs(start, start + WINDOW))
         documents.append(first + np.searchsorted(words.first, start, side="right") - 1)
-    found, at = np.unique(np.concatenate(keys), return_index=True)
+    found, at = units.distinct(np.concatenate(keys))
     return units.packed(unit, buckets, 0, found, ids[np.concatenate(documents)[at]])
 
 
 def _later_windows(table):
-    got = units.Asked(table, 0)
+    got = units.Asked(table, 0, KEY)
     return [got.answers(0, units.not_first(got.keys, got.array("a", np.int64), got.unit), got.keys)]
 
 
 def _remove(table, replies):
-    later = units.answered(replies, 0)
+    later = units.answered(replies, 0, KEY)
     here = []
     for _, data, words, sums in _blocks(table):
         start = windows(words.first, WINDOW)
-        here.append((data, words, start, sums.runs(start, start + WINDOW)))
-    hashes = np.concatenate([np.zeros(0, np.uint64), *[x[3] for x in here]])
+        here.append((data, words, start, sums.wide_runs(start, start + WINDOW)))
+    hashes = np.concatenate([np.zeros(0, KEY), *[x[3] for x in here]])
     drop = np.ones(len(hashes), dtype=bool)
-    drop[np.unique(hashes, return_index=True)[1]] = False
+    drop[units.distinct(hashes)[1]] = False
     drop |= units.contains(hashes, later)
     total, removed, texts, done = [], [], [], 0
     for data, words, start, own in here:

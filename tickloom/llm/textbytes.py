@@ -1,8 +1,10 @@
 """Vectorised word handling over Arrow string columns.
 
 A word is a maximal run of bytes outside ``20 09-0D`` (hex).  All functions work on the UTF-8 bytes of a whole
-block of documents at once, so no Python object is made for a word.  Hashes are 64-bit and equal for equal byte
-sequences in every process, which lets tasks compare words, lines and windows without moving text.
+block of documents at once.  Inside a block words are told apart by their bytes (a dictionary encoding); between tasks
+they are compared by their bytes, or by the 128-bit XXH3 digest of them (``KEY``), made once for each distinct word of
+a block.  Runs of words are compared by polynomials of these digests over the prime field of 2**31 - 1, in two lanes
+where the words are compared afterwards (62 bits) and in four where they are not (124 bits).
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -25,8 +28,12 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 #: Blocks of documents are cut near this many bytes; a longer document is a block by itself.
 BLOCK_BYTES = 2 << 20
 
-_BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
-_WORD_BASE = np.uint64(0xD1342543DE82EF95)
+#: A 128-bit digest as two words.
+KEY = np.dtype([("a", "<u8"), ("b", "<u8")])
+
+_PRIME = (1 << 31) - 1
+#: A base for each lane of a polynomial.
+_BASES = (1_103_515_245, 1_664_525_333, 1_566_083_941, 1_812_433_253)
 
 
 @functools.cache
@@ -52,38 +59,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Values modulo the prime, by two folds and one subtraction."""
+    prime, shift = np.uint64(_PRIME), np.uint64(31)
+    x = (x & prime) + (x >> shift)
+    x = (x & prime) + (x >> shift)
+    return x - prime * (x >= prime)
 
 
 class _Powers:
-    """Powers of an odd base modulo 2**64 and their inverses, grown on demand."""
+    """Powers of a base modulo the prime and of its inverse, grown on demand."""
 
-    def __init__(self, base: np.uint64):
-        self.base = int(base)
-        self.inverse = pow(self.base, -1, 1 << 64)
-        self.up = np.ones(1, dtype=np.uint64)
-        self.down = np.ones(1, dtype=np.uint64)
+    def __init__(self, base: int):
+        self.bases = base, pow(base, -1, _PRIME)
+        self.powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
     def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n + n // 8, 1 << 16)
-            self.up, self.down = (
-                np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, b, dtype=np.uint64)]), dtype=np.uint64)
-                for b in (self.base, self.inverse)
-            )
-        return self.up, self.down
-
+        while len(self.powers[0]) < n:
+            k = len(self.powers[0])
+            self.powers = [np.concatenate([x, _reduced(x * np.uint64(pow(b, k, _PRIME)))]) for x, b in zip(self.powers, self.bases)]
+        return self.powers[0], self.powers[1]
 
-_byte_powers = _Powers(_BYTE_BASE)
-_word_powers = _Powers(_WORD_BASE)
 
-
-def _running(values: np.ndarray, powers: _Powers) -> np.ndarray:
-    """Prefix sums of value[i] * base**i, one longer than the values."""
-    up, _ = powers(len(values) + 1)
-    out = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * up[: len(values)], out=out[1:])
-    return out
+_powers = [_Powers(b) for b in _BASES]
 
 
 def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,35 +140,88 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(start, np.flatnonzero(ends) + 1, np.searchsorted(start, offsets))
 
 
-def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span."""
-    _, down = _byte_powers(len(data) + 1)
-    total = _running(_BYTE_VALUE[data], _byte_powers)
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+def single_spaced(data: np.ndarray, words: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The words of a block one space apart, and their spans there."""
+    length = words.end - words.start
+    end = np.cumsum(length + 1) - 1
+    start = end - length
+    out = np.full(int(end[-1]) if len(end) else 0, 0x20, dtype=np.uint8)
+    inside = np.zeros(len(data) + 1, dtype=np.int8)
+    inside[words.start] += 1
+    inside[words.end] -= 1
+    target = np.ones(len(out), dtype=bool)
+    target[end[:-1]] = False
+    # words of neighbouring documents may touch, so a span's end can be another's start
+    out[target] = data[np.cumsum(inside[:-1]).astype(bool)]
+    return out.tobytes(), start, end
 
 
-class WordSums:
-    """Prefix sums over word hashes: the hash of any run of words in constant time."""
+def as_binary(body: np.ndarray, length: np.ndarray) -> pa.Array:
+    """Consecutive byte strings of the given lengths as an Arrow column."""
+    at = np.zeros(len(length) + 1, dtype=np.int64)
+    np.cumsum(length, out=at[1:])
+    return pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(body))])
+
+
+def distinct_words(data: np.ndarray, words: Words) -> tuple[np.ndarray, pa.Array]:
+    """For each word the number of its bytes among the distinct words, and these in the order they come."""
+    found = as_binary(data[~SPACE[data]], words.end - words.start).dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary
+
+
+def digests(values: list[bytes]) -> np.ndarray:
+    """The 128-bit digest of each byte string."""
+    digest = xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([digest(x) for x in values]), dtype=KEY)
 
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = hashes
-        self.total = _running(hashes, _word_powers)
 
-    def raw(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Unmixed polynomial value of words first..end-1, as if the run began at index 0."""
-        _, down = _word_powers(len(self.hashes) + 1)
-        return (self.total[end] - self.total[first]) * down[first]
+def word_keys(data: np.ndarray, words: Words) -> np.ndarray:
+    """The digest of each word of a block."""
+    which, distinct = distinct_words(data, words)
+    return digests(distinct.to_pylist())[which]
+
+
+class WordSums:
+    """Prefix sums over word digests: the key of any run of words in constant time."""
+
+    def __init__(self, keys: np.ndarray, lanes: int = 2):
+        self.size = len(keys)
+        parts = keys.view("<u4").reshape(-1, 4)
+        self.totals = []
+        for lane in range(lanes):
+            up, _ = _powers[lane](self.size + 1)
+            total = np.zeros(self.size + 1, dtype=np.uint64)
+            np.cumsum(_reduced(_reduced(parts[:, lane].astype(np.uint64)) * up[: self.size]), out=total[1:])
+            self.totals.append(total)
+
+    def _run(self, lane: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The polynomial of words first..end-1, as if the run began at index 0."""
+        _, down = _powers[lane](self.size + 1)
+        return _reduced(_reduced(self.totals[lane][end] - self.totals[lane][first]) * down[first])
+
+    @staticmethod
+    def _packed(high: np.ndarray, low: np.ndarray, length: np.ndarray) -> np.ndarray:
+        return mix((high << np.uint64(32) | low) ^ mix(length.astype(np.uint64)))
 
     def runs(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hash of each run of words; runs of different lengths differ."""
-        return mix(self.raw(first, end) ^ mix((end - first).astype(np.uint64)))
+        """A 64-bit key of each run of words; runs of different lengths differ."""
+        return self._packed(self._run(0, first, end), self._run(1, first, end), end - first)
+
+    def wide_runs(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A KEY of each run of words, for which the sums need four lanes."""
+        out = np.empty(len(first), dtype=KEY)
+        out["a"] = self.runs(first, end)
+        out["b"] = self._packed(self._run(2, first, end), self._run(3, first, end), end - first)
+        return out
 
     def without_one(self, first: np.ndarray, end: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Hash of each run first..end-1 after word ``at`` of it (an absolute index) is left out."""
-        up, down = _word_powers(len(self.hashes) + 1)
-        head = (self.total[at] - self.total[first]) * down[first]
-        tail = (self.total[end] - self.total[at + 1]) * down[first] * down[1]
-        return mix((head + tail) ^ mix((end - first - 1).astype(np.uint64)))
+        """A 64-bit key of each run first..end-1 after word ``at`` of it (an absolute index) is left out."""
+        lanes = []
+        for lane in (0, 1):
+            head, tail = self._run(lane, first, at), self._run(lane, at + 1, end)
+            up, _ = _powers[lane](self.size + 1)
+            lanes.append(_reduced(head + _reduced(tail * up[at - first])))
+        return self._packed(*lanes, end - first - 1)
 
 
 def windows(first: np.ndarray, length: int) -> np.ndarray:
@@ -178,9 +229,3 @@ def windows(first: np.ndarray, length: int) -> np.ndarray:
     room = np.maximum(np.diff(first) - length + 1, 0)
     begin = np.repeat(first[:-1] - np.concatenate([[0], np.cumsum(room)[:-1]]), room)
     return begin + np.arange(room.sum())
-
-
-def crc32_of(values: np.ndarray) -> int:
-    import zlib
-
-    return zlib.crc32(values.tobytes())

@@ -1,12 +1,15 @@
 """Documents in units that ask about hashed keys, and key buckets that answer.
 
 Operators that compare every word run of every document must not shuffle a row for each run with its place.  Here
-documents are dealt once into units, by a hash of their id.  A unit's task works on whole texts with numpy, looks at
+documents are dealt once into units, by a hash of their id and text.  A unit's task works on whole texts with numpy, looks at
 its own repetitions itself and sends only distinct keys, packed as binary arrays, to the bucket of each key.  A bucket
 sees each key at most once from each unit and answers each unit with the part of its keys that matters.  The unit is
 then visited again, together with the answers.  A key that a third of all rows share thus costs one entry per unit.
 
 The exchange that deals the texts has one plan in every visit, so one query shuffles the texts once and reuses them.
+Units and buckets are as many as shuffle partitions, so their ask rows are as many as the blocks of one shuffle.
+
+Keys are 64-bit where what they find is compared again, and 128-bit (``KEY``) where they decide.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import partitions
-from .textbytes import blocks
+from .textbytes import KEY, blocks
 
 ASK = "bucket int, unit int, kind int, n long, keys binary, a binary, b binary, c binary"
 ANSWER = "unit int, kind int, keys binary"
@@ -32,13 +35,17 @@ def bucket_count(docs: DataFrame) -> int:
 
 
 def deal(docs: DataFrame, key: str, text: str, keep: list[str] | None = None) -> DataFrame:
-    """Documents as (unit, doc_id, text, kept columns), all documents of an id in one unit."""
+    """Documents as (unit, doc_id, order, text, kept columns).
+
+    A unit is a range of the hash ``order``, so documents of equal or no ids, however many, spread over the units, and
+    of two with equal ids that with the smaller hash lies in the earlier unit.
+    """
     count = 2 * partitions(docs.sparkSession)
-    code = F.coalesce(F.xxhash64(F.when(F.col(key).isNotNull(), F.col(key))), F.lit(0))
-    spread = F.when(F.col(key).isNull(), F.xxhash64(F.col(text))).otherwise(code)
+    order = F.xxhash64(F.col(key), F.col(text))
     rows = docs.select(
-        F.pmod(spread, F.lit(count)).cast("int").alias("__unit"),
+        F.shiftright(F.shiftrightunsigned(order, 33) * F.lit(count), 31).cast("int").alias("__unit"),
         F.col(key).cast("long").alias("__id"),
+        order.alias("__order"),
         F.col(text).cast("string").alias("__text"),
         *[F.col(c) for c in keep or []],
     )
@@ -46,8 +53,8 @@ def deal(docs: DataFrame, key: str, text: str, keep: list[str] | None = None) ->
 
 
 def in_order(table: pa.Table) -> pa.Table:
-    """A unit's documents by id and then text, null ids last: the same order at every visit."""
-    return table.combine_chunks().sort_by([("__id", "ascending"), ("__text", "ascending")])
+    """A unit's documents by id, null ids last, then by hash and text: the same order at every visit."""
+    return table.combine_chunks().sort_by([("__id", "ascending"), ("__order", "ascending"), ("__text", "ascending")])
 
 
 def ids_of(table: pa.Table) -> np.ndarray:
@@ -60,7 +67,8 @@ def text_blocks(table: pa.Table) -> Iterator[tuple[int, int, np.ndarray, np.ndar
 
 def packed(unit: int, buckets: int, kind: int, keys: np.ndarray, *more: np.ndarray) -> list[dict]:
     """Ask rows: distinct keys with up to three arrays beside them, parted by bucket."""
-    bucket = ((keys >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+    lead = keys["a"] if keys.dtype == KEY else keys
+    bucket = ((lead >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     keys, more = keys[order], [x[order] for x in more]
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -91,12 +99,12 @@ def answer_table(units: np.ndarray, kind: int, values: list[bytes]) -> pa.Table:
 class Asked:
     """What a bucket got of one kind, as arrays over all entries."""
 
-    def __init__(self, table: pa.Table, kind: int):
+    def __init__(self, table: pa.Table, kind: int, dtype=np.uint64):
         part = table.filter(pa.compute.equal(table.column("kind"), kind))
         self.units = part.column("unit").to_numpy()
         self.sizes = part.column("n").to_numpy()
         self.table = part
-        self.keys = self.array("keys", np.uint64)
+        self.keys = self.array("keys", dtype)
         self.unit = np.repeat(self.units, self.sizes)
 
     def array(self, name: str, dtype) -> np.ndarray:
@@ -113,30 +121,72 @@ class Asked:
         return answer_table(np.array(units, dtype=np.int32), kind, out)
 
 
+def sorting(keys: np.ndarray) -> np.ndarray:
+    """The stable order of keys of 64 or 128 bits."""
+    if keys.dtype != KEY:
+        return np.argsort(keys, kind="stable")
+    order = np.argsort(keys["a"], kind="stable")
+    a, b = keys["a"][order], keys["b"][order]
+    # one sort is enough unless two different keys agree in their first half
+    return np.lexsort((keys["b"], keys["a"])) if ((a[1:] == a[:-1]) & (b[1:] < b[:-1])).any() else order
+
+
+def starts(keys: np.ndarray) -> np.ndarray:
+    """Which of sorted keys differ from the one before."""
+    out = np.ones(len(keys), dtype=bool)
+    out[1:] = keys[1:] != keys[:-1] if keys.dtype != KEY else (keys["a"][1:] != keys["a"][:-1]) | (keys["b"][1:] != keys["b"][:-1])
+    return out
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and where each is first."""
+    order = sorting(keys)
+    at = order[starts(keys[order])]
+    return keys[at], at
+
+
 def repeated(keys: np.ndarray) -> np.ndarray:
     """Which entries have a key that another entry has too."""
-    _, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
-    return counts[which] > 1
+    order = sorting(keys)
+    first = np.append(starts(keys[order]), True)
+    out = np.zeros(len(keys), dtype=bool)
+    out[order] = ~(first[:-1] & first[1:])
+    return out
 
 
 def not_first(keys: np.ndarray, *order: np.ndarray) -> np.ndarray:
     """Which entries have a key that an entry earlier in ``order`` (main order first) has too."""
-    by = np.lexsort((*order[::-1], keys))
+    by = np.lexsort(order[::-1])
+    by = by[sorting(keys[by])]
     out = np.zeros(len(keys), dtype=bool)
-    out[by[1:]] = keys[by[1:]] == keys[by[:-1]]
+    out[by] = ~starts(keys[by])
     return out
 
 
+def values_of(table: pa.Table, kind: int) -> list[bytes]:
+    return table.filter(pa.compute.equal(table.column("kind"), kind)).column("keys").to_pylist()
+
+
+def answered_rows(table: pa.Table, kind: int, dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(values_of(table, kind)), dtype=dtype)
+
+
 def answered(table: pa.Table, kind: int, dtype=np.uint64) -> np.ndarray:
-    part = table.filter(pa.compute.equal(table.column("kind"), kind))
-    return np.unique(np.frombuffer(b"".join(part.column("keys").to_pylist()), dtype=dtype))
+    return distinct(answered_rows(table, kind, dtype))[0]
 
 
 def contains(values: np.ndarray, found: np.ndarray) -> np.ndarray:
     """Which ``values`` are among the sorted ``found``."""
-    at = np.searchsorted(found, values)
-    out = at < len(found)
-    out[out] = found[at[out]] == values[out]
+    lead, wanted = (found["a"], values["a"]) if found.dtype == KEY else (found, values)
+    at = np.searchsorted(lead, wanted)
+    out, open_ = np.zeros(len(values), dtype=bool), np.flatnonzero(at < len(found))
+    # keys that agree in their first half stand next to each other
+    while len(open_ := open_[lead[at[open_]] == wanted[open_]]):
+        same = found[at[open_]] == values[open_]
+        out[open_[same]] = True
+        open_ = open_[~same]
+        at[open_] += 1
+        open_ = open_[at[open_] < len(found)]
     return out
 
 
@@ -167,6 +217,8 @@ def finish(dealt: DataFrame, answers: DataFrame, work: Callable[[pa.Table, pa.Ta
     """The last visit: ``work(documents in order, answers)`` returns the result rows of a unit."""
 
     def visit(table: pa.Table, replies: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            raise ValueError("answers for a unit without documents")
         return work(in_order(table), replies)
 
     return dealt.groupBy("__unit").cogroup(answers.groupBy("unit")).applyInArrow(visit, schema)
