@@ -8,6 +8,8 @@ import numpy as np
 
 from tickloom.llm.language import CLASS_WORDS, CLASSES, STATE, Model, learn, score_documents
 
+from .conftest import twins
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
@@ -38,14 +40,16 @@ def test_base_against_brute_force_and_model_beats_it(spark):
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held, n, known, total)
         assert abs(r.base_score - base) < 1e-6 * (1 + abs(base))
     held = [r for r in rows.values() if r.held_out]
-    assert sum(r.score for r in held) > sum(r.base_score for r in held) * 0.97
+    gain = 1 - sum(r.score for r in held) / sum(r.base_score for r in held)
+    print("held-out gain", gain)
+    assert gain > 0.03
     assert all(r.score <= 0 for r in rows.values())
 
 
 def small_model():
     rng = np.random.default_rng(2)
     p = rng.random(300)
-    model = Model(np.arange(1000, 1298).astype(np.uint64), p / p.sum())
+    model = Model([f"w{i}".encode() for i in range(298)], p / p.sum())
     model.w = {k: v + 0.3 * rng.standard_normal(v.shape) for k, v in model.w.items()}
     return model, rng
 
@@ -105,7 +109,24 @@ def test_every_training_token_is_learned_from(spark):
     rng = np.random.default_rng(4)
     texts = [" ".join(f"w{i}" for i in rng.integers(0, 50, n)) for n in (3, 700, 0, 5000, 40)]
     rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
-    model = Model(np.zeros(0, np.uint64), np.full(10, 0.1))
+    model = Model([], np.full(10, 0.1))
     before = model.flat()
     assert learn(rows, model) == sum(len(tokens(t)) for t in texts)
     assert np.isfinite(model.flat()).all() and not np.allclose(before, model.flat())
+
+
+def test_words_that_weak_hashes_confuse(spark):
+    x, y = ("".join(w) for w in twins(2048, "a", "b"))
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
+    rows = [(i, x if i % 2 else f"{x} b") for i in range(20) if i not in held] + [(held[0], y), (held[1], f"{x} {y} B")]
+    got = score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute(rows)
+    for r in got:
+        assert (r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][1:4] and abs(r.base_score - want[r.doc_id][4]) < 1e-6 * (1 + abs(r.base_score))
+
+
+def test_clashing_columns_and_repeated_rows(spark):
+    rows = [(1, "a b", [1], "x", 0.5)] * 3 + [(None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, words array<int>, unit string, score double")
+    got = score_documents(df).collect()
+    assert sorted(r.n_tokens for r in got) == [1, 3, 3, 3] and all(math.isfinite(r.score) for r in got)

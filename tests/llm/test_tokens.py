@@ -115,3 +115,11 @@ def test_null_and_repeated_keys(spark, tmp_path):
     rows = sorted(tokenfiles.digests(spark, str(tmp_path / "odd")).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in rows] == [None, None, 5, 5] and [r.n_tokens for r in rows] == [1, 2, 2, 2]
     assert packing.pack(odd, VOCABULARY).count() == 4
+
+
+def test_chunks_that_weak_hashes_confuse():
+    from .conftest import twins
+
+    texts = [f"one {''.join(x)} end" for x in twins(2048, "a", "b")] + [f"one {''.join(x)}, end" for x in twins(1024, "ab", "ba")]
+    assert through_blocks(texts) == [plain(t) for t in texts]
+    assert [through_blocks([t])[0] for t in texts] == [plain(t) for t in texts]

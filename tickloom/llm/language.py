@@ -6,13 +6,14 @@ Texts are lower-cased (A-Z) words and one end token for each document.  Counts a
 The recurrent model reads and predicts ``CLASSES * CLASS_WORDS`` symbols: the most frequent words, the end, and one
 symbol for every other word, whose probability is then shared out by the unigram counts, so that a text's score is a
 proper log10 probability.  A symbol's probability is that of its class times that inside its class.  Weights start
-at the unigram model and are learned by truncated backpropagation through time: in each of ``ROUNDS`` rounds every
-task trains a copy on all training documents of its part, block by block, and the copies are averaged, weighted by
-their tokens.  Scoring carries the state through each whole document, window
-by window.
+at the unigram model and are learned by truncated backpropagation through time, from every token of every training
+document once: the documents fall into ``ROUNDS`` parts by a hash, in each round every task trains a copy of the model
+on its documents of that round's part, block by block, and the copies are averaged, weighted by their tokens, in a tree
+of tasks, so that one copy comes to the driver.  Scoring carries the state through each whole document, window by
+window.
 
-Counting and scoring compare words by 64-bit hashes.  Texts are dealt to units once; units ask for the counts of
-their distinct words, and buckets that hold the counts answer (see units).
+Words are counted and looked up by their bytes; a 64-bit hash only deals them to buckets.  Texts are dealt to units
+once; units ask for the counts of their distinct words, and buckets that hold the counts answer in the order asked.
 
 Defined results: a null or empty text is its end token alone; a null id counts as training (never held out) and
 keeps its row; repeated rows count and are scored each; other columns are ignored; without training documents every
@@ -26,124 +27,136 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import units
 from .shared import written
-from .textbytes import LOWER, blocks, find_words, hash_spans
+from .textbytes import LOWER, blocks, distinct_words, find_words
 
 CLASSES = 32
-CLASS_WORDS = 32
-STATE = 16
+CLASS_WORDS = 64
+STATE = 24
 ROUNDS = 3
-STREAMS = 64
+STREAMS = 256
 WINDOW = 16
 SCORE_WINDOW = 32
-RATES = (0.012, 0.008, 0.004)
+RATES = (0.02, 0.012, 0.006)
 SEED = 7
 
 #: Symbols of the model beside words.
 OTHER, END = 0, 1
-END_KEY = np.uint64(0x656E64)
-_MERGE = 32
+#: The end as a token: no word has a space.
+END_WORD = b" "
+#: Copies of the weights that meet in one task.
+_MERGE = 16
 
 
 def held_out(key: str) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def word_keys(column: pa.Array, limit: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, token keys, first token of each document and the end) of blocks of documents."""
-    for first, end, data, at in blocks(column) if limit is None else blocks(column, limit):
+def tokens_of(column: pa.Array) -> Iterator[tuple[np.ndarray, pa.Array, np.ndarray]]:
+    """(token numbers, distinct tokens, first token of each document and the end) of blocks of documents.
+
+    The end is the last of the distinct tokens of a block.
+    """
+    for _, _, data, at in blocks(column):
         data = LOWER[data]
         words = find_words(data, at)
-        keys = hash_spans(data, words.start, words.end)
-        keys = np.insert(keys, words.first[1:], END_KEY)
-        yield first, end, keys, words.first + np.arange(len(words.first))
+        which, distinct = distinct_words(data, words)
+        which = np.insert(which, words.first[1:], len(distinct))
+        yield which, pa.concat_arrays([distinct, pa.array([END_WORD], pa.large_binary())]), words.first + np.arange(len(words.first))
+
 
+def _merged(parts: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+    """Distinct words of several lists with the sums of their counts."""
+    if not parts:
+        return pa.array([], pa.large_binary()), np.zeros(0, np.int64)
+    found = pa.concat_arrays([w for w, _ in parts]).dictionary_encode()
+    counts = np.bincount(found.indices.to_numpy(), np.concatenate([c for _, c in parts]), len(found.dictionary))
+    return found.dictionary, counts.astype(np.int64)
 
-def _sums(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    distinct, which = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_inverse=True)
-    return distinct, np.bincount(which, np.concatenate([np.zeros(0), *counts]), len(distinct)).astype(np.int64)
 
+def _by_bucket(words: pa.Array, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places) of the words; the hash deals and never decides."""
+    digest = xxhash.xxh3_64_intdigest
+    bucket = np.array([digest(w) % buckets for w in words.to_pylist()], dtype=np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for i in np.flatnonzero(np.diff(cuts)).tolist():
+        yield i, order[cuts[i] : cuts[i + 1]]
 
-def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return ((keys >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
 
+WORDS, LONGS = pa.list_(pa.field("element", pa.binary())), pa.list_(pa.field("element", pa.int64()))
+COUNTS = "bucket int, words array<binary>, counts array<long>"
+_COUNTS = pa.schema([("bucket", pa.int32()), ("words", WORDS), ("counts", LONGS)])
 
-COUNTS = "bucket int, n long, keys binary, counts binary"
+
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
 def count_words(texts: DataFrame, buckets: int) -> DataFrame:
-    """Counts of all tokens of (text) rows, a row for each bucket of keys."""
+    """Counts of all tokens of (text) rows, a row for each bucket of words."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, size = [], [], 0
+        parts, size = [], 0
 
         def rows():
-            k, c = _sums(keys, counts)
-            order = np.argsort(_bucket_of(k, buckets), kind="stable")
-            k, c = k[order], c[order]
-            cuts = np.searchsorted(_bucket_of(k, buckets), np.arange(buckets + 1))
-            some = np.flatnonzero(np.diff(cuts)).tolist()
-            spans = [(cuts[i], cuts[i + 1]) for i in some]
-            arrays = [pa.array(np.array(some, np.int32)), pa.array([int(b - a) for a, b in spans], pa.int64())]
-            arrays += [pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (k, c)]
-            return pa.RecordBatch.from_arrays(arrays, ["bucket", "n", "keys", "counts"])
+            words, counts = _merged(parts)
+            return _rows([(i, words.take(pa.array(at)).to_pylist(), counts[at]) for i, at in _by_bucket(words, buckets)], _COUNTS)
 
         for batch in batches:
-            for _, _, found, _ in word_keys(batch.column(0)):
-                k, c = np.unique(found, return_counts=True)
-                keys.append(k)
-                counts.append(c)
-                size += len(k)
-                if size > 2_000_000:
-                    k, c = _sums(keys, counts)
-                    keys[:], counts[:], size = [k], [c], len(k)
-                    if size > 1_500_000:
+            for which, distinct, _ in tokens_of(batch.column(0)):
+                parts.append((distinct, np.bincount(which, minlength=len(distinct))))
+                size += len(distinct)
+                if size > 500_000:
+                    parts[:] = [_merged(parts)]
+                    size = len(parts[0][0])
+                    if size > 250_000:
                         yield rows()
-                        keys[:], counts[:], size = [], [], 0
+                        parts[:], size = [], 0
         if size:
             yield rows()
 
     def total(table: pa.Table) -> pa.Table:
-        k, c = _sums(*([np.frombuffer(x, t) for x in table.column(name).to_pylist()] for name, t in (("keys", np.uint64), ("counts", np.int64))))
-        return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()), "n": [len(k)], "keys": [k.tobytes()], "counts": [c.tobytes()]})
+        words, counts = _merged([(w.values.cast(pa.large_binary()), c.values.to_numpy()) for w, c in zip(table.column("words").combine_chunks(), table.column("counts").combine_chunks())])
+        return pa.Table.from_batches([_rows([(table.column("bucket")[0].as_py(), words.to_pylist(), counts)], _COUNTS)])
 
     return texts.mapInArrow(partial, COUNTS).groupBy("bucket").applyInArrow(total, COUNTS)
 
 
-def summary(counts: DataFrame, most: int) -> tuple[int, int, list[tuple[int, int]]]:
-    """All tokens, distinct tokens, and the ``most`` frequent (key, count), the end not among them."""
+def summary(counts: DataFrame, most: int) -> tuple[int, int, list[tuple[bytes, int]]]:
+    """All tokens, distinct tokens, and the ``most`` frequent (word, count), the end not among them."""
 
     def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, c in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                k, c = np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)
-                order = np.lexsort((k, -c))[: most + 1]
-                share = np.zeros(len(order), np.int64)
-                share[:1] = c.sum()
-                distinct = np.zeros(len(order), np.int64)
-                distinct[:1] = len(c)
-                yield pa.RecordBatch.from_arrays([pa.array(k[order].view(np.int64)), pa.array(c[order]), pa.array(share), pa.array(distinct)], ["key", "n", "all", "distinct"])
-
-    best = counts.mapInArrow(top, "key long, n long, all long, distinct long")
+            for w, c in zip(batch.column(1), batch.column(2)):
+                c = c.values.to_numpy()
+                order = np.argsort(-c, kind="stable")[: most + 1]
+                share, distinct = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+                share[:1], distinct[:1] = c.sum(), len(c)
+                best = w.values.take(pa.array(order)).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([best, pa.array(c[order]), pa.array(share), pa.array(distinct)], ["word", "n", "all", "distinct"])
+
+    best = counts.mapInArrow(top, "word binary, n long, all long, distinct long")
     total = best.agg(F.sum("all").alias("a"), F.sum("distinct").alias("d")).first()
-    rows = best.orderBy(F.desc("n"), "key").limit(most + 1).collect()  # bounded by the model's size
-    words = [(r.key, r.n) for r in rows if r.key != int(END_KEY)][:most]
+    rows = best.orderBy(F.desc("n"), "word").limit(most + 1).collect()  # bounded by the model's size
+    words = [(bytes(r.word), r.n) for r in rows if bytes(r.word) != END_WORD][:most]
     return int(total.a or 0), int(total.d or 0), words
 
 
 class Model:
     """Weights, forward pass, truncated backpropagation."""
 
-    def __init__(self, keys: np.ndarray, prior: np.ndarray):
-        """keys: hashes of the words of symbols 2.. ; prior: a probability for each symbol."""
+    def __init__(self, words: list[bytes], prior: np.ndarray):
+        """words: those of symbols 2.. ; prior: a probability for each symbol."""
         rng = np.random.default_rng(SEED)
-        order = np.argsort(keys)
-        self.keys, self.symbol = keys[order], (order + 2).astype(np.int64)
+        self.words = words
         n = CLASSES * CLASS_WORDS
         self.size = len(prior)
         full = np.zeros(n)
@@ -163,13 +176,11 @@ class Model:
             "word_bias": inside.astype(np.float32),
         }
 
-    def symbols(self, keys: np.ndarray) -> np.ndarray:
-        out = np.full(len(keys), OTHER, dtype=np.int64)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            hit = self.keys[at] == keys
-            out[hit] = self.symbol[at[hit]]
-        out[keys == END_KEY] = END
+    def symbols(self, distinct: pa.Array) -> np.ndarray:
+        """The symbol of each of a block's distinct tokens, the last of which is the end."""
+        at = pc.index_in(distinct, pa.array(self.words, pa.large_binary())).fill_null(OTHER - 2)
+        out = at.to_numpy().astype(np.int64) + 2
+        out[-1] = END
         return out
 
     def flat(self) -> np.ndarray:
@@ -178,7 +189,7 @@ class Model:
     def load(self, flat: np.ndarray) -> None:
         at = 0
         for k, v in self.w.items():
-            self.w[k] = flat[at : at + v.size].reshape(v.shape).astype(np.float32)
+            self.w[k] = flat[at : at + v.size].reshape(v.shape).astype(np.float32, copy=False)
             at += v.size
 
     def step(self, h: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, tuple]:
@@ -193,66 +204,77 @@ class Model:
 
     def output(self, h: np.ndarray, symbols: np.ndarray, back: bool = False):
         """Natural log probabilities of symbols given the states before them; with ``back`` the gradients too."""
-        kind, inside = symbols // CLASS_WORDS, symbols % CLASS_WORDS
-        row = np.arange(len(h))
-        a = h @ self.w["class"] + self.w["class_bias"]
+        order = np.argsort(symbols // CLASS_WORDS, kind="stable")
+        kind, inside = np.divmod(symbols[order], CLASS_WORDS)
+        own, row = h[order], np.arange(len(h))
+        cuts = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+        a = own @ self.w["class"]
+        a += self.w["class_bias"]
         a -= a.max(1, keepdims=True)
-        e = np.exp(a)
-        total = e.sum(1)
-        out = a[row, kind] - np.log(total)
-        order = np.argsort(kind, kind="stable")
-        cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        if back:
-            e /= total[:, None]
-            e[row, kind] -= 1
-            d_h = e @ self.w["class"].T
-            found = {"class": h.T @ e, "class_bias": e.sum(0), "word": np.zeros_like(self.w["word"]), "word_bias": np.zeros_like(self.w["word_bias"])}
-        for c in np.flatnonzero(np.diff(cuts)).tolist():
-            at = order[cuts[c] : cuts[c + 1]]
-            own, target = h[at], inside[at]
-            b = own @ self.w["word"][c] + self.w["word_bias"][c]
-            b -= b.max(1, keepdims=True)
-            f = np.exp(b)
-            s = f.sum(1)
-            out[at] += b[np.arange(len(at)), target] - np.log(s)
-            if back:
-                f /= s[:, None]
-                f[np.arange(len(at)), target] -= 1
-                d_h[at] += f @ self.w["word"][c].T
-                found["word"][c] = own.T @ f
-                found["word_bias"][c] = f.sum(0)
-        return (out, d_h, found) if back else out
+        picked = a[row, kind]
+        np.exp(a, out=a)
+        total = a.sum(1)
+        b = np.empty((len(h), CLASS_WORDS), dtype=a.dtype)
+        for c in range(CLASSES):
+            i, j = cuts[c], cuts[c + 1]
+            if j > i:
+                np.matmul(own[i:j], self.w["word"][c], out=b[i:j])
+                b[i:j] += self.w["word_bias"][c]
+        b -= b.max(1, keepdims=True)
+        picked += b[row, inside]
+        np.exp(b, out=b)
+        sums = b.sum(1)
+        out = np.empty(len(h), dtype=a.dtype)
+        out[order] = picked - np.log(total * sums)
+        if not back:
+            return out
+        a /= total[:, None]
+        a[row, kind] -= 1
+        b /= sums[:, None]
+        b[row, inside] -= 1
+        d_own = a @ self.w["class"].T
+        found = {"class": own.T @ a, "class_bias": a.sum(0), "word": np.zeros_like(self.w["word"]), "word_bias": np.zeros_like(self.w["word_bias"])}
+        for c in range(CLASSES):
+            i, j = cuts[c], cuts[c + 1]
+            if j > i:
+                d_own[i:j] += b[i:j] @ self.w["word"][c].T
+                found["word"][c] = own[i:j].T @ b[i:j]
+                found["word_bias"][c] = b[i:j].sum(0)
+        d_h = np.empty_like(d_own)
+        d_h[order] = d_own
+        return out, d_h, found
 
     def gradients(self, symbols: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> tuple[float, dict, np.ndarray]:
         """Loss, gradients and last state of a window (time, streams); fresh: a document starts there."""
-        t_max, streams = symbols.shape
-        before, saved = [], []
+        (t_max, streams), dtype = symbols.shape, h.dtype
+        keep = (~fresh[:, :, None]).astype(dtype)
+        before, z, r, n, un = np.empty((5, t_max, streams, STATE), dtype=dtype)
         for t in range(t_max):
-            h = np.where(fresh[t][:, None], 0, h).astype(h.dtype)
-            before.append(h)
-            h, kept = self.step(h, symbols[t])
-            saved.append(kept)
-        states = np.concatenate(before)
-        logp, d_out, found = self.output(states, symbols.ravel(), back=True)
-        d_out = d_out.reshape(t_max, streams, STATE)
-        d_gates = np.empty((t_max, streams, 3 * STATE), dtype=h.dtype)
-        d_state = np.zeros_like(self.w["state"])
-        d_h = np.zeros_like(h)
+            before[t] = h * keep[t]
+            h, (z[t], r[t], n[t], un[t]) = self.step(before[t], symbols[t])
+        logp, d_out, found = self.output(before.reshape(-1, STATE), symbols.ravel(), back=True)
+        d_out = d_out.reshape(before.shape)
+        by_n, by_z, by_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), un * r * (1 - r)
+        d_gates, d_u = np.empty((2, t_max, streams, 3 * STATE), dtype=dtype)
+        back, d_h = self.w["state"].T.copy(), np.zeros_like(h)
         for t in range(t_max - 1, -1, -1):
-            z, r, n, un = saved[t]
-            d_n = d_h * (1 - z) * (1 - n * n)
-            d_z = d_h * (before[t] - n) * z * (1 - z)
-            d_r = d_n * un * r * (1 - r)
-            d_gates[t] = np.concatenate([d_z, d_r, d_n], axis=1)
-            d_u = np.concatenate([d_z, d_r, d_n * r], axis=1)
-            d_state += before[t].T @ d_u
-            d_h = np.where(fresh[t][:, None], 0, d_h * z + d_u @ self.w["state"].T + d_out[t])
+            d = d_gates[t]
+            d[:, 2 * STATE :] = d_h * by_n[t]
+            d[:, :STATE] = d_h * by_z[t]
+            d[:, STATE : 2 * STATE] = d[:, 2 * STATE :] * by_r[t]
+            d_u[t] = d
+            d_u[t, :, 2 * STATE :] *= r[t]
+            d_h *= z[t]
+            d_h += d_u[t] @ back
+            d_h += d_out[t]
+            d_h *= keep[t]
         ids = symbols.ravel()
         order = np.argsort(ids, kind="stable")
-        starts = np.flatnonzero(np.append(True, ids[order][1:] != ids[order][:-1]))
+        ids = ids[order]
+        starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
         d_table = np.zeros_like(self.w["gates"])
-        d_table[ids[order][starts]] = np.add.reduceat(d_gates.reshape(-1, 3 * STATE)[order], starts)
-        found |= {"gates": d_table, "state": d_state}
+        d_table[ids[starts]] = np.add.reduceat(d_gates.reshape(-1, 3 * STATE)[order], starts)
+        found |= {"gates": d_table, "state": before.reshape(-1, STATE).T @ d_u.reshape(-1, 3 * STATE)}
         return -float(logp.sum()), found, h
 
     def train(self, symbols: np.ndarray, fresh: np.ndarray, rate: float, adam: dict) -> int:
@@ -261,19 +283,25 @@ class Model:
         streams = max(1, min(STREAMS, len(symbols) // (4 * WINDOW)))
         length = len(symbols) // streams
         x, f = (v[: streams * length].reshape(streams, length).T for v in (symbols, fresh))
-        h = np.zeros((streams, STATE), np.float32)
+        h, flat = np.zeros((streams, STATE), np.float32), self.flat()
         if not adam:
-            adam |= {"steps": 0} | {name: {k: np.zeros_like(v) for k, v in self.w.items()} for name in ("mean", "square")}
+            adam |= {"steps": 0, "mean": np.zeros_like(flat), "square": np.zeros_like(flat)}
         mean, square, done = adam["mean"], adam["square"], adam["steps"]
         for i, t in enumerate(range(0, length, WINDOW), done + 1):
             adam["steps"] = i
             window = x[t : t + WINDOW]
             _, found, h = self.gradients(window, f[t : t + WINDOW], h)
-            for k, g in found.items():
-                g = g / window.size
-                mean[k] += 0.1 * (g - mean[k])
-                square[k] += 0.01 * (g * g - square[k])
-                self.w[k] = (self.w[k] - rate * mean[k] / (1 - 0.9**i) / (np.sqrt(square[k] / (1 - 0.99**i)) + 1e-6)).astype(np.float32)
+            g = np.concatenate([found[k].ravel() for k in self.w])
+            g /= window.size
+            mean *= 0.9
+            mean += 0.1 * g
+            g *= g
+            square *= 0.99
+            square += 0.01 * g
+            np.sqrt(square / (1 - 0.99**i), out=g)
+            g += 1e-6
+            flat -= (rate / (1 - 0.9**i)) * mean / g
+            self.load(flat)
         return streams * length
 
     def score(self, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -309,20 +337,21 @@ class Model:
 
 
 def learn(texts: DataFrame, model: Model) -> int:
-    """Rounds of training in the tasks, averaged; ``texts`` has the column text.  Returns the tokens of a round."""
-    share, tokens = texts.select("text"), 0
+    """Rounds of training in the tasks, averaged; ``texts`` has the column text.  Returns the tokens learned from."""
+    tokens = 0
     for number in range(ROUNDS):
-        flat, rate = model.flat(), RATES[number]
+        share = texts.select("text").filter(F.pmod(F.xxhash64(F.col("text"), F.lit("round")), F.lit(ROUNDS)) == number)
+        flat, rate, words = model.flat(), RATES[number], model.words
 
         def run(batches: Iterator[pa.RecordBatch], flat=flat, rate=rate) -> Iterator[pa.RecordBatch]:
-            own, adam, learned = Model(np.zeros(0, np.uint64), np.ones(1)), {}, 0
+            own, adam, learned = Model(words, np.ones(1)), {}, 0
             own.load(flat)
             symbols, fresh = np.zeros(0, np.int64), np.zeros(0, dtype=bool)
             for batch in batches:
-                for _, _, keys, first in word_keys(batch.column(0)):
-                    begins = np.zeros(len(keys), dtype=bool)
+                for which, distinct, first in tokens_of(batch.column(0)):
+                    begins = np.zeros(len(which), dtype=bool)
                     begins[first[:-1]] = True
-                    symbols, fresh = np.concatenate([symbols, model.symbols(keys)]), np.concatenate([fresh, begins])
+                    symbols, fresh = np.concatenate([symbols, own.symbols(distinct)[which]]), np.concatenate([fresh, begins])
                     if len(symbols) >= 4 * STREAMS * WINDOW:
                         taken = own.train(symbols, fresh, rate, adam)
                         symbols, fresh, learned = symbols[taken:], fresh[taken:], learned + taken
@@ -339,32 +368,37 @@ def learn(texts: DataFrame, model: Model) -> int:
 
         schema, tasks = "part long, tokens long, weights binary", share.rdd.getNumPartitions()
         found = share.mapInArrow(run, schema)
-        while tasks > _MERGE:  # so that at most _MERGE copies meet in one task or the driver
+        while tasks > 1:
             found = found.withColumn("part", F.floor(F.col("part") / _MERGE)).groupBy("part").applyInArrow(add, schema)
             tasks = -(-tasks // _MERGE)
-        rows = found.collect()
-        tokens = sum(r.tokens for r in rows)
-        if tokens:
-            model.load(sum(np.frombuffer(r.weights, np.float64) for r in rows) / tokens)
+        for r in found.collect():  # one row
+            model.load(np.frombuffer(r.weights, np.float64) / r.tokens)
+            tokens += r.tokens
     return tokens
 
 
-def _ask(unit, table, _, buckets):
-    keys = [np.unique(k) for _, _, k, _ in word_keys(table.column("__text"))]
-    distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]))
-    return units.packed(unit, buckets, 0, distinct)
+ASK = "bucket int, unit int, words array<binary>"
+ANSWER = "unit int, bucket int, counts array<long>"
+_ASK = pa.schema([("bucket", pa.int32()), ("unit", pa.int32()), ("words", WORDS)])
+_ANSWER = pa.schema([("unit", pa.int32()), ("bucket", pa.int32()), ("counts", LONGS)])
+
+
+def _unit_words(table: pa.Table) -> tuple[list, pa.Array]:
+    """The blocks of a unit and its distinct tokens, in the same order at every visit."""
+    here = list(tokens_of(table.column("__text")))
+    return here, _merged([(d, np.zeros(len(d))) for _, d, _ in here])[0]
 
 
 def _reply(asks: pa.Table, counts: pa.Table) -> pa.Table:
-    got = units.Asked(asks.combine_chunks(), 0)
-    held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    """The count of every word in the order asked, 0 for unknown ones."""
+    held, n = pa.array([], pa.large_binary()), np.zeros(0, np.int64)
     if counts.num_rows:
-        held = np.frombuffer(counts.column("keys")[0].as_py(), np.uint64), np.frombuffer(counts.column("counts")[0].as_py(), np.int64)
-    known = units.contains(got.keys, held[0])
-    values = np.zeros(len(got.keys), dtype=[("key", "<u8"), ("n", "<i8")])
-    values["key"] = got.keys
-    values["n"][known] = held[1][np.searchsorted(held[0], got.keys[known])]
-    return got.answers(0, known, values)
+        held, n = counts.column("words").combine_chunks()[0].values.cast(pa.large_binary()), counts.column("counts").combine_chunks()[0].values.to_numpy()
+    n, rows = np.append(n, 0), []
+    for unit, bucket, words in zip(asks.column("unit").to_pylist(), asks.column("bucket").to_pylist(), asks.column("words").combine_chunks()):
+        at = pc.index_in(words.values.cast(pa.large_binary()), held).fill_null(len(n) - 1)
+        rows.append((unit, bucket, n[at.to_numpy()]))
+    return pa.Table.from_batches([_rows(rows, _ANSWER)])
 
 
 def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -379,30 +413,34 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     prior[OTHER] = max(1 - prior.sum(), 1e-9)
     if not n:
         prior[:] = 1 / len(prior)
-    model = Model(np.array([k for k, _ in words], dtype=np.int64).view(np.uint64), prior)
+    model = Model([w for w, _ in words], prior)
     learn(training, model)
     log_other = math.log(prior[OTHER])
     dealt = units.deal(docs, key, text)
-    asks = units.ask(dealt, None, _ask, buckets)
-    replies = asks.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(_reply, units.ANSWER)
+
+    def ask(table: pa.Table) -> pa.Table:
+        unit, distinct = table.column("__unit")[0].as_py(), _unit_words(units.in_order(table))[1]
+        return pa.Table.from_batches([_rows([(i, unit, distinct.take(pa.array(at)).to_pylist()) for i, at in _by_bucket(distinct, buckets)], _ASK)])
+
+    asks = dealt.groupBy("__unit").applyInArrow(ask, ASK)
+    replies = asks.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(_reply, ANSWER)
 
     def work(table: pa.Table, found: pa.Table) -> pa.Table:
-        pairs = np.frombuffer(b"".join(found.column("keys").to_pylist()), dtype=[("key", "<u8"), ("n", "<i8")])
-        pairs = pairs[np.argsort(pairs["key"])]
-        known_keys = np.ascontiguousarray(pairs["key"])
-        value = np.log((np.append(pairs["n"], 0) + 1) / room)
+        here, every = _unit_words(table)
+        given = dict(zip(found.column("bucket").to_pylist(), found.column("counts").combine_chunks()))
+        count = np.zeros(len(every), np.int64)
+        for i, at in _by_bucket(every, buckets):
+            count[at] = given[i].values.to_numpy()
         tokens, known, base, symbols, rest = [], [], [], [], []
-        for _, _, keys, first in word_keys(table.column("__text")):
-            hit = units.contains(keys, known_keys)
-            at = np.where(hit, np.searchsorted(known_keys, keys), len(known_keys))
-            logs = value[at]
-            own = model.symbols(keys)
+        for which, distinct, first in here:
+            c = count[pc.index_in(distinct, every).to_numpy()]
+            value, own = np.log((c + 1) / room), model.symbols(distinct)
             tokens.append(np.diff(first))
-            known.append(np.add.reduceat(hit, first[:-1], dtype=np.int64))
-            base.append(np.add.reduceat(logs, first[:-1]))
+            known.append(np.add.reduceat(c[which] > 0, first[:-1], dtype=np.int64))
+            base.append(np.add.reduceat(value[which], first[:-1]))
             # a word outside the model shares its symbol's probability by the unigram counts
-            rest.append(np.add.reduceat(np.where(own == OTHER, logs - log_other, 0), first[:-1]))
-            symbols.append(own.astype(np.int32))
+            rest.append(np.add.reduceat(np.where(own == OTHER, value - log_other, 0)[which], first[:-1]))
+            symbols.append(own[which].astype(np.int32))
         size = np.concatenate([np.zeros(0, np.int64), *tokens])
         starts = np.concatenate([[0], np.cumsum(size)])
         recurrent = model.score(np.concatenate([np.zeros(0, np.int32), *symbols]), starts)

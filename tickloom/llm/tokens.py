@@ -4,7 +4,8 @@ A byte-level vocabulary splits a text before it merges, always where a non-space
 space and where a letter is followed by punctuation.  Texts are cut there, into words and runs of punctuation.  Distinct
 chunks are joined to long texts for the library; the number of bytes that each id stands for gives the ids back to
 the chunks.  The ids are those of the whole text: cuts next to white space outside ASCII are left out, and the
-first and last chunks of documents, which may lack white space on one side, are encoded by themselves.
+first and last chunks of documents, which may lack white space on one side, are encoded by themselves.  Chunks are told
+apart by their bytes, in a block by a dictionary encoding and between blocks in a dict.
 """
 
 from __future__ import annotations
@@ -13,13 +14,14 @@ import functools
 
 import numpy as np
 
-from .textbytes import SPACE, hash_spans
+from .textbytes import SPACE, as_binary
 
 END_ID = 2
 #: Bytes of a block that is encoded at once.
 BLOCK_BYTES = 2 << 20
-#: Chunks that a worker keeps between blocks.
-KEPT_CHUNKS = 1_000_000
+#: Chunks that a worker keeps between blocks, and the most bytes of one; others are encoded again where they come.
+KEPT_CHUNKS = 200_000
+KEPT_BYTES = 64
 _JOINED_BYTES = 1 << 15
 
 #: Bytes before the last of a white-space character outside ASCII: C2, and the middle bytes 80, 81 and 9A.
@@ -60,7 +62,8 @@ class Encoder:
         self.byte_length = np.zeros(self.size, dtype=np.int64)
         for token, i in vocab.items():
             self.byte_length[i] = len(token)
-        self.kept = [_Kept(self.width), _Kept(self.width)]
+        self.number: dict[bytes, int] = {}
+        self.ids, self.lengths = np.zeros(0, self.width), np.zeros(0, np.int64)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -100,56 +103,29 @@ class Encoder:
         """Ids of all documents of a block, each closed by END_ID, and where each begins (one more at the end)."""
         start, first = chunk_starts(data, offsets)
         end = np.append(start[1:], len(data))
-        hashes = hash_spans(data, start, end)
-        keys, example, which = np.unique(hashes, return_index=True, return_inverse=True)
-        number, base = np.full(len(keys), -1, dtype=np.int64), 0
-        for kept in self.kept:
-            place = np.searchsorted(kept.keys, keys)
-            hit = place < len(kept.keys)
-            hit[hit] = kept.keys[place[hit]] == keys[hit]
-            number[hit] = base + place[hit]
-            base += len(kept.keys)
+        found = as_binary(data, end - start).dictionary_encode()
+        which, chunks = found.indices.to_numpy(), found.dictionary.to_pylist()
+        number = np.array([self.number.get(x, -1) for x in chunks], dtype=np.int64)
+        kept = len(self.lengths)
         new = np.flatnonzero(number < 0)
-        number[new] = base + np.arange(len(new))
-        raw = data.tobytes()
-        ids, lengths = self._chunks(raw, start[example[new]], end[example[new]])
+        number[new] = kept + np.arange(len(new))
+        # where each distinct chunk is first
+        example = np.zeros(len(chunks), dtype=np.int64)
+        example[which[::-1]] = np.arange(len(which))[::-1]
+        ids, lengths = self._chunks(data.tobytes(), start[example[new]], end[example[new]])
         # chunk numbers: the kept ones, the new ones, and one for the end of a document
-        flat = np.concatenate([*(x.ids for x in self.kept), ids, np.array([END_ID], dtype=self.width)])
-        sizes = np.concatenate([*(x.lengths for x in self.kept), lengths, [1]])
+        flat = np.concatenate([self.ids, ids, np.array([END_ID], dtype=self.width)])
+        sizes = np.concatenate([self.lengths, lengths, [1]])
         at = np.concatenate([[0], np.cumsum(sizes)])
-        order = np.insert(number[which], first[1:], base + len(new))
+        order = np.insert(number[which], first[1:], kept + len(new))
         result = gather(flat, at, order)
         bounds = np.concatenate([[0], np.cumsum(sizes[order])])
         starts = np.append(first[:-1] + np.arange(len(first) - 1), len(order))
-        self._keep(_Kept(self.width, keys[new], ids, lengths))
+        if kept + len(new) <= KEPT_CHUNKS and len(ids) <= KEPT_CHUNKS:
+            self.number |= {chunks[i]: kept + k for k, i in enumerate(new.tolist()) if len(chunks[i]) <= KEPT_BYTES}
+            self.ids, self.lengths = flat[:-1], sizes[:-1]
         return result, bounds[starts]
 
-    def _keep(self, new: _Kept) -> None:
-        old, recent = self.kept
-        if len(old.keys) + len(recent.keys) + len(new.keys) > KEPT_CHUNKS:
-            return
-        recent = recent.merged(new)
-        if 4 * len(recent.keys) > len(old.keys):
-            old, recent = old.merged(recent), _Kept(self.width)
-        self.kept = [old, recent]
-
-
-class _Kept:
-    """Sorted chunk hashes with the chunks' ids."""
-
-    def __init__(self, width: np.dtype, keys=None, ids=None, lengths=None):
-        self.keys = np.zeros(0, np.uint64) if keys is None else keys
-        self.ids = np.zeros(0, width) if ids is None else ids
-        self.lengths = np.zeros(0, np.int64) if lengths is None else lengths
-
-    def merged(self, other: _Kept) -> _Kept:
-        keys = np.concatenate([self.keys, other.keys])
-        order = np.argsort(keys, kind="stable")
-        lengths = np.concatenate([self.lengths, other.lengths])
-        at = np.concatenate([[0], np.cumsum(lengths)])
-        ids = gather(np.concatenate([self.ids, other.ids]), at, order)
-        return _Kept(self.ids.dtype, keys[order], ids, lengths[order])
-
 
 def gather(flat: np.ndarray, at: np.ndarray, order: np.ndarray) -> np.ndarray:
     """The runs flat[at[i]:at[i+1]] for each i of ``order``, one after another."""
