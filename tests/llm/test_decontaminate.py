@@ -1,7 +1,7 @@
 import random
 import re
 
-from tickloom.llm.decontaminate import ERROR_RATE, LEAST_BYTES, best_distance, masks, matches, normal_text, remove_contaminated
+from tickloom.llm.decontaminate import ERROR_RATE, best_distance, masks, matches, normal_text, remove_contaminated
 
 from .conftest import sentence
 
@@ -31,7 +31,7 @@ def test_normal_form():
 
 def world():
     rng = random.Random(11)
-    items = [(i, sentence(rng, rng.randint(8, 40))) for i in range(12)] + [(20, None), (21, "short"), (22, "")]
+    items = [(i, sentence(rng, rng.randint(8, 40))) for i in range(12)] + [(20, None), (21, "short"), (22, ""), (23, "Of!"), (24, "the of is")]
     docs = []
     for i in range(80):
         text = sentence(rng, rng.randint(0, 60))
@@ -43,7 +43,7 @@ def world():
             body = rng.choice([body, body.upper(), re.sub(r" ", "###\n", body)])
             text = f"{text} {body} {sentence(rng, 5)}" if rng.random() < 0.7 else body
         docs.append((i, text))
-    return docs + [(100, None), (101, ""), (102, " ".join(t for _, t in items if t))], items
+    return docs + [(100, None), (101, ""), (102, " ".join(t for _, t in items if t)), (103, "x, short y"), (104, "shorter unshort")], items
 
 
 def test_against_brute_force(spark):
@@ -51,8 +51,12 @@ def test_against_brute_force(spark):
     want = {}
     for d, text in docs:
         for i, item in items:
-            p = normal_text(item)
-            if len(p) >= LEAST_BYTES and (n := stretch_distance(p, normal_text(text))) <= int(ERROR_RATE * len(p)):
+            p, t = normal_text(item), normal_text(text)
+            budget = int(ERROR_RATE * len(p))
+            if not budget:
+                if p and f" {p} " in f" {t} ":
+                    want[d, i] = 0
+            elif (n := stretch_distance(p, t)) <= budget:
                 want[d, i] = n
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -67,3 +71,17 @@ def test_empty_sides(spark, docs, empty_docs):
     assert matches(empty_docs, bench).count() == 0
     assert matches(docs, bench.limit(0)).count() == 0
     assert remove_contaminated(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_blocks_of_items_nulls_repeats_and_clashes(spark, monkeypatch):
+    from tickloom.llm import decontaminate
+
+    docs, items = world()
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame([(d, t, "x", None) for d, t in docs] + [(None, docs[3][1], "y", 1)] * 2, "doc_id long, text string, item_id string, distance int")
+    rows = lambda: sorted(str((r.doc_id, r.item_id, r.distance)) for r in matches(frame, bench).collect())
+    kept = lambda: sorted(str(r) for r in remove_contaminated(frame, bench).collect())
+    one = rows(), kept()
+    assert any(x.startswith("(None") for x in one[0]) == any(x.startswith("(3,") for x in one[0])
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 600)
+    assert (rows(), kept()) == one

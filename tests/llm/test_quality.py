@@ -67,3 +67,26 @@ def test_odd_inputs(spark, docs, empty_docs):
     assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
     kept = quality.keep_good(docs, network)
     assert kept.schema == docs.schema and kept.count() == sum(r.predicted for r in rows)
+
+
+def test_sample_is_bounded_before_it_is_collected(spark, monkeypatch):
+    """An id on many rows gives one text, and what is learned from keeps within its bounds."""
+    learned = []
+    monkeypatch.setattr(Network, "learn", lambda self, texts, labels, rng: learned.append((texts, labels.tolist())))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    labels = spark.createDataFrame([(i, i % 2, "a", 0) for i in ids] + [(ids[0], ids[0] % 2, "b", 1), (None, 1, None, None)], "doc_id long, quality int, text string, toxic int")
+    docs = spark.createDataFrame([(ids[0], f"text {i % 3}") for i in range(60)] + [(i, "x" * (100 * i)) for i in ids[1:]] + [(None, "n"), (ids[1], None)], "doc_id long, text string")
+    train(docs, labels)
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 9000)
+    train(docs, labels)
+    monkeypatch.setattr(quality, "LONGEST", 500)
+    train(docs, labels)
+    (all_, kinds), (some, _), (short, _) = learned
+    assert len(all_) == len(ids) == len(kinds) and len(some) < len(all_) and sum(map(len, some)) <= 9000
+    assert some == all_[: len(some)] and max(map(len, short)) <= 500
+
+
+def test_null_ids_repeats_and_clashing_columns(spark):
+    rows = [(None, "a b", 1, True), (None, "a b", 1, True), (3, None, 2, None), (3, "", 2, None)]
+    got = score(spark.createDataFrame(rows, "doc_id long, text string, score int, held_out boolean"), Network(np.random.default_rng(2))).collect()
+    assert len(got) == 4 and len({r.score for r in got}) == 2 and not any(r.held_out for r in got if r.doc_id is None)

@@ -57,3 +57,32 @@ def test_empty_and_repeated(spark, empty_docs):
     assert near_duplicates(empty_docs).count() == 0
     rows = near_duplicates(spark.createDataFrame([(1, "a b"), (1, "a b"), (2, "A  B")], "doc_id long, text string")).collect()
     assert len(rows) == 3 and {r.component_id for r in rows} == {1}
+
+
+def test_null_ids_and_clashing_columns(spark):
+    rows = [(None, "a b", 1, "x"), (4, "a b", 2, "y"), (None, "quite another text of words", 3, "z"), (9, None, 4, None)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, print int, root string")).collect()
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in got) == [("4", "4"), ("9", "9"), ("None", "4"), ("None", "None")]
+
+
+def test_a_key_with_half_of_the_rows_is_spread(spark):
+    from pyspark.sql import functions as F
+
+    from tickloom.llm.shared import spread_join
+
+    rows = spark.range(4000).select(F.when(F.col("id") < 2000, 7).when(F.col("id") < 2500, None).otherwise(F.col("id")).alias("k"), "id")
+    values = rows.filter("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        joined = spread_join(rows, values, "k", F.col("id"), 4000, "left")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert max(sizes) < 900 and sum(sizes) == 4000
+        got = joined.collect()
+        assert {(r.k, r.v) for r in got if r.k == 7 or r.k is None} == {(7, 1999), (None, None)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")

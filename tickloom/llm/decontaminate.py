@@ -8,11 +8,14 @@ An item with a budget of k edits is split into k + 1 pieces; k edits leave at le
 match shows as an exact hit of a piece.  Hits of all pieces are found in one pass by an Aho-Corasick automaton.  Around
 each hit the item is verified by Myers' bit-parallel edit distance, on the union of the places its hits point to.
 
-The test items are a stated query set: they are taken in blocks of at most ``BLOCK_BYTES``, and every block's pieces go
-to all tasks, whatever the size of the set.
+An item too short for any edit is found where its own words stand whole, one after another.
 
-Defined results: null and empty texts contain nothing; null items and items whose normal form has fewer than
-``LEAST_BYTES`` bytes match nothing; equal items with different ids all match; repeated documents match each for
+The test items are a stated query set: they are taken in blocks of at most ``BLOCK_BYTES``, one after another, and a
+block's pieces go to all tasks.  With several blocks each one's result is written before the next block is read, so that
+driver and tasks hold one block, whatever the size of the set.
+
+Defined results: null and empty texts contain nothing; null items and items whose normal form is empty match nothing;
+equal items with different ids all match; repeated documents match each for
 itself; a null document id keeps its row; other columns are ignored; an empty table on either side gives no matches.
 """
 
@@ -25,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import written
 from .textbytes import LOWER, blocks
 
 ERROR_RATE = 0.06
-LEAST_BYTES = 20
 BLOCK_BYTES = 4 << 20
 
 _KEEP = np.array([i >= 0x80 or chr(i).isalnum() for i in range(256)])
@@ -108,7 +111,7 @@ class Matcher:
         for key, text in items:
             pattern = normal_text(text)
             m = len(pattern)
-            if m < LEAST_BYTES:
+            if not m:
                 continue
             budget = int(rate * m)
             cuts = [m * j // (budget + 1) for j in range(budget + 2)]
@@ -136,8 +139,10 @@ class Matcher:
         for end, row, (size, found) in zip(ends, rows, hits):
             begin = end - size + 1
             if begin >= bounds[row]:  # else it crosses from one document to the next
+                whole = (begin == bounds[row] or text[begin - 1] == " ") and (end + 1 == bounds[row + 1] or text[end + 1] == " ")
                 for item, offset in found:
-                    guesses.setdefault((row, item), set()).add(begin - offset)
+                    if whole or self.items[item][3]:
+                        guesses.setdefault((row, item), set()).add(begin - offset)
         out = []
         for (row, item), starts in guesses.items():
             key, pattern_masks, m, budget = self.items[item]
@@ -155,17 +160,18 @@ class Matcher:
         return out
 
 
-def _item_blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[list[tuple[int, str]]]:
+def _item_blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[tuple[bool, list[tuple[int, str]]]]:
+    """(whether there are several, (key, text) of the items) of each block."""
     items = benchmark.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).filter("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     count = 1 + 2 * size // BLOCK_BYTES
     for i in range(count):
         part = items.filter(F.pmod(F.xxhash64("key", "text"), F.lit(count)) == i)
-        yield [(r.key, r.text) for r in part.collect()]  # about half of BLOCK_BYTES
+        yield count > 1, [(r.key, r.text) for r in part.collect()]  # about half of BLOCK_BYTES
 
 
-def _matchers(benchmark: DataFrame, rate: float, key: str, text: str) -> Iterator[Callable[[], Matcher]]:
-    for items in _item_blocks(benchmark, key, text):
+def _matchers(benchmark: DataFrame, rate: float, key: str, text: str) -> Iterator[tuple[bool, Callable[[], Matcher]]]:
+    for several, items in _item_blocks(benchmark, key, text):
         kept: list[Matcher] = []
 
         def matcher(items=items, kept=kept) -> Matcher:
@@ -173,14 +179,14 @@ def _matchers(benchmark: DataFrame, rate: float, key: str, text: str) -> Iterato
                 kept.append(Matcher(items, rate))
             return kept[0]
 
-        yield matcher
+        yield several, matcher
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, distance) for each document and each item that it contains."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     out = None
-    for matcher in _matchers(benchmark, rate, item_key, item_text):
+    for several, matcher in _matchers(benchmark, rate, item_key, item_text):
 
         def find(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
             found = matcher()
@@ -193,6 +199,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, key
                 )
 
         part = rows.mapInArrow(find, "doc_id long, item_id long, distance int")
+        part = written(part, "matches") if several else part
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -201,7 +208,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERR
     """The documents that contain no item, with all their columns."""
     place = docs.columns.index(text)
     out = docs
-    for matcher in _matchers(benchmark, rate, item_key, item_text):
+    for several, matcher in _matchers(benchmark, rate, item_key, item_text):
 
         def keep(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
             found = matcher()
@@ -212,4 +219,5 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERR
                 yield batch.filter(pa.array(good))
 
         out = out.mapInArrow(keep, docs.schema)
+        out = written(out, "clean") if several else out
     return out

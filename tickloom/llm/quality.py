@@ -5,9 +5,10 @@ learned filters of ``2 * GRID`` bytes slide over each chunk in steps of ``GRID``
 activation is kept per chunk.  The mean and the maximum over a document's chunks go through one hidden layer into one
 probability.  A document is scored on all its bytes; nothing but the text enters a score.
 
-Training is on the driver, on a sample of at most ``SAMPLE_DOCS`` labelled documents and ``SAMPLE_BYTES`` bytes, chosen
-by a hash of the id among those that are not held out (crc32 of the id's text, modulo 3, is 1); each step looks at
-some chunks of each document.  The learned weights, a few thousand numbers, go to all tasks.
+Training is on the driver, on a sample of at most ``SAMPLE_DOCS`` labelled documents and ``SAMPLE_BYTES`` bytes: the first
+in the order of a hash of the id, among those that are not held out (crc32 of the id's text, modulo 3, is 1), until the
+bytes are used up.  Of an id that repeats one text is taken; texts above ``LONGEST`` bytes are left out.  Only sizes and
+then the chosen texts come to the driver.  Each step looks at some chunks of each document.  The learned weights, a few thousand numbers, go to all tasks.
 
 Defined results: null and empty texts have one chunk of padding and are scored like any other; documents with a null
 id are scored and counted as not held out, but never learned from; repeated rows are scored each; documents labelled
@@ -23,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .textbytes import blocks
 
@@ -35,6 +37,7 @@ HIDDEN = 12
 
 SAMPLE_DOCS = 3000
 SAMPLE_BYTES = 24 << 20
+LONGEST = 2 << 20
 EPOCHS = 12
 BATCH_DOCS = 48
 BATCH_CHUNKS = 6
@@ -154,17 +157,27 @@ def held_out(key: str) -> Column:
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Network | float:
     """A network learned from labelled documents, or a constant score where there is only one kind of label."""
     usable = labels.select(F.col(key).alias("__id"), F.col(label).cast("int").alias("__label")).filter("__id is not null and __label in (0, 1)")
-    usable = usable.filter(~held_out("__id"))
+    usable = usable.filter(~held_out("__id")).distinct()
     # bounded: ids of at most SAMPLE_DOCS documents, chosen by hash
     chosen = usable.orderBy(F.xxhash64("__id"), "__id", "__label").limit(SAMPLE_DOCS)
     rows = docs.select(F.col(key).alias("__id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
-    found = rows.join(F.broadcast(chosen), "__id").select(F.xxhash64("__id").alias("h"), "__label", F.encode("__text", "utf-8").alias("t"))
-    texts, kinds, size = [], [], 0
-    for r in sorted(found.collect(), key=lambda r: (r.h, r["__label"], r.t)):
-        if len(texts) < SAMPLE_DOCS and size + len(r.t) <= SAMPLE_BYTES:
-            texts.append(bytes(r.t))
-            kinds.append(r["__label"])
-            size += len(r.t)
+    sized = rows.withColumn("__size", F.octet_length("__text")).withColumn("__hash", F.xxhash64("__text")).filter(F.col("__size") <= LONGEST)
+    # bounded: of each chosen id the hash and the size of one text, a few numbers for each of SAMPLE_DOCS ids
+    one = sized.join(F.broadcast(chosen.select("__id").distinct()), "__id").groupBy("__id").agg(F.min(F.struct("__hash", "__size")).alias("t"))
+    of = {r["__id"]: r.t for r in one.collect()}
+    picked, size = [], 0
+    for r in chosen.collect():
+        if r["__id"] in of:
+            size += of[r["__id"]]["__size"]
+            if size > SAMPLE_BYTES:
+                break
+            picked.append((r["__id"], of[r["__id"]]["__hash"], r["__label"]))
+    found = {}
+    if picked:
+        wanted = docs.sparkSession.createDataFrame(list({p[:2] for p in picked}), T.StructType([T.StructField("__id", docs.schema[key].dataType), T.StructField("__hash", T.LongType())]))
+        texts = sized.join(F.broadcast(wanted), ["__id", "__hash"]).groupBy("__id", "__hash").agg(F.min("__text").alias("t"))
+        found = {r["__id"]: r.t.encode() for r in texts.collect()}  # at most SAMPLE_BYTES
+    texts, kinds = [found[i] for i, _, _ in picked], [k for _, _, k in picked]
     kinds = np.array(kinds)
     if len(set(kinds.tolist())) < 2:
         return float(kinds[0]) if len(kinds) else 0.5

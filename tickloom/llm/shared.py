@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..staging import shared_path, written
 
-__all__ = ["components", "gapless", "partitions", "shared_path", "written"]
+__all__ = ["components", "gapless", "partitions", "shared_path", "spread_join", "written"]
 
 
 def partitions(spark: SparkSession) -> int:
@@ -33,12 +33,30 @@ def gapless(df: DataFrame, group: str, order: list[Column], salt: Column, out: s
     return joined.withColumn(out, F.col("__base") + F.col("__at")).drop("__bucket", "__base", "__at")
 
 
+def spread_join(rows: DataFrame, values: DataFrame, key: str, salt: Column, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with the one row of ``values`` for their key, whatever share of the rows a key holds.
+
+    ``values`` has a column n, how many rows its key has of about ``total``.  Rows of a key with more than half a
+    partition's share are dealt to parts by ``salt``, and its value is repeated for each part; so are rows without a
+    key.  n is dropped.
+    """
+    count = partitions(rows.sparkSession)
+    share = max(1, total // (2 * count))
+    parted = values.withColumn("__parts", F.when(F.col("n") > share, F.ceil(F.col("n") / share)).otherwise(1).cast("int"))
+    # bounded: at most 2 * count keys have more than a share
+    hot = F.broadcast(parted.filter("__parts > 1").select(key, F.col("__parts").alias("__of")))
+    of = F.when(F.col(key).isNull(), count).otherwise(F.coalesce("__of", F.lit(1)))
+    dealt = rows.join(hot, key, "left").withColumn("__part", F.pmod(F.xxhash64(salt), of).cast("int")).drop("__of")
+    repeated = parted.withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))).drop("__parts", "n")
+    return dealt.join(repeated, [key, "__part"], how).drop("__part")
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns a, b), component being the smallest node reachable.
 
     Large-star and small-star steps in turn, which need a number of rounds logarithmic in the number of nodes.  Each
-    step joins the edges with one row per node (the smallest neighbour, a partial minimum), so a hub's edges never
-    have to meet in one task, and writes its edges to the shared folder.  Self edges are allowed.
+    step joins the edges with one row per node (the smallest neighbour, a partial minimum), a hub's edges in parts, and
+    writes its edges to the shared folder.  Self edges are allowed.
     """
     nodes = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
     now = written(
@@ -48,16 +66,18 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         "edges",
     )
     state = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    other = F.xxhash64("b")
     seen = state(now)
     for _ in range(rounds):
         if not seen[0]:
             break
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
-        large = both.filter(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count_if(F.col("b") > F.col("a")).alias("n")), "least")
+        large = spread_join(both.filter(F.col("b") > F.col("a")), least.filter("n > 0"), "a", other, seen[0])
+        large = large.select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = written(large.filter(F.col("a") != F.col("b")).distinct(), "large")
-        low = written(large.groupBy("a").agg(F.min("b").alias("m")), "low")
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter(F.col("a") != F.col("b"))
+        low = written(large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")), "low")
+        small = spread_join(large, low, "a", other, seen[0]).select(F.col("b").alias("a"), F.col("m").alias("b")).filter(F.col("a") != F.col("b"))
         now = written(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
         last, seen = seen, state(now)
         if last == seen:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import components, written
+from .shared import components, spread_join, written
 from .textbytes import LOWER, blocks, find_words, single_spaced
 
 SHINGLE_WORDS = 3
@@ -95,10 +95,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     """(doc_id, fingerprint, component_id) for every document; component_id is the smallest doc_id reachable."""
     prints = written(fingerprints(docs, key, text, width), "prints")
     groups = components(linked(prints, radius)).withColumnRenamed("node", "print").withColumnRenamed("component", "root")
-    smallest = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
+    smallest = prints.groupBy("print").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     # one row per distinct fingerprint from here: copies of a text have met already
     named = written(smallest.join(groups, "print", "left").withColumn("root", F.coalesce("root", "print")), "named")
-    roots = written(named.groupBy("root").agg(F.min("first").alias("component_id")), "roots")
-    ids = written(named.join(roots, "root").select("print", "component_id"), "classes")
+    roots = named.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    ids = written(spread_join(named.withColumnRenamed("n", "copies"), written(roots, "roots"), "root", F.col("print"), named.count()), "classes")
+    ids = ids.select("print", "component_id", F.col("copies").alias("n"))
     hexed = F.lower(F.lpad(F.hex("print"), 16, "0"))
-    return prints.join(ids, "print").select("doc_id", hexed.alias("fingerprint"), "component_id")
+    # a text's copies may be a third of all rows
+    return spread_join(prints, ids, "print", F.col("doc_id"), prints.count()).select("doc_id", hexed.alias("fingerprint"), "component_id")

@@ -6,16 +6,22 @@ group of copies, however large, is searched once.
 Build: nodes are dealt to overlapping cluster shards, each to its nearest centroid (its home) and to the second
 nearest; a shard's task takes each node's nearest nodes and some random ones as candidates and prunes them by the
 robust rule (a candidate goes if a kept neighbour is nearer to it by the factor ``ALPHA``), adds the reverse edges and
-returns adjacency lists.  The lists of a node from its shards are united.  Search: a node is searched in its
-``PROBES`` nearest shards, by greedy search from the shard's medoids over the united graph; the beam widens as long
-as the range, all nodes that link, keeps growing.  Every hit is verified by its cosine, and counts only in the shard
-that is its home, so no link counts twice.  Links are counted in the task and reduced to one edge a node for the
-components; pairs are never written.  Shards beyond ``SHARD_LIMIT`` nodes are cut by a hash of the node, and every
-query visits all parts, so no task's memory grows with the input.
-
-The centroids are fitted on a sample of at most ``SAMPLE`` nodes, chosen by hash; every node is indexed.  Recall is
-audited on ``AUDIT`` nodes, chosen by hash, against all nodes; below ``LEAST_RECALL`` the search is repeated with
-twice the probes, up to all shards.
+returns adjacency lists.  The lists of a node from its shards are united.
+
+Search: every node is searched once, in its home.  The home's index holds the nodes that have this shard among their
+``PROBES`` nearest, and those of other shards to which the united lists of its own nodes lead.  A greedy search
+starts from the medoids and from the node itself; it keeps a list of the best nodes seen and a set of visited ones, and
+the list widens as long as the range, all nodes that link, keeps growing.  Steps use single precision; every hit is
+verified by its cosine in double precision.  Links are counted in the task and reduced to one edge a node for the
+components; pairs are never written.  Indexes beyond ``SHARD_LIMIT`` nodes are cut by a hash of the node, and every
+node of the home visits all parts, so no task's memory grows with the input.
+
+The centroids are fitted on a sample of at most ``SAMPLE`` nodes and ``SAMPLE_BYTES`` bytes, chosen by hash; every node
+is indexed.  Recall is always audited against all nodes: on ``AUDIT`` nodes that have found links, for the share of
+their links that was found, and on ``AUDIT`` nodes that have not, for the share that has some; both give the mean share
+of links found of a node that has links.  Below ``LEAST_RECALL`` the homes compare all their pairs instead of walking
+the graph, and then twice as many probes are taken, until every home holds all nodes, which is exact.  The share
+comes back as the column recall.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components link with nothing and are
 their own component; so are rows with a null id, which are kept; vectors of different lengths never link; repeated
@@ -26,25 +32,30 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, partitions, written
+from .shared import components, spread_join, written
 
 THRESHOLD = 0.9
 SAMPLE = 65_536
 SHARD_TARGET = 2_000
 SHARD_LIMIT = 6_000
-MOST_SHARDS = 4_096
-PROBES = 3
+MOST_SHARDS = 16_384
+SAMPLE_BYTES = 64 << 20
+PROBES = 2
 DEGREE = 24
 CANDIDATES = 40
 RANDOM_CANDIDATES = 12
 ALPHA = 1.2
 MEDOIDS = 6
-BEAM = 16
+BEAM = 8
+STRIDE = 4
+BATCH = 256
 AUDIT = 200
 LEAST_RECALL = 0.97
 
@@ -96,12 +107,22 @@ def centroids(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 
 def fit(found: DataFrame) -> dict[int, np.ndarray]:
     """Centroids for each vector length, from a bounded sample."""
+    sizes = {r.dim: r.n for r in found.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    k = {d: max(1, min(MOST_SHARDS, -(-n // SHARD_TARGET))) for d, n in sizes.items()}
+    room = {d: max(k[d], min(SAMPLE, SAMPLE_BYTES // (8 * d * len(sizes)), 64 * k[d])) for d in sizes}
+    # nodes whose hash lies below their length's share: about as many as there is room for, in one pass
+    share = F.create_map(*[F.lit(x) for d in sizes for x in (d, min(1.0, room[d] / sizes[d]))]) if sizes else None
+    place = F.shiftrightunsigned(F.xxhash64("node", F.lit("sample")), 11) / F.lit(float(1 << 53))
+    chosen = found.filter(place <= share[F.col("dim")]).select("dim", "node", "vector").collect() if sizes else []
+    by_dim: dict[int, list] = {}
+    for r in sorted(chosen, key=lambda r: r.node):
+        by_dim.setdefault(r.dim, []).append(bytes(r.vector))
     out = {}
-    for r in found.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy("dim").collect():
-        part = found.filter(F.col("dim") == r.dim)
-        sample = part.orderBy(F.xxhash64("node", F.lit("sample")), "node").limit(min(SAMPLE, 64 * (1 + r.n // SHARD_TARGET)))
-        x = matrix(pa.array([bytes(s.vector) for s in sample.select("vector").collect()]), r.dim)
-        out[r.dim] = centroids(x, max(1, min(MOST_SHARDS, -(-r.n // SHARD_TARGET), len(x))))
+    for dim, raw in sorted(by_dim.items()):
+        x = matrix(pa.array(raw), dim)
+        out[dim] = centroids(x, min(k[dim], len(x)))
+    for dim in set(sizes) - set(out):  # a length too rare for the sample: any centre will do
+        out[dim] = np.eye(1, dim)
     return out
 
 
@@ -182,54 +203,56 @@ def medoids(x: np.ndarray) -> np.ndarray:
     return np.unique((x @ c.T).argmax(0))
 
 
-def search(x: np.ndarray, edges: np.ndarray, starts: np.ndarray, queries: np.ndarray, threshold: float) -> np.ndarray:
-    """Range-expanding greedy search of a batch of queries: a mask (queries, nodes) of verified hits."""
+def search(x: np.ndarray, edges: np.ndarray, starts: np.ndarray, own: np.ndarray, queries: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Range-expanding greedy search of a batch of queries: (query, node) of the hits, not yet verified.
+
+    x and queries are unit vectors in single precision; own: each query's place in the index, -1 if it has none.
+    """
     n, q = len(x), len(queries)
-    score = np.full((q, n), -np.inf)
-    open_ = np.zeros((q, n), dtype=bool)
-    score[:, starts] = queries @ x[starts].T
-    open_[:, starts] = True
+    threshold -= 1e-5
+    seen = np.zeros((q, n + 1), dtype=bool)
+    seen[:, n] = True  # where the filling -1 of the edges points
+    row, node, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
+    open_ = np.zeros(0, dtype=bool)
+    known = np.flatnonzero(own >= 0)
+    fresh = np.union1d((np.arange(q)[:, None] * (n + 1) + starts[None, :]).ravel(), known * (n + 1) + own[known])
     beam = np.full(q, BEAM)
     while True:
-        # the worst score that is still in the beam of each query
-        widest = min(n, int(beam.max()))
-        best = -np.partition(-score, widest - 1, axis=1)[:, :widest]
-        best.sort(axis=1)
-        bar = best[np.arange(q), np.maximum(widest - beam, 0)]
-        go = open_ & ((score >= bar[:, None]) | (score >= threshold))
-        # the range fills the beam: widen it
-        inside = (score >= threshold).sum(1)
-        full = (2 * inside > beam) & (beam < n)
-        beam = np.where(full, np.minimum(n, 2 * np.maximum(inside, beam)), beam)
-        if not go.any():
-            if not full.any():
-                return score >= threshold
-            continue
-        row, node = np.nonzero(go)
-        open_[row, node] = False
-        to = edges[node]
-        reached = np.zeros((q, n + 1), dtype=bool)
-        reached[row[:, None], to] = True  # -1 falls on the last column
-        row, node = np.nonzero(reached[:, :n] & (score == -np.inf))
-        for i in range(0, len(row), 1 << 15):
-            r, v = row[i : i + (1 << 15)], node[i : i + (1 << 15)]
-            score[r, v] = np.einsum("id,id->i", queries[r], x[v])
-        open_[row, node] = True
-
-
-def _local(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Adjacency lists by place in the group instead of node, -1 for nodes that are elsewhere."""
-    node = table.column("node").to_numpy()
-    order = np.argsort(node)
-    lists = table.column("near").to_pylist()
-    wide = max([1, *map(len, lists)])
-    edges = np.full((len(node), wide), -1, dtype=np.int64)
-    for i, near in enumerate(lists):
-        at = np.searchsorted(node[order], near)
-        at[at == len(node)] = 0
-        places = order[at]
-        edges[i, : len(near)] = np.where(node[places] == near, places, -1)
-    return node, edges
+        seen.ravel()[fresh] = True
+        r, v = np.divmod(fresh, n + 1)
+        found = np.concatenate([np.zeros(0, np.float32), *[np.einsum("id,id->i", queries[r[i : i + (1 << 15)]], x[v[i : i + (1 << 15)]]) for i in range(0, len(r), 1 << 15)]])
+        row, node, score = np.concatenate([row, r]), np.concatenate([node, v]), np.concatenate([score, found])
+        open_ = np.concatenate([open_, np.ones(len(r), dtype=bool)])
+        # the list of each query is as long as its beam, which the range widens
+        inside = np.bincount(row[score >= threshold], minlength=q)
+        beam = np.maximum(beam, 2 * inside)
+        order = np.lexsort((-score, row))
+        row, node, score, open_ = row[order], node[order], score[order], open_[order]
+        kept = np.arange(len(row)) - np.searchsorted(row, row) < beam[row]
+        row, node, score, open_ = row[kept], node[kept], score[kept], open_[kept]
+        waiting = np.flatnonzero(open_)
+        if not len(waiting):
+            hit = score >= threshold
+            return row[hit], node[hit]
+        # the best few of each query that are not yet walked from, and all in the range
+        nth = np.arange(len(waiting)) - np.searchsorted(row[waiting], row[waiting])
+        go = waiting[(nth < STRIDE) | (score[waiting] >= threshold)]
+        open_[go] = False
+        to = edges[node[go]]
+        keys = (row[go][:, None] * (n + 1) + np.where(to < 0, n, to)).ravel()
+        fresh = np.unique(keys[~seen.ravel()[keys]])
+
+
+def _edges(node: np.ndarray, lists: pa.Array) -> np.ndarray:
+    """Adjacency lists by place among the sorted nodes, -1 for nodes that are not there."""
+    near = lists.values.to_numpy()
+    size = np.diff(lists.offsets.to_numpy())
+    at = np.minimum(np.searchsorted(node, near), len(node) - 1)
+    at[node[at] != near] = -1
+    edges = np.full((len(node), max([1, *size.tolist()])), -1, dtype=np.int64)
+    row = np.repeat(np.arange(len(node)), size)
+    edges[row, np.arange(len(near)) - np.repeat(np.cumsum(size) - size, size)] = at
+    return edges
 
 
 def _graph(table: pa.Table) -> pa.Table:
@@ -241,29 +264,35 @@ def _graph(table: pa.Table) -> pa.Table:
     return pa.table({"node": node, "near": pa.array([np.unique(e) for e in near], pa.list_(pa.int64()))})
 
 
-def _found(table: pa.Table) -> pa.Table:
-    """Of one part of a shard: per query how many rows it links with, and per node that links a representative."""
+def _found(table: pa.Table, exact: bool) -> pa.Table:
+    """Of one part of a home: per query how many rows it links with, and per node that links a representative."""
     table = table.combine_chunks().sort_by("node")
     dim = table.column("dim")[0].as_py()
     is_query = np.asarray(table.column("query"))
     index, asked = table.filter(pa.array(~is_query)), table.filter(pa.array(is_query))
     out = {"node": [], "links": [], "root": []}
     if index.num_rows and asked.num_rows:
-        node, edges = _local(index)
+        node, names, copies = (t.column(c).to_numpy() for t, c in ((index, "node"), (asked, "node"), (index, "copies")))
         x, queries = matrix(index.column("vector"), dim), matrix(asked.column("vector"), dim)
-        home, copies = np.asarray(index.column("rank")) == 0, index.column("copies").to_numpy()
-        names = asked.column("node").to_numpy()
-        starts = medoids(x)
+        own = np.minimum(np.searchsorted(node, names), len(node) - 1)
+        own = np.where(node[own] == names, own, -1)
+        if not exact:
+            edges, starts = _edges(node, index.column("near").combine_chunks()), medoids(x)
+            x32, queries32 = x.astype(np.float32), queries.astype(np.float32)
         everyone = np.union1d(node, names)
-        place, own = np.searchsorted(everyone, node), np.searchsorted(everyone, names)
-        parent = np.arange(len(everyone))
-        links = np.zeros(len(names), dtype=np.int64)
-        pairs = []
-        for i in range(0, len(names), 256):
-            hit = search(x, edges, starts, queries[i : i + 256], THRESHOLD)
-            hit &= names[i : i + 256, None] != node[None, :]
-            links[i : i + 256] = (hit & home) @ copies
-            parent = _unite(parent, own[i : i + 256], place, hit)
+        place, asker = np.searchsorted(everyone, node), np.searchsorted(everyone, names)
+        parent, links = np.arange(len(everyone)), np.zeros(len(names), dtype=np.int64)
+        for i in range(0, len(names), BATCH):
+            part = slice(i, i + BATCH)
+            if exact:
+                row, column = np.nonzero(queries[part] @ x.T >= THRESHOLD)
+            else:
+                row, column = search(x32, edges, starts, own[part], queries32[part], THRESHOLD)
+                row, column = row[(good := _cosines(queries[part], x, row, column) >= THRESHOLD)], column[good]
+            other = column != own[part][row]
+            row, column = row[other], column[other]
+            links[part] = np.bincount(row, copies[column], len(links[part])).astype(np.int64)
+            parent = _unite(parent, asker[part][row], place[column])
         parent = _roots(parent)
         root = everyone[parent]
         linked = np.flatnonzero((parent != np.arange(len(everyone))))
@@ -271,11 +300,16 @@ def _found(table: pa.Table) -> pa.Table:
         out = {
             "node": np.concatenate([names[some], everyone[linked]]),
             "links": np.concatenate([links[some], np.zeros(len(linked), np.int64)]),
-            "root": np.concatenate([root[own[some]], root[linked]]),
+            "root": np.concatenate([root[asker[some]], root[linked]]),
         }
     return pa.table({k: pa.array(v, pa.int64()) for k, v in out.items()})
 
 
+def _cosines(queries: np.ndarray, x: np.ndarray, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+    parts = [np.einsum("id,id->i", queries[row[i : i + (1 << 15)]], x[column[i : i + (1 << 15)]]) for i in range(0, len(row), 1 << 15)]
+    return np.concatenate([np.zeros(0), *parts])
+
+
 def _roots(parent: np.ndarray) -> np.ndarray:
     while True:
         up = parent[parent]
@@ -284,10 +318,8 @@ def _roots(parent: np.ndarray) -> np.ndarray:
         parent = up
 
 
-def _unite(parent: np.ndarray, own: np.ndarray, place: np.ndarray, hit: np.ndarray) -> np.ndarray:
-    """Union of the sets of each query and its hits; parents are the smallest places of their sets."""
-    row, column = np.nonzero(hit)
-    a, b = own[row], place[column]
+def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Union of the sets of a[i] and b[i]; parents are the smallest places of their sets."""
     while True:
         parent = _roots(parent)
         high, low = np.maximum(parent[a], parent[b]), np.minimum(parent[a], parent[b])
@@ -297,8 +329,13 @@ def _unite(parent: np.ndarray, own: np.ndarray, place: np.ndarray, hit: np.ndarr
 
 
 def audit(found: DataFrame, links: DataFrame, threshold: float = THRESHOLD) -> float:
-    """Share of the links of AUDIT nodes, counted against all nodes, that the search has found."""
-    chosen = found.orderBy(F.xxhash64("node", F.lit("audit")), "node").limit(AUDIT).collect()
+    """The mean share of its links that the search has found of a node that has links, from two samples by hash."""
+    scored = written(found.join(links, "node", "left").withColumn("links", F.coalesce("links", F.lit(0))), "scored")
+    some = F.col("links") > 0
+    sizes = {r.some: r.n for r in scored.groupBy(some.alias("some")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    chosen = []
+    for kind in (some, ~some):  # bounded: AUDIT vectors each
+        chosen += scored.filter(kind).orderBy(F.xxhash64("node", F.lit("audit")), "node").limit(AUDIT).collect()
     by_dim: dict[int, list] = {}
     for r in chosen:
         by_dim.setdefault(r.dim, []).append(r)
@@ -316,60 +353,73 @@ def audit(found: DataFrame, links: DataFrame, threshold: float = THRESHOLD) -> f
                     yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n.astype(np.int64))], ["node", "true_links"])
 
     truth = {r.node: r.n for r in found.mapInArrow(count, "node long, true_links long").groupBy("node").agg(F.sum("true_links").alias("n")).collect()}
-    got = {r.node: r.links for r in links.filter(F.col("node").isin(list(truth))).collect()} if truth else {}
-    total = sum(truth.values())
-    return sum(min(n, got.get(k, 0)) for k, n in truth.items()) / total if total else 1.0
+    shares = [min(1.0, r.links / truth[r.node]) for r in chosen if r.links]
+    lost = [truth[r.node] > 0 for r in chosen if not r.links]
+    with_links = sizes.get(True, 0) + sizes.get(False, 0) * (sum(lost) / len(lost) if lost else 0)
+    return sizes.get(True, 0) * sum(shares) / len(shares) / with_links if shares else float(not any(lost))
 
 
-def link(found: DataFrame, shards: dict[int, np.ndarray], probes: int) -> tuple[DataFrame, DataFrame]:
+def link(found: DataFrame, shards: dict[int, np.ndarray], probes: int, exact: bool) -> tuple[DataFrame, DataFrame]:
     """(node, links) with the links to other vectors, and edges (a, b) that join the components."""
     visits = written(route(found, shards, probes), "visits")
-    sizes = visits.groupBy("shard").agg(
-        F.ceil(F.count_if(F.col("rank") < 2) / SHARD_LIMIT).cast("int").alias("parts"),
-        F.ceil(F.count_if(F.col("rank") < probes) / SHARD_LIMIT).cast("int").alias("rounds"),
-    )
-    # bounded: a row for each shard, of which there are MOST_SHARDS for each vector length at most
-    sized = visits.join(F.broadcast(sizes), "shard")
-    part = lambda n: F.pmod(F.xxhash64("node", F.lit("part")), F.col(n)).cast("int")
-    indexed = sized.filter(F.col("rank") < 2).withColumn("part", part("parts"))
-    graph = indexed.select("shard", "part", "node", "dim", "vector").groupBy("shard", "part").applyInArrow(_graph, "node long, near array<long>")
-    united = written(graph.groupBy("node").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near")), "graph")
-    index = indexed.join(united, "node").withColumn("round", F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)))
-    asked = sized.filter(F.col("rank") < probes).withColumn("round", part("rounds"))
-    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    columns = ["shard", "part", "round", "rank", "node", "dim", "copies", "vector"]
-    both = index.select(*columns, F.lit(False).alias("query"), "near").unionByName(
+    part = lambda n: F.pmod(F.xxhash64("node", F.lit("part")), n).cast("int")
+    built = visits.filter(F.col("rank") < 2)
+    # bounded here and below: a row for each shard, of which there are MOST_SHARDS for each vector length at most
+    parts = built.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / SHARD_LIMIT).cast("int").alias("parts"))
+    dealt = built.join(F.broadcast(parts), "shard").withColumn("part", part(F.col("parts")))
+    graph = dealt.select("shard", "part", "node", "dim", "vector").groupBy("shard", "part").applyInArrow(_graph, "node long, near array<long>")
+    lists = written(graph.groupBy("node").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near")), "graph")
+    whole = written(found.join(lists, "node").select("node", "dim", "copies", "vector", "near"), "graph-nodes")
+    held = visits.filter(F.col("rank") < probes).select("shard", "node")
+    home = visits.filter(F.col("rank") == 0).select("shard", "node")
+    if max([1, *map(len, shards.values())]) > probes:
+        # the other ends of the edges that leave a home
+        ends = home.join(lists, "node").select("shard", F.explode("near").alias("node"))
+        held = held.union(ends).distinct()
+    index = written(held.join(whole, "node"), "index")
+    sizes = index.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / SHARD_LIMIT).cast("int").alias("parts"))
+    rounds = home.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / SHARD_LIMIT).cast("int").alias("rounds"))
+    sizes = sizes.join(rounds, "shard")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["shard", "part", "round", "node", "dim", "copies", "vector"]
+    indexed = index.join(F.broadcast(sizes), "shard").withColumn("part", part(F.col("parts"))).withColumn("round", every("rounds"))
+    asked = home.join(whole.drop("near"), "node").join(F.broadcast(sizes), "shard").withColumn("round", part(F.col("rounds"))).withColumn("part", every("parts"))
+    both = indexed.select(*columns, F.lit(False).alias("query"), "near").unionByName(
         asked.select(*columns, F.lit(True).alias("query"), F.lit(None).cast("array<long>").alias("near"))
     )
-    hits = written(both.groupBy("shard", "part", "round").applyInArrow(_found, "node long, links long, root long"), "hits")
+    search_part = lambda table: _found(table, exact)
+    hits = written(both.groupBy("shard", "part", "round").applyInArrow(search_part, "node long, links long, root long"), "hits")
     links = hits.groupBy("node").agg(F.sum("links").alias("links"))
     return links, hits.select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
 def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of every row."""
+    """(vec_id, n_links, component_id, kept, recall) of every row; recall is the audited share, the same in all rows."""
     keyed, distinct = nodes(rows, key, vector)
     found = written(distinct, "nodes")
     shards = fit(found)
-    probes, most = PROBES, max([1, *map(len, shards.values())])
-    while True:
-        links, edges = link(found, shards, probes)
-        if probes >= most or audit(found, links) >= LEAST_RECALL:
+    most = max([1, *map(len, shards.values())])
+    steps = [(PROBES, False)] + [(PROBES << i, True) for i in range(1 + math.ceil(math.log2(max(1, most / PROBES))))]
+    for probes, exact in steps:
+        links, edges = link(found, shards, probes, exact)
+        recall = audit(found, links)
+        if recall >= LEAST_RECALL:
             break
-        probes *= 2
     groups = components(edges).select("node", F.col("component").alias("group"))
     named = written(
         found.select("node", "first", "copies")
         .join(links, "node", "left")
         .join(groups, "node", "left")
-        .select("node", "first", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("group", "node").alias("group")),
+        .select("node", "first", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("group", "node").alias("group")),
         "named",
     )
-    firsts = written(named.groupBy("group").agg(F.min("first").alias("component_id")), "firsts")
-    result = written(named.join(firsts, "group").select("node", "n_links", "component_id"), "classes")
-    return keyed.join(result, "node", "left").select(
+    firsts = written(named.groupBy("group").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n")), "firsts")
+    result = spread_join(named, firsts, "group", F.col("node"), named.count())
+    result = written(result.select("node", "n_links", "component_id", F.col("copies").alias("n")), "classes")
+    return spread_join(keyed, result, "node", F.col("id"), keyed.count(), "left").select(
         F.col("id").alias("vec_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "id").alias("component_id"),
         F.col("id").eqNullSafe(F.coalesce("component_id", "id")).alias("kept"),
+        F.lit(recall).alias("recall"),
     )
