@@ -81,14 +81,18 @@ def _merged(parts: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndar
     return found.dictionary, counts.astype(np.int64)
 
 
-def _by_bucket(words: pa.Array, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(bucket, places) of the words; the hash deals and never decides."""
+def _lists(cuts: np.ndarray, values: pa.Array) -> pa.Array:
+    """A list column whose rows are the runs of ``values`` between cuts."""
+    return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), values)
+
+
+def _by_bucket(words: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(buckets with words, order of the words by bucket, cuts between them); the hash deals and never decides."""
     digest = xxhash.xxh3_64_intdigest
     bucket = np.array([digest(w) % buckets for w in words.to_pylist()], dtype=np.int64)
     order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for i in np.flatnonzero(np.diff(cuts)).tolist():
-        yield i, order[cuts[i] : cuts[i + 1]]
+    some, first = np.unique(bucket[order], return_index=True)
+    return some.astype(np.int32), order, np.append(first, len(order))
 
 
 WORDS, LONGS = pa.list_(pa.field("element", pa.binary())), pa.list_(pa.field("element", pa.int64()))
@@ -96,8 +100,16 @@ COUNTS = "bucket int, words array<binary>, counts array<long>"
 _COUNTS = pa.schema([("bucket", pa.int32()), ("words", WORDS), ("counts", LONGS)])
 
 
-def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+def _words(column: pa.ChunkedArray | pa.Array) -> pa.Array:
+    """The words of all lists of a column, one after another."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().cast(pa.large_binary())
+
+
+def _count_rows(words: pa.Array, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    some, order, cuts = _by_bucket(words, buckets)
+    columns = [pa.array(some), _lists(cuts, words.take(pa.array(order)).cast(pa.binary())).cast(WORDS), _lists(cuts, pa.array(counts[order])).cast(LONGS)]
+    return pa.RecordBatch.from_arrays(columns, schema=_COUNTS)
 
 
 def count_words(texts: DataFrame, buckets: int) -> DataFrame:
@@ -106,10 +118,6 @@ def count_words(texts: DataFrame, buckets: int) -> DataFrame:
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
 
-        def rows():
-            words, counts = _merged(parts)
-            return _rows([(i, words.take(pa.array(at)).to_pylist(), counts[at]) for i, at in _by_bucket(words, buckets)], _COUNTS)
-
         for batch in batches:
             for which, distinct, _ in tokens_of(batch.column(0)):
                 parts.append((distinct, np.bincount(which, minlength=len(distinct))))
@@ -118,36 +126,51 @@ def count_words(texts: DataFrame, buckets: int) -> DataFrame:
                     parts[:] = [_merged(parts)]
                     size = len(parts[0][0])
                     if size > 250_000:
-                        yield rows()
+                        yield _count_rows(*parts[0], buckets)
                         parts[:], size = [], 0
         if size:
-            yield rows()
+            yield _count_rows(*_merged(parts), buckets)
 
     def total(table: pa.Table) -> pa.Table:
-        words, counts = _merged([(w.values.cast(pa.large_binary()), c.values.to_numpy()) for w, c in zip(table.column("words").combine_chunks(), table.column("counts").combine_chunks())])
-        return pa.Table.from_batches([_rows([(table.column("bucket")[0].as_py(), words.to_pylist(), counts)], _COUNTS)])
+        words, counts = _merged([(_words(table.column("words")), table.column("counts").combine_chunks().flatten().to_numpy())])
+        return pa.Table.from_batches([_count_rows(words, counts, 1)]).set_column(0, "bucket", pa.array([table.column("bucket")[0].as_py()], pa.int32()))
 
     return texts.mapInArrow(partial, COUNTS).groupBy("bucket").applyInArrow(total, COUNTS)
 
 
 def summary(counts: DataFrame, most: int) -> tuple[int, int, list[tuple[bytes, int]]]:
     """All tokens, distinct tokens, and the ``most`` frequent (word, count), the end not among them."""
+    schema = "part long, words array<binary>, counts array<long>, tokens long, distinct long"
+    names = pa.schema([("part", pa.int64()), ("words", WORDS), ("counts", LONGS), ("tokens", pa.int64()), ("distinct", pa.int64())])
+
+    def best(words: pa.Array, n: np.ndarray, *numbers: int) -> pa.RecordBatch:
+        order = np.lexsort((np.arange(len(n)), -n))[: most + 1]
+        cuts = np.array([0, len(order)])
+        part, *rest = [pa.array([x], pa.int64()) for x in numbers]
+        return pa.RecordBatch.from_arrays([part, _lists(cuts, words.take(pa.array(order)).cast(pa.binary())).cast(WORDS), _lists(cuts, pa.array(n[order])).cast(LONGS), *rest], schema=names)
 
     def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for w, c in zip(batch.column(1), batch.column(2)):
-                c = c.values.to_numpy()
-                order = np.argsort(-c, kind="stable")[: most + 1]
-                share, distinct = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
-                share[:1], distinct[:1] = c.sum(), len(c)
-                best = w.values.take(pa.array(order)).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([best, pa.array(c[order]), pa.array(share), pa.array(distinct)], ["word", "n", "all", "distinct"])
-
-    best = counts.mapInArrow(top, "word binary, n long, all long, distinct long")
-    total = best.agg(F.sum("all").alias("a"), F.sum("distinct").alias("d")).first()
-    rows = best.orderBy(F.desc("n"), "word").limit(most + 1).collect()  # bounded by the model's size
-    words = [(bytes(r.word), r.n) for r in rows if bytes(r.word) != END_WORD][:most]
-    return int(total.a or 0), int(total.d or 0), words
+            n = batch.column(2).flatten().to_numpy()
+            yield best(_words(batch.column(1)), n, TaskContext.get().partitionId(), int(n.sum()), len(n))
+
+    def merge(table: pa.Table) -> pa.Table:
+        words = _words(table.column("words"))
+        order = pc.sort_indices(words)  # equal counts by word, in whatever order the rows come
+        n = table.column("counts").combine_chunks().flatten().to_numpy()[order.to_numpy()]
+        sums = [sum(table.column(c).to_pylist()) for c in ("tokens", "distinct")]
+        return pa.Table.from_batches([best(words.take(order), n, table.column("part")[0].as_py(), *sums)])
+
+    found, tasks = counts.mapInArrow(top, schema), counts.rdd.getNumPartitions()
+    while tasks > 1:
+        found = found.withColumn("part", F.floor(F.col("part") / _MERGE)).groupBy("part").applyInArrow(merge, schema)
+        tasks = -(-tasks // _MERGE)
+    tokens = distinct = 0
+    words: list[tuple[bytes, int]] = []
+    for r in found.collect():  # bounded by the model's size: one row, or a few of one small task
+        tokens, distinct = tokens + r.tokens, distinct + r.distinct
+        words += [(bytes(w), n) for w, n in zip(r.words, r.counts) if bytes(w) != END_WORD]
+    return tokens, distinct, sorted(words, key=lambda x: (-x[1], x[0]))[:most]
 
 
 class Model:
@@ -384,21 +407,26 @@ _ANSWER = pa.schema([("unit", pa.int32()), ("bucket", pa.int32()), ("counts", LO
 
 
 def _unit_words(table: pa.Table) -> tuple[list, pa.Array]:
-    """The blocks of a unit and its distinct tokens, in the same order at every visit."""
+    """The blocks of a unit, with places of their distinct tokens among those of the unit, in one order at every visit."""
     here = list(tokens_of(table.column("__text")))
-    return here, _merged([(d, np.zeros(len(d))) for _, d, _ in here])[0]
+    if not here:
+        return [], pa.array([], pa.large_binary())
+    found = pa.concat_arrays([d for _, d, _ in here]).dictionary_encode()
+    places = np.split(found.indices.to_numpy(), np.cumsum([len(d) for _, d, _ in here])[:-1])
+    return [(*x, at) for x, at in zip(here, places)], found.dictionary
 
 
 def _reply(asks: pa.Table, counts: pa.Table) -> pa.Table:
     """The count of every word in the order asked, 0 for unknown ones."""
+    asked = asks.column("words").combine_chunks()
     held, n = pa.array([], pa.large_binary()), np.zeros(0, np.int64)
     if counts.num_rows:
-        held, n = counts.column("words").combine_chunks()[0].values.cast(pa.large_binary()), counts.column("counts").combine_chunks()[0].values.to_numpy()
-    n, rows = np.append(n, 0), []
-    for unit, bucket, words in zip(asks.column("unit").to_pylist(), asks.column("bucket").to_pylist(), asks.column("words").combine_chunks()):
-        at = pc.index_in(words.values.cast(pa.large_binary()), held).fill_null(len(n) - 1)
-        rows.append((unit, bucket, n[at.to_numpy()]))
-    return pa.Table.from_batches([_rows(rows, _ANSWER)])
+        held, n = _words(counts.column("words")), counts.column("counts").combine_chunks().flatten().to_numpy()
+    n = np.append(n, 0)
+    at = pc.index_in(_words(asked), held).fill_null(len(n) - 1).to_numpy()
+    cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(asked).to_numpy())])
+    found = [asks.column("unit").combine_chunks(), asks.column("bucket").combine_chunks(), _lists(cuts, pa.array(n[at])).cast(LONGS)]
+    return pa.Table.from_arrays(found, schema=_ANSWER)
 
 
 def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -420,20 +448,24 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     def ask(table: pa.Table) -> pa.Table:
         unit, distinct = table.column("__unit")[0].as_py(), _unit_words(units.in_order(table))[1]
-        return pa.Table.from_batches([_rows([(i, unit, distinct.take(pa.array(at)).to_pylist()) for i, at in _by_bucket(distinct, buckets)], _ASK)])
+        some, order, cuts = _by_bucket(distinct, buckets)
+        words = _lists(cuts, distinct.take(pa.array(order)).cast(pa.binary())).cast(WORDS)
+        return pa.Table.from_arrays([pa.array(some), pa.array([unit] * len(some), pa.int32()), words], schema=_ASK)
 
     asks = dealt.groupBy("__unit").applyInArrow(ask, ASK)
     replies = asks.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(_reply, ANSWER)
 
     def work(table: pa.Table, found: pa.Table) -> pa.Table:
         here, every = _unit_words(table)
-        given = dict(zip(found.column("bucket").to_pylist(), found.column("counts").combine_chunks()))
+        some, order, cuts = _by_bucket(every, buckets)
+        answers = found.combine_chunks().sort_by("bucket")
+        if answers.column("bucket").to_pylist() != some.tolist():
+            raise ValueError("answers that do not fit the words asked for")
         count = np.zeros(len(every), np.int64)
-        for i, at in _by_bucket(every, buckets):
-            count[at] = given[i].values.to_numpy()
+        count[order] = answers.column("counts").combine_chunks().flatten().to_numpy()
         tokens, known, base, symbols, rest = [], [], [], [], []
-        for which, distinct, first in here:
-            c = count[pc.index_in(distinct, every).to_numpy()]
+        for which, distinct, first, places in here:
+            c = count[places]
             value, own = np.log((c + 1) / room), model.symbols(distinct)
             tokens.append(np.diff(first))
             known.append(np.add.reduceat(c[which] > 0, first[:-1], dtype=np.int64))
