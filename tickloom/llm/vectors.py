@@ -9,7 +9,8 @@ robust rule (a candidate goes if a kept neighbour is nearer to it by the factor
 returns adjacency lists.  The lists of a node from its shards are united.
 
 Search: every node is searched once, in its home.  The home's index holds the nodes that have this shard among their
-``PROBES`` nearest, and those of other shards to which the united lists of its own nodes lead.  A greedy search
+``PROBES`` nearest, and those of other shards to which close edges of the united lists of its own nodes lead (at most
+twice the range's angle, so that two linked nodes with one between them meet).  A greedy search
 starts from the medoids and from the node itself; it keeps a list of the best nodes seen and a set of visited ones, and
 the list widens as long as the range, all nodes that link, keeps growing.  Steps use single precision; every hit is
 verified by its cosine in double precision.  Links are counted in the task and reduced to one edge a node for the
@@ -42,6 +43,8 @@ from pyspark.sql import functions as F
 from .shared import components, spread_join, written
 
 THRESHOLD = 0.9
+#: The cosine of twice the angle of THRESHOLD.
+CLOSE = 2 * THRESHOLD**2 - 1
 SAMPLE = 65_536
 SHARD_TARGET = 2_000
 SHARD_LIMIT = 6_000
@@ -53,8 +56,8 @@ CANDIDATES = 40
 RANDOM_CANDIDATES = 12
 ALPHA = 1.2
 MEDOIDS = 6
-BEAM = 8
-STRIDE = 4
+BEAM = 16
+STRIDE = 6
 BATCH = 256
 AUDIT = 200
 LEAST_RECALL = 0.97
@@ -260,8 +263,9 @@ def _graph(table: pa.Table) -> pa.Table:
     node = table.column("node").to_numpy()
     x = matrix(table.column("vector"), table.column("dim")[0].as_py())
     edges = build(x, table.column("shard")[0].as_py())
-    near = [node[e[e >= 0]] for e in edges]
-    return pa.table({"node": node, "near": pa.array([np.unique(e) for e in near], pa.list_(pa.int64()))})
+    close = np.concatenate([np.einsum("nd,nkd->nk", x[i : i + BATCH], x[edges[i : i + BATCH]]) >= CLOSE for i in range(0, len(x), BATCH)])
+    lists = [pa.array([np.unique(node[e[m]]) for e, m in zip(edges, mask)], pa.list_(pa.int64())) for mask in (edges >= 0, close & (edges >= 0))]
+    return pa.table({"node": node, "near": lists[0], "close": lists[1]})
 
 
 def _found(table: pa.Table, exact: bool) -> pa.Table:
@@ -367,14 +371,15 @@ def link(found: DataFrame, shards: dict[int, np.ndarray], probes: int, exact: bo
     # bounded here and below: a row for each shard, of which there are MOST_SHARDS for each vector length at most
     parts = built.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / SHARD_LIMIT).cast("int").alias("parts"))
     dealt = built.join(F.broadcast(parts), "shard").withColumn("part", part(F.col("parts")))
-    graph = dealt.select("shard", "part", "node", "dim", "vector").groupBy("shard", "part").applyInArrow(_graph, "node long, near array<long>")
-    lists = written(graph.groupBy("node").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near")), "graph")
+    graph = dealt.select("shard", "part", "node", "dim", "vector").groupBy("shard", "part").applyInArrow(_graph, "node long, near array<long>, close array<long>")
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    lists = written(graph.groupBy("node").agg(union("near"), union("close")), "graph")
     whole = written(found.join(lists, "node").select("node", "dim", "copies", "vector", "near"), "graph-nodes")
     held = visits.filter(F.col("rank") < probes).select("shard", "node")
     home = visits.filter(F.col("rank") == 0).select("shard", "node")
     if max([1, *map(len, shards.values())]) > probes:
         # the other ends of the edges that leave a home
-        ends = home.join(lists, "node").select("shard", F.explode("near").alias("node"))
+        ends = home.join(lists, "node").select("shard", F.explode("close").alias("node"))
         held = held.union(ends).distinct()
     index = written(held.join(whole, "node"), "index")
     sizes = index.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / SHARD_LIMIT).cast("int").alias("parts"))
