@@ -76,10 +76,12 @@ def assign_forward(snapshots: DataFrame, trades: DataFrame) -> DataFrame:
     """Each trade with the first frame at or after its time (null after the last): it belongs to one frame only."""
     s = snapshots.select(*KEYS, "event_us", "ingested_us", "seq", F.lit(FRAME).alias("kind"), F.lit(None).cast(trades.select(_payload(trades)).schema[0].dataType).alias("trade"))
     t = trades.select(*KEYS, "event_us", "ingested_us", "seq", F.lit(TRADE).alias("kind"), _payload(trades).alias("trade"))
-    order = Window.partitionBy(*KEYS).orderBy(*ORDER)
-    numbered = s.unionByName(t).withColumn("no", F.when(F.col("kind") == FRAME, F.count(F.when(F.col("kind") == FRAME, 1)).over(order.rowsBetween(Window.unboundedPreceding, 0))))
-    ahead = numbered.withColumn("frame_no", F.first("no", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing)))
-    return ahead.filter(F.col("kind") == TRADE).select(*KEYS, "seq", "frame_no", "ingested_us", "trade.*")
+    order = Window.partitionBy(*KEYS).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    is_frame = F.when(F.col("kind") == FRAME, 1)
+    # frames are numbered in this order, so the next one is the number so far plus one
+    ahead = s.unionByName(t).select("*", F.count(is_frame).over(order).alias("__before"), F.count(is_frame).over(Window.partitionBy(*KEYS)).alias("__all"))
+    number = F.when(F.col("__before") < F.col("__all"), F.col("__before") + 1)
+    return ahead.filter(F.col("kind") == TRADE).select(*KEYS, "seq", number.alias("frame_no"), "ingested_us", "trade.*")
 
 
 def frame_summary(frames: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Indicators are windows over the bars of a symbol that have a close, ordered by date.  Exponential averages are seeded
 with the mean of the first n closes of all history: x(t) = a·c(t) + (1-a)·x(t-1).  The fold runs JVM-side over the
-symbol's ordered closes (a few thousand at most) and yields the value after every bar.
+symbol's ordered closes in blocks of ``BLOCK`` bars and yields the value after every bar; only the last value goes from
+block to block, so that no array is copied at every bar.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from ..functions import exprs as X
 
 SMA = (5, 10, 20, 50, 100, 200)
 EMA = (12, 20, 26)
+BLOCK = 64
 
 
 def dedup_history(records: DataFrame, position: list[str]) -> DataFrame:
@@ -33,14 +35,22 @@ def ema_steps(values: Column, n: int) -> Column:
     """An array with the exponential average after each element of an array of doubles; null before n."""
     a = 2.0 / (n + 1)
     seed = F.aggregate(F.slice(values, 1, n), F.lit(0.0), lambda s, x: s + x) / F.lit(float(n))
-    start = F.struct(seed.alias("now"), F.array(seed).alias("all"))
+    doubles = "array<double>"
 
     def step(state: Column, x: Column) -> Column:
         new = F.lit(a) * x + F.lit(1 - a) * state["now"]
-        return F.struct(new.alias("now"), F.concat(state["all"], F.array(new)).alias("all"))
-
-    rest = F.slice(values, n + 1, F.greatest(F.size(values) - n, F.lit(0)))
-    later = F.aggregate(rest, start, step, lambda s: s["all"])
+        return F.struct(new.alias("now"), F.concat(state["out"], F.array(new)).alias("out"))
+
+    def block(state: Column, part: Column) -> Column:
+        inner = F.aggregate(part, F.struct(state["now"].alias("now"), F.array().cast(doubles).alias("out")), step)
+        joined = lambda r: F.struct(r["now"].alias("now"), F.concat(state["all"], F.array(r["out"])).alias("all"))
+        return F.transform(F.array(inner), joined)[0]
+
+    rest = F.greatest(F.size(values) - n, F.lit(0))
+    starts = F.when(rest > 0, F.sequence(F.lit(0), F.floor((rest - 1) / BLOCK).cast("int"))).otherwise(F.array().cast("array<int>"))
+    blocks = F.transform(starts, lambda i: F.slice(values, F.lit(n + 1) + i * BLOCK, F.lit(BLOCK)))
+    start = F.struct(seed.alias("now"), F.array(F.array(seed)).alias("all"))
+    later = F.aggregate(blocks, start, block, lambda s: F.flatten(s["all"]))
     none = F.array_repeat(F.lit(None).cast("double"), F.least(F.size(values), F.lit(n - 1)))
     return F.when(F.size(values) >= n, F.concat(none, later)).otherwise(none)
 

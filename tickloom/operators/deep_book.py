@@ -19,16 +19,19 @@ from ..params import CARRIED_STATES, KEYS, STATE_CONFIDENCE, Memory
 LEVEL = (*KEYS, "side", "price")
 
 
-def visible_levels(frames: DataFrame, scale: int = 6) -> DataFrame:
-    """(keys, frame_no, side, price, volume) of the as-of book of each frame; of equal prices the last counts."""
-    tagged = lambda side: F.transform(F.coalesce(F.col(f"book_asof.{side}_levels"), F.array()), lambda x, i: F.struct(F.lit(side).alias("side"), i.alias("pos"), x.alias("level")))
-    both = frames.select(*KEYS, "frame_no", "event_us", F.explode(F.concat(tagged("ask"), tagged("bid"))).alias("x"))
-    rows = both.select(*KEYS, "frame_no", "event_us", "x.*").filter("level.price is not null and level.volume is not null")
-    return (
-        rows.withColumn("price", X.price_token(F.col("level.price"), scale))
-        .groupBy(*KEYS, "frame_no", "event_us", "side", "price")
-        .agg(F.max_by(F.col("level.volume"), F.col("pos")).alias("volume"))
-    )
+def _last_of_price(levels: Column, scale: int) -> Column:
+    """The usable levels of an array; of equal prices the last counts.  A frame's levels lie in one row: no shuffle."""
+    plain = F.transform(F.coalesce(levels, F.array()), lambda x: F.struct(X.price_token(x["price"], scale).alias("price"), x["volume"].alias("volume")))
+    usable = F.filter(plain, lambda x: x["price"].isNotNull() & x["volume"].isNotNull())
+    last = lambda found: F.filter(found, lambda x, i: ~F.exists(F.slice(found, i + 2, F.size(found)), lambda y: y["price"] == x["price"]))
+    return F.transform(F.array(usable), last)[0]
+
+
+def visible_levels(frames: DataFrame, scale: int = 6, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, frame_no, event_us, kept columns, side, price, volume) of the as-of book of each frame."""
+    tagged = lambda side: F.transform(_last_of_price(F.col(f"book_asof.{side}_levels"), scale), lambda x: F.struct(F.lit(side).alias("side"), x["price"].alias("price"), x["volume"].alias("volume")))
+    both = frames.select(*KEYS, "frame_no", "event_us", *keep, F.explode(F.concat(tagged("ask"), tagged("bid"))).alias("x"))
+    return both.select(*KEYS, "frame_no", "event_us", *keep, "x.*")
 
 
 def matched_volumes(assigned: DataFrame, scale: int = 6) -> DataFrame:
@@ -68,20 +71,23 @@ def confidence(state: Column, stale_ms: Column, depth_unusable: Column, side_nul
 def deep_book(frames: DataFrame, assigned: DataFrame, memory: Memory = Memory(), flags: DataFrame | None = None) -> DataFrame:
     """Every remembered level of every frame.
 
-    ``frames`` has the keys, frame_no, event_us and book_asof; ``assigned`` the trades with their frame (see
+    ``frames`` has the keys, frame_no (from 1 in the order of event_us), event_us and book_asof; ``assigned`` the trades with their frame (see
     align.assign_forward); ``flags`` optionally book_total_depth_unusable and trade_side_nullable for each day.
     """
     expiry_us = memory.expiry_ms * 1000
-    by_no, by_time = Window.partitionBy(*KEYS).orderBy("frame_no"), Window.partitionBy(*KEYS).orderBy("event_us")
-    clock = frames.select(
+    day = Window.partitionBy(*KEYS)
+    # frames earlier than a frame's expiry; the next one in number is the first at or after it
+    before = F.count(F.lit(1)).over(day.orderBy("event_us").rangeBetween(Window.unboundedPreceding, expiry_us - 1))
+    clocked = frames.select(
         *KEYS,
         "frame_no",
         "event_us",
-        F.lag("event_us").over(by_no).alias("t_before"),
-        F.min("frame_no").over(by_time.rangeBetween(expiry_us, Window.unboundedFollowing)).alias("expiry_frame"),
-        F.max("frame_no").over(Window.partitionBy(*KEYS)).alias("last_frame"),
-    )
-    seen = visible_levels(frames, memory.price_scale).drop("event_us").join(clock, [*KEYS, "frame_no"])
+        "book_asof",
+        F.lag("event_us").over(day.orderBy("frame_no")).alias("t_before"),
+        before.alias("__before"),
+        F.max("frame_no").over(day).alias("last_frame"),
+    ).withColumn("expiry_frame", F.when(F.col("__before") < F.col("last_frame"), F.col("__before") + 1))
+    seen = visible_levels(clocked, memory.price_scale, ("t_before", "expiry_frame", "last_frame"))
     level = Window.partitionBy(*LEVEL).orderBy("frame_no")
     gone = (F.col("frame_no") - 1 > F.lag("frame_no").over(level)) & (F.col("t_before") - F.lag("event_us").over(level) >= expiry_us)
     seen = seen.withColumn("__new", F.coalesce(gone, F.lit(True)).cast("int"))
@@ -96,41 +102,35 @@ def deep_book(frames: DataFrame, assigned: DataFrame, memory: Memory = Memory(),
         .withColumn("__first", F.row_number().over(life) == 1)
         .withColumn("__until", F.least(F.lead("frame_no").over(level) - 1, F.coalesce("expiry_frame", "last_frame"), "last_frame"))
     )
-    zero = F.lit(0.0)
-    carried = ["first_seen_us", "reappeared_count", "max_observed_volume", F.col("volume").alias("last_observed_volume")]
-    visible = seen.select(
+    # every sighting with the frames up to the next one or its expiry, in one pass
+    dense = seen.select(
         *LEVEL,
-        "frame_no",
-        "event_us",
-        *carried,
+        F.col("frame_no").alias("seen_no"),
         F.col("event_us").alias("last_seen_us"),
-        F.when(F.col("reappeared_count") > 0, "REAPPEARED").otherwise("OBSERVED_TOP3").alias("state"),
-        F.lit(0).cast("long").alias("stale_age_ms"),
-        zero.alias("executed"),
-        zero.alias("baseline"),
-        F.lit(1.0).alias("ratio"),
-        zero.alias("carry"),
-        zero.alias("score"),
-        F.col("__first").alias("__fresh"),
-    )
-    spans = seen.filter(F.col("__until") > F.col("frame_no")).select(
-        *LEVEL, F.col("frame_no").alias("seen_no"), F.col("event_us").alias("last_seen_us"), *carried, F.explode(F.sequence(F.col("frame_no") + 1, F.col("__until"))).alias("frame_no")
+        "first_seen_us",
+        "reappeared_count",
+        "max_observed_volume",
+        F.col("volume").alias("last_observed_volume"),
+        "__first",
+        F.explode(F.sequence(F.col("frame_no"), F.col("__until"))).alias("frame_no"),
     )
-    dense = spans.join(frames.select(*KEYS, "frame_no", "event_us"), [*KEYS, "frame_no"]).join(
+    dense = dense.join(frames.select(*KEYS, "frame_no", "event_us"), [*KEYS, "frame_no"]).join(
         matched_volumes(assigned, memory.price_scale), [*KEYS, "frame_no", "side", "price"], "left"
     )
     since = Window.partitionBy(*LEVEL, "seen_no").orderBy("frame_no").rowsBetween(Window.unboundedPreceding, 0)
-    dense = (
-        dense.withColumn("baseline", F.greatest(F.col("last_observed_volume"), zero))
-        .withColumn("stale_age_ms", X.age_ms(F.col("event_us"), F.col("last_seen_us")))
-        .withColumn("executed", F.least(F.col("baseline"), F.coalesce(F.sum("matched").over(since), zero)))
+    zero, shown = F.lit(0.0), F.col("frame_no") == F.col("seen_no")
+    both = (
+        dense.withColumn("__fresh", shown & F.col("__first"))
+        .withColumn("baseline", F.when(shown, zero).otherwise(F.greatest(F.col("last_observed_volume"), zero)))
+        .withColumn("stale_age_ms", F.when(shown, F.lit(0).cast("long")).otherwise(X.age_ms(F.col("event_us"), F.col("last_seen_us"))))
+        .withColumn("executed", F.least(F.col("baseline"), F.coalesce(F.sum(F.when(~shown, F.col("matched"))).over(since), zero)))
         .withColumn("ratio", F.when(F.col("baseline") <= 0, 1.0).otherwise(X.clamp(X.safe_div(F.col("executed"), F.col("baseline")))))
         .withColumn("carry", F.greatest(F.col("baseline") - F.col("executed"), zero))
-        .withColumn("score", wall_score(1 - F.col("ratio"), F.col("max_observed_volume"), F.col("reappeared_count"), F.col("stale_age_ms"), memory))
+        .withColumn("score", F.when(shown, zero).otherwise(wall_score(1 - F.col("ratio"), F.col("max_observed_volume"), F.col("reappeared_count"), F.col("stale_age_ms"), memory)))
     )
     values = [F.col(c) for c in ("stale_age_ms", "ratio", "carry", "max_observed_volume", "score", "reappeared_count")]
-    missing = dense.withColumn("state", missing_state(*values, memory)).withColumn("__fresh", F.lit(False)).select(visible.columns)
-    both = visible.unionByName(missing)
+    visible = F.when(F.col("reappeared_count") > 0, "REAPPEARED").otherwise("OBSERVED_TOP3")
+    both = both.withColumn("state", F.when(shown, visible).otherwise(missing_state(*values, memory)))
     if flags is not None:
         both = both.join(flags.select(*KEYS, "book_total_depth_unusable", "trade_side_nullable"), list(KEYS), "left")
         unusable, nullable = (F.coalesce(F.col(c), F.lit(False)) for c in ("book_total_depth_unusable", "trade_side_nullable"))
@@ -167,6 +167,12 @@ def frame_totals(levels: DataFrame) -> DataFrame:
     )
 
 
+def day_summary(frames: DataFrame, levels: DataFrame) -> DataFrame:
+    """Per day: frame_count and frames_with_wall_candidates."""
+    with_walls = frame_totals(levels).groupBy(*KEYS).agg(F.count_if(F.col("wall_candidate_count") > 0).alias("frames_with_wall_candidates"))
+    return frames.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("frame_count")).join(with_walls, list(KEYS), "left").fillna(0, ["frames_with_wall_candidates"])
+
+
 def wall_candidates(levels: DataFrame) -> DataFrame:
     return levels.filter("state = 'SUSPECTED_FAKE_WALL'").select(*LEVEL, "frame_no", "state", "wall_suspicion_score", "reconstruction_confidence")
 

@@ -9,7 +9,10 @@ from ..params import KEYS
 
 
 def only_symbols(df: DataFrame, symbols: str | None) -> DataFrame:
-    """Rows of the comma-separated symbols, whatever their case; without any all rows.  Prunes partitions by symbol."""
+    """Rows of the comma-separated symbols, whatever their case; without any all rows.
+
+    On a table partitioned by symbol it prunes partitions; the feed's readers prune folders (see readers.feed_paths).
+    """
     wanted = sorted({s.strip().upper() for s in (symbols or "").split(",") if s.strip()})
     return df.filter(F.col("symbol").isin(wanted)) if wanted else df
 

@@ -74,7 +74,7 @@ def _base(raw: DataFrame, source: str) -> list[Column]:
 
 
 def number_records(df: DataFrame, position: list[str]) -> DataFrame:
-    """source_sequence: the record's place in its file order within symbol and day."""
+    """seq, the source sequence: the record's place in its file order within symbol and day."""
     w = Window.partitionBy("symbol", "trading_date").orderBy(*[F.col(c) for c in position])
     return df.withColumn("seq", F.row_number().over(w).cast("long"))
 
@@ -95,8 +95,9 @@ def normalize_books(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     ).filter("trading_date is not null")
 
 
-def normalize_trades(raw: DataFrame, keep: tuple[str, ...] = (), distinct_ids: bool = False) -> DataFrame:
-    """Trade ticks; with ``distinct_ids`` the first of each trade id in a day stays."""
+def normalize_trades(raw: DataFrame, keep: tuple[str, ...] = (), distinct_ids: bool = False, position: tuple[str, ...] = ()) -> DataFrame:
+    """Trade ticks; with ``distinct_ids`` the first of each trade id in a day stays, by event and ingest time and then
+    by the columns ``position`` (among the kept ones); trades without an id all stay."""
     out = raw.select(
         *_base(raw, "trade"),
         X.to_int(_have(raw, "trade_id")).alias("trade_id"),
@@ -105,7 +106,11 @@ def normalize_trades(raw: DataFrame, keep: tuple[str, ...] = (), distinct_ids: b
         X.clean_side(_have(raw, "side")).alias("side"),
         *keep,
     ).filter("trading_date is not null")
-    return out.dropDuplicates(["symbol", "trading_date", "trade_id"]) if distinct_ids else out
+    if not distinct_ids:
+        return out
+    w = Window.partitionBy("symbol", "trading_date", "trade_id").orderBy("event_us", "ingested_us", *position)
+    first = out.filter("trade_id is not null").withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    return first.unionByName(out.filter("trade_id is null"))
 
 
 def session_only(df: DataFrame) -> DataFrame:

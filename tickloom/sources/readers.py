@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +26,33 @@ SCHEMAS = {
 }
 
 
+def _glob(name: str) -> str:
+    """A path pattern for a name in whatever case."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() and c.isascii() else c if c.isalnum() or c in "_-." else f"\\{c}" for c in name)
+
+
+def feed_paths(root: str, group: str, symbols: str | None = None) -> list[str]:
+    """Patterns of the folders of a group, for all symbols or the comma-separated ones: other folders are not listed."""
+    wanted = sorted({s.strip().upper() for s in (symbols or "").split(",") if s.strip()})
+    return [f"{root.rstrip('/')}/{_glob(s) if s else '*'}/{_glob(group)}" for s in wanted or [""]]
+
+
+def _existing(reader: Callable[[str], DataFrame], paths: list[str]) -> DataFrame | None:
+    """What the reader finds at those patterns that match a folder; None if none does."""
+    out = None
+    for path in paths:
+        try:
+            part = reader(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _located(df: DataFrame, group: str, symbols: str | None) -> DataFrame:
-    """Keeps the group's files and adds path, symbol (from the folder) and file_date (from the file's name)."""
+    """Adds path, mtime, symbol (from the folder) and file_date (from the file's name)."""
     path = F.col("_metadata.file_path")
     out = df.withColumns(
         {
@@ -34,21 +62,46 @@ def _located(df: DataFrame, group: str, symbols: str | None) -> DataFrame:
             "file_date": F.regexp_extract(path, r"(\d{4}-\d{2}-\d{2})[^/]*$", 1),
         }
     )
-    chosen = out.filter(path.rlike(rf"/(?i:{group})/")).drop("symbol").withColumnRenamed("__dir", "symbol")
-    return only_symbols(chosen, symbols)
+    return only_symbols(out.drop("symbol").withColumnRenamed("__dir", "symbol"), symbols)
 
 
-def read_lines(spark: SparkSession, root: str, group: str, symbols: str | None = None) -> DataFrame:
-    """One object a line: split, scalable, blank lines skipped, broken lines dropped."""
-    raw = spark.read.schema(SCHEMAS[group]).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").option("mode", "DROPMALFORMED").json(root)
-    return _located(raw, group, symbols)
+def _empty(spark: SparkSession, schema: str) -> DataFrame:
+    rest = schema.replace("symbol string, ", "", 1)
+    return spark.createDataFrame([], f"{rest}, path string, mtime timestamp, symbol string, file_date string")
+
+
+def read_lines(spark: SparkSession, root: str, group: str, symbols: str | None = None, broken: bool = False) -> DataFrame:
+    """One object a line: split, scalable, blank lines skipped.
+
+    Broken lines are left out, or with ``broken`` kept as the text broken_record, for quarantine (see split_broken).
+    """
+    schema = SCHEMAS[group] + (", broken_record string" if broken else "")
+    reader = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    reader = reader.option("mode", "PERMISSIVE" if broken else "DROPMALFORMED").option("columnNameOfCorruptRecord", "broken_record")
+    found = _existing(lambda path: _located(reader.json(path), group, symbols), feed_paths(root, group, symbols))
+    return _empty(spark, schema) if found is None else found
+
+
+def split_broken(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good records, path and text of the broken ones) of what was read with ``broken``."""
+    return records.filter("broken_record is null").drop("broken_record"), records.filter("broken_record is not null").select("path", "symbol", "broken_record")
 
 
 def read_lenient(spark: SparkSession, root: str, group: str, symbols: str | None = None) -> DataFrame:
     """Files of any JSON shape, each read as one text (files of a symbol's day are small)."""
-    texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root, wholetext=True)
-    located = _located(texts, group, symbols)
-    return lenient_json(located, "value", SCHEMAS[group].replace("symbol string, ", "", 1))
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    found = _existing(lambda path: _located(reader.text(path, wholetext=True), group, symbols), feed_paths(root, group, symbols))
+    if found is None:
+        return _empty(spark, f"pos int, {SCHEMAS[group]}")
+    return lenient_json(found, "value", SCHEMAS[group].replace("symbol string, ", "", 1))
+
+
+def read_objects(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
+    """One JSON object a file, strictly: a file that is anything else fails the read.  Adds path."""
+    text = spark.read.text(paths, wholetext=True).select(F.regexp_replace("value", "^\ufeff", "").alias("value"), F.col("_metadata.file_path").alias("path"))
+    sound = F.regexp_like(F.trim(F.regexp_replace("value", r"\s+", " ")), F.lit(r"^\{.*\}$"))
+    record = F.when(sound, F.from_json("value", schema, {"mode": "FAILFAST"})).otherwise(F.raise_error(F.concat(F.lit("expected a JSON object in "), F.col("path"))))
+    return text.select(record.alias("r"), "path").select("r.*", "path")
 
 
 def read_universe(spark: SparkSession, path: str) -> DataFrame:

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import exprs as X
 from ..params import KEYS
 
 
@@ -14,12 +21,19 @@ def replace_days(df: DataFrame, path: str) -> None:
     df.repartition(*KEYS).sortWithinPartitions(*KEYS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*KEYS).parquet(path)
 
 
+def _delete(uri: str) -> None:
+    store, path = fs.FileSystem.from_uri(uri)
+    if store.get_file_info(path).type == fs.FileType.Directory:
+        store.delete_dir(path)
+
+
 def remove_days(spark: SparkSession, path: str, gone: DataFrame) -> None:
-    """Deletes the partitions of days whose input vanished: one path for each day, listed on the driver."""
-    jvm = spark.sparkContext._jvm
-    for r in gone.select(*KEYS).distinct().toLocalIterator():
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/symbol={r.symbol}/trading_date={r.trading_date}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    """Deletes the partitions of days whose input vanished: their folders, one for each day, are found by Spark."""
+    files = spark.read.parquet(path).select(*[F.col(c).cast("string") for c in KEYS], "_metadata.file_path")
+    days = gone.select(*[F.col(c).cast("string") for c in KEYS]).distinct()
+    folders = files.join(days, list(KEYS), "left_semi").select(F.regexp_extract("file_path", r"^(.*)/[^/]+$", 1).alias("f")).distinct()
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(_delete, (r.f for r in folders.toLocalIterator())))
 
 
 def append_stream(records: DataFrame, path: str, checkpoint: str, seconds: int | None = 5) -> StreamingQuery:
@@ -32,3 +46,39 @@ def append_stream(records: DataFrame, path: str, checkpoint: str, seconds: int |
 def bundles(df: DataFrame, order: str = "frame_no") -> DataFrame:
     """One JSON text per row for export, in frame order within each day."""
     return df.repartition(*KEYS).sortWithinPartitions(*KEYS, order).select(*KEYS, F.to_json(F.struct("*")).alias("value"))
+
+
+def day_bundles(df: DataFrame, folder: str, order: str = "frame_no") -> DataFrame:
+    """One JSON text per day: keys, frame_count and its rows in order; with the export path symbol/folder/year/date.json.
+
+    A day's rows meet in one task, which holds a few times their text.
+    """
+    rest = [c for c in df.columns if c not in KEYS]
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("__o"), F.struct(*rest).alias("x")))), lambda r: r["x"])
+    days = df.groupBy(*KEYS).agg(ordered.alias("frames"), F.count(F.lit(1)).alias("frame_count"))
+    date = F.col("trading_date").cast("string")
+    path = F.concat_ws("/", X.clean_symbol(F.col("symbol")), F.lit(folder), F.substring(date, 1, 4), F.concat(date, F.lit(".json")))
+    return days.select(*KEYS, path.alias("path"), F.to_json(F.struct("symbol", date.alias("trading_date"), "frame_count", "frames")).alias("value"))
+
+
+def write_bundles(bundles: DataFrame, root: str) -> DataFrame:
+    """Writes each text to its path below ``root``, under a name of the attempt that is then renamed; returns the paths."""
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+        attempt = TaskContext.get().taskAttemptId()
+        for batch in batches:
+            for path, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                target = f"{base}/{path}"
+                store.create_dir(target.rpartition("/")[0])
+                with store.open_output_stream(f"{target}.{attempt}.tmp") as out:
+                    out.write(value.encode())
+                store.move(f"{target}.{attempt}.tmp", target)
+            yield batch.select(["path"])
+
+    return bundles.select("path", "value").mapInArrow(put, "path string")
+
+
+def replace_daily(df: DataFrame, path: str) -> None:
+    """Daily records by date: overwrites only the dates that ``df`` has."""
+    df.repartition("date").sortWithinPartitions("date", "symbol").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
