@@ -157,3 +157,9 @@ def freshness(count: Column, stale_ms: Column, window_ms: int) -> Column:
 
 def clean_number(x: Column, scale: int = 6) -> Column:
     return F.bround(x.cast("double"), scale)
+
+
+def sort_prices(prices: Column, side: Column) -> Column:
+    """Prices from the best of their side on: bids from the highest, asks from the lowest."""
+    rising = F.array_sort(prices)
+    return F.when(F.lower(side) == "bid", F.reverse(rising)).otherwise(rising)

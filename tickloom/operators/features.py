@@ -171,3 +171,13 @@ def bundle_mismatches(left: DataFrame, right: DataFrame) -> DataFrame:
     b = right.select(*KEYS, "frame_no", F.col("event_us").alias("t_right"))
     both = a.join(b, [*KEYS, "frame_no"], "full_outer")
     return both.filter(~F.col("t_left").eqNullSafe(F.col("t_right"))).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("mismatches"))
+
+
+def joined_frames(reference: DataFrame, deep: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(frames of both tables, days for quarantine): days that only one table has are left out, and days whose frames
+    differ in number, frame_no or time fail as a whole."""
+    both = reference.select(*KEYS).distinct().join(deep.select(*KEYS).distinct(), list(KEYS))
+    failed = bundle_mismatches(reference, deep).join(both, list(KEYS), "left_semi")
+    added = [c for c in deep.columns if c not in reference.columns or c == "frame_no"]
+    joined = reference.join(deep.select(*KEYS, *added), [*KEYS, "frame_no"])
+    return joined.join(failed, list(KEYS), "left_anti"), failed

@@ -27,15 +27,22 @@ SCORES = (
 ).split()
 
 
-def frames_with_memory(snapshots: DataFrame, books: DataFrame, trades: DataFrame, windows: Windows = Windows(), memory: Memory = Memory()) -> tuple[DataFrame, DataFrame]:
-    """Frames and the remembered levels of each.  The frames are read by several steps and so written once."""
+def frames_with_memory(
+    snapshots: DataFrame, books: DataFrame, trades: DataFrame, windows: Windows = Windows(), memory: Memory = Memory(), validation: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Frames and the remembered levels of each.  The frames are read by several steps and so written once.
+
+    ``validation`` (see rules.validation_status) gives the degraded flags that lower the levels' confidence.
+    """
     frames = written(align.align(snapshots, books, trades, windows), "frames")
-    levels = deep_book.deep_book(frames, align.assign_forward(snapshots, trades), memory)
+    levels = deep_book.deep_book(frames, align.assign_forward(snapshots, trades), memory, validation)
     return frames, levels
 
 
-def market_state(snapshots: DataFrame, books: DataFrame, trades: DataFrame, days: DataFrame, windows: Windows = Windows(), memory: Memory = Memory()) -> DataFrame:
-    frames, levels = frames_with_memory(snapshots, books, trades, windows, memory)
+def market_state(
+    snapshots: DataFrame, books: DataFrame, trades: DataFrame, days: DataFrame, windows: Windows = Windows(), memory: Memory = Memory(), validation: DataFrame | None = None
+) -> DataFrame:
+    frames, levels = frames_with_memory(snapshots, books, trades, windows, memory, validation)
     # the local time of a frame travels in its snapshot
     frames = frames.withColumn("local_us", F.col("snap.local_us")) if "local_us" in frames.schema["snap"].dataType.names else frames
     return features.market_state(frames, deep_book.depth_extension(frames, levels, scale=memory.price_scale), days)
@@ -52,14 +59,20 @@ def feature_frames(
     names: tuple[str, str, str, str] = ("10s", "60s", "1s", "5s"),
     windows_ms: tuple[int, int] = (10_000, 60_000),
     include_current_bar: bool = False,
+    validation: DataFrame | None = None,
 ) -> DataFrame:
-    """Every frame with all its columns."""
+    """Every frame with all its columns; with ``validation`` its status and degraded flags lower the quality."""
     short, long, *_ = names
-    state = market_state(snapshots, books, trades, days, windows, memory)
+    state = market_state(snapshots, books, trades, days, windows, memory, validation)
     base = features.base_features(state, windows, short, long, windows_ms[0] / 1000)
     technicals = daily.as_of_days(days.select(*KEYS), bars, include_current_bar)
     store = features.feature_store(base, technicals, days, short=short)
-    return features.feature_quality(store, windows_ms, names)
+    if validation is None:
+        return features.feature_quality(store, windows_ms, names)
+    flags = [F.coalesce(F.col(c), F.lit(False)).cast("int") for c in ("book_total_depth_unusable", "trade_side_nullable")]
+    found = validation.select(*KEYS, F.col("validation_status").alias("__status"), (flags[0] + flags[1]).alias("__flags"))
+    judged = store.join(found, list(KEYS), "left")
+    return features.feature_quality(judged, windows_ms, names, F.col("__status"), F.coalesce("__flags", F.lit(0))).drop("__status", "__flags")
 
 
 def feature_package(frames: DataFrame) -> DataFrame:

@@ -602,12 +602,12 @@ def flt06_quarantine(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import source_queries
+    from . import run_queries, source_queries
 
-    return QUERIES | source_queries.queries()
+    return QUERIES | source_queries.queries() | run_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import source_queries
+    from . import run_queries, source_queries
 
-    return SQL | source_queries.oracle_sql()
+    return SQL | source_queries.oracle_sql() | run_queries.SQL

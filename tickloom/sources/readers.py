@@ -52,12 +52,15 @@ def _existing(reader: Callable[[str], DataFrame], paths: list[str]) -> DataFrame
 
 
 def _located(df: DataFrame, group: str, symbols: str | None) -> DataFrame:
-    """Adds path, mtime, symbol (from the folder) and file_date (from the file's name)."""
+    """Adds path, mtime, place (block, row), symbol (from the folder) and file_date (from the file's name)."""
     path = F.col("_metadata.file_path")
     out = df.withColumns(
         {
             "path": path,
             "mtime": F.col("_metadata.file_modification_time"),
+            # a record's place in its file: rows of a split come in order, and so do the splits
+            "block": F.col("_metadata.file_block_start"),
+            "row": F.monotonically_increasing_id(),
             "__dir": X.clean_symbol(F.regexp_extract(path, rf"/([^/]+)/(?i:{group})/", 1)),
             "file_date": F.regexp_extract(path, r"(\d{4}-\d{2}-\d{2})[^/]*$", 1),
         }
@@ -67,7 +70,7 @@ def _located(df: DataFrame, group: str, symbols: str | None) -> DataFrame:
 
 def _empty(spark: SparkSession, schema: str) -> DataFrame:
     rest = schema.replace("symbol string, ", "", 1)
-    return spark.createDataFrame([], f"{rest}, path string, mtime timestamp, symbol string, file_date string")
+    return spark.createDataFrame([], f"{rest}, path string, mtime timestamp, block long, row long, symbol string, file_date string")
 
 
 def read_lines(spark: SparkSession, root: str, group: str, symbols: str | None = None, broken: bool = False) -> DataFrame:
@@ -75,11 +78,19 @@ def read_lines(spark: SparkSession, root: str, group: str, symbols: str | None =
 
     Broken lines are left out, or with ``broken`` kept as the text broken_record, for quarantine (see split_broken).
     """
-    schema = SCHEMAS[group] + (", broken_record string" if broken else "")
-    reader = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-    reader = reader.option("mode", "PERMISSIVE" if broken else "DROPMALFORMED").option("columnNameOfCorruptRecord", "broken_record")
-    found = _existing(lambda path: _located(reader.json(path), group, symbols), feed_paths(root, group, symbols))
-    return _empty(spark, schema) if found is None else found
+    schema, found = SCHEMAS[group], feed_paths(root, group, symbols)
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    if not broken:
+        lines = _existing(lambda path: _located(reader.schema(schema).option("mode", "DROPMALFORMED").json(path), group, symbols), found)
+        return _empty(spark, schema) if lines is None else lines
+    schema += ", broken_record string"
+    texts = _existing(lambda path: _located(reader.text(path), group, symbols), found)
+    if texts is None:
+        return _empty(spark, schema)
+    names = [n.strip().split(" ")[0].rstrip(":") for n in SCHEMAS[group].replace(_LEVELS, "x").split(",")]
+    record = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken_record"})
+    place = [c for c in texts.columns if c != "value"]
+    return texts.filter("trim(value) <> ''").withColumn("__r", record).select(*[F.col("__r")[n].alias(n) for n in (*names, "broken_record") if n != "symbol"], *place)
 
 
 def split_broken(records: DataFrame) -> tuple[DataFrame, DataFrame]:
