@@ -91,5 +91,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+#: Windows of 20 words told apart as text; a word goes if a window over it has the text of an earlier one.
+SUBSTRINGS_SQL = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+starts AS (SELECT doc_id, unnest(range(1, len(words) - 18)) AS i, words FROM texts WHERE len(words) >= 20),
+windows AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(words[i : i + 19], ' ') ORDER BY doc_id, i) AS n FROM starts),
+covered AS (SELECT DISTINCT doc_id, i + unnest(range(20)) AS place FROM windows WHERE n > 1),
+every AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM texts),
+kept AS (SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.place) AS text FROM every e LEFT JOIN covered c ON e.doc_id = c.doc_id AND e.place = c.place WHERE c.place IS NULL GROUP BY e.doc_id)
+SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id LEFT JOIN (SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id) r ON t.doc_id = r.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_substring_dedup": SUBSTRINGS_SQL}
