@@ -26,7 +26,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 #: Blocks of documents are cut near this many bytes; a longer document is a block by itself.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 #: A 128-bit digest as two words.
 KEY = np.dtype([("a", "<u8"), ("b", "<u8")])

@@ -18,10 +18,10 @@ from .textbytes import SPACE, as_binary
 
 END_ID = 2
 #: Bytes of a block that is encoded at once.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Chunks that a worker keeps between blocks, and the most bytes of one; others are encoded again where they come.
-KEPT_CHUNKS = 200_000
-KEPT_BYTES = 64
+KEPT_CHUNKS = 150_000
+KEPT_BYTES = 32
 _JOINED_BYTES = 1 << 15
 
 #: Bytes before the last of a white-space character outside ASCII: C2, and the middle bytes 80, 81 and 9A.
