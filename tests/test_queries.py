@@ -5,6 +5,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from tickloom.plans import queries as Q
@@ -46,3 +47,19 @@ def test_alignment_plan_has_one_exchange_and_no_python(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("name", ["jn04_forward_assign", "st02_st06_deep_book"])
+def test_no_window_runs_to_the_end_of_its_partition_from_every_row(spark, name):
+    """A frame from a row to the partition's end is computed anew for every row; whole-partition frames are not."""
+    plan = Q.QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "currentrow$(), unboundedfollowing$()" not in plan and ", unboundedfollowing$()" not in plan.replace("unboundedpreceding$(), unboundedfollowing$()", "")
+
+
+def test_visible_levels_need_no_shuffle(spark):
+    from tickloom.operators import deep_book
+    from tickloom.plans import bindings as B
+
+    books = B.books(spark, FOLDER)
+    frames = books.select("symbol", "trading_date", "event_us", books["seq"].alias("frame_no"), F.struct("bid_levels", "ask_levels").alias("book_asof"))
+    assert "Exchange" not in deep_book.visible_levels(frames)._jdf.queryExecution().executedPlan().toString()

@@ -159,3 +159,38 @@ def test_dirty_and_removed_days(spark):
     assert sorted(map(tuple, incremental.dirty_days(before, now).collect())) == [("A", DAY2), ("B", DAY1)]
     assert [tuple(r) for r in incremental.removed_days(before, now).collect()] == [("B", DAY1)]
     assert incremental.dirty_days(None, now).count() == 2
+
+
+def test_broken_lines_are_kept_and_folders_pruned(spark, feed):
+    good, broken = readers.split_broken(readers.read_lines(spark, feed, "updatetrades", broken=True))
+    assert sorted(r.trade_id for r in good.collect()) == ["7", "8", "9"]
+    assert [(r.symbol, r.broken_record) for r in broken.collect()] == [("AAA", "{broken")]
+    assert readers.read_lines(spark, feed, "updatetrades", "none").count() == 0
+    assert {f.rsplit("/", 3)[1] for f in readers.read_lines(spark, feed, "updatetrades", "bbb").inputFiles()} == {"updatetrades"}
+
+
+def test_strict_objects(spark, tmp_path):
+    put(tmp_path / "a.json", '﻿ {"x": 1,\n "y": {"z": 2}}\n')
+    assert [r.x for r in readers.read_objects(spark, [f"{tmp_path}/a.json"], "x long").collect()] == [1]
+    put(tmp_path / "b.json", "[1]")
+    with pytest.raises(Exception, match="expected a JSON object"):
+        readers.read_objects(spark, [f"{tmp_path}/b.json"], "x long").collect()
+
+
+def test_first_of_a_trade_id_stays_and_trades_without_one(spark):
+    from tickloom.operators import normalize
+
+    rows = [("A", f"2024-01-02T03:00:0{s}Z", i, str(p)) for s, i, p in ((2, "1", 9), (1, "1", 8), (3, None, 7), (4, None, 6), (5, "2", 5))]
+    raw = spark.createDataFrame(rows, "symbol string, event_time string, trade_id string, price string").repartition(3)
+    assert sorted(r.price for r in normalize.normalize_trades(raw, distinct_ids=True).collect()) == [5.0, 6.0, 7.0, 8.0]
+
+
+def test_a_failing_day_leaves_the_others(spark, tmp_path):
+    out = f"file://{tmp_path}/out"
+    rows = days(spark, [(s, d, i, float(i)) for s in "ABC" for d in (DAY1, DAY2) for i in range(3)])
+    bad = (F.col("symbol") == "B") & (F.col("trading_date") == DAY2)
+    build = lambda df: df.withColumn("v", F.when(bad, F.raise_error(F.lit("bad day"))).otherwise(F.col("v")))
+    gone = []
+    run = incremental.run_once(rows, rows.filter("symbol <> 'C'"), build, lambda df: sinks.replace_days(df, out), lambda d: gone.append(d.count()))
+    assert run.counts() == {"dirty": 6, "built": 3, "removed": 2, "failed": 1} and gone == [2]
+    assert [e[:2] for e in run.errors] == [("B", str(DAY2))] and {(r[0], r[1]) for r in read(spark, out)} == {("A", DAY1), ("A", DAY2), ("B", DAY1)}
