@@ -123,3 +123,13 @@ def test_chunks_that_weak_hashes_confuse():
     texts = [f"one {''.join(x)} end" for x in twins(2048, "a", "b")] + [f"one {''.join(x)}, end" for x in twins(1024, "ab", "ba")]
     assert through_blocks(texts) == [plain(t) for t in texts]
     assert [through_blocks([t])[0] for t in texts] == [plain(t) for t in texts]
+
+
+def test_an_id_on_many_rows_spreads_over_parts(spark, tmp_path):
+    rows = [(None if i % 2 else 4, f"text number {i}") for i in range(400)]
+    folder = str(tmp_path / "hot")
+    manifest = tokenfiles.write(spark.createDataFrame(rows, "doc_id long, text string"), folder, VOCABULARY)
+    assert len(manifest["parts"]) > 2 and max(p["docs"] for p in manifest["parts"]) < 200
+    got = sorted(tokenfiles.digests(spark, folder).collect(), key=lambda r: r.start)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[1]))
+    assert [(r.doc_id, r.n_tokens) for r in got] == [(k, len(plain(t))) for k, t in want]

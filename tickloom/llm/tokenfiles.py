@@ -9,8 +9,10 @@ Documents are ordered by a range shuffle; every part is encoded and written by i
 attempt that is then renamed, so a task that runs again replaces its files.  Only one row for each part comes back;
 their prefix sums are the parts' bases, which a second step adds to the parts' local offsets.
 
-Defined results: a null or empty text is its end token alone; documents with equal ids follow each other, ordered by a
-hash of the text, over as many parts as they need; null ids come first and stay null; other columns are ignored; an empty table gives an empty folder.
+Parts are ranges of id and the text's first characters, so that an id on many rows spreads over parts.
+
+Defined results: a null or empty text is its end token alone; documents with equal ids follow each other, ordered by
+text; null ids come first and stay null; other columns are ignored; an empty table gives an empty folder.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from .textbytes import blocks
 from .tokens import BLOCK_BYTES, encoder
 
 KINDS = ("ids", "offsets", "keys")
+#: Characters of a text that may bound a part; the bounds are sampled to the driver.
+BEGIN_CHARS = 64
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
@@ -88,9 +92,10 @@ def write(docs: DataFrame, folder: str, vocabulary: str, key: str = "doc_id", te
         )
 
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.xxhash64(text).alias("order"))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("order")]
-    ranged = rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order, "text").drop("order")
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = rows.withColumn("begin", F.substring("text", 1, BEGIN_CHARS))
+    by_id = F.col("doc_id").asc_nulls_first()
+    ranged = rows.repartitionByRange(partitions(spark), by_id, "begin").drop("begin").sortWithinPartitions(by_id, "text")
     found = ranged.mapInArrow(parts, "part long, docs long, nulls long, ids long, width long").collect()  # one row a part
     found.sort(key=lambda r: r["part"])
     total, entries = 0, []
