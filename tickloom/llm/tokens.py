@@ -20,7 +20,7 @@ END_ID = 2
 #: Bytes of a block that is encoded at once.
 BLOCK_BYTES = 1 << 20
 #: Chunks that a worker keeps between blocks, and the most bytes of one; others are encoded again where they come.
-KEPT_CHUNKS = 150_000
+KEPT_CHUNKS = 250_000
 KEPT_BYTES = 32
 _JOINED_BYTES = 1 << 15
 
