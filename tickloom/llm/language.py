@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import units
 from .shared import written
-from .textbytes import LOWER, blocks, distinct_words, find_words
+from .textbytes import LOWER, blocks, distinct_words, find_words, mix
 
 CLASSES = 32
 CLASS_WORDS = 64
@@ -44,6 +44,8 @@ ROUNDS = 3
 STREAMS = 256
 WINDOW = 16
 SCORE_WINDOW = 32
+#: Documents and states that scoring takes at once.
+SCORED, OUTPUT_ROWS = 512, 4096
 RATES = (0.02, 0.012, 0.006)
 SEED = 7
 
@@ -51,6 +53,8 @@ SEED = 7
 OTHER, END = 0, 1
 #: The end as a token: no word has a space.
 END_WORD = b" "
+#: Words that are hashed at once, and the most bytes of one that is hashed with others.
+_HASHED, _SHORT = 1 << 16, 64
 #: Copies of the weights that meet in one task.
 _MERGE = 16
 
@@ -86,13 +90,36 @@ def _lists(cuts: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), values)
 
 
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word: the mixed sum of its mixed (place, byte) pairs, or XXH3 of a long word."""
+    words = words.cast(pa.large_binary())
+    size = pc.binary_length(words).to_numpy()
+    short = size <= _SHORT
+    out = np.empty(len(words), np.uint64)
+    if not short.all():
+        out[~short] = [xxhash.xxh3_64_intdigest(w) for w in words.filter(pa.array(~short)).to_pylist()]
+        words, size = words.filter(pa.array(short)), size[short]
+    first, end = int(words.offset), np.cumsum(size)
+    _, offsets, body = words.buffers()
+    if not len(end) or not end[-1]:
+        out[short] = 0
+        return out
+    begin = int(np.frombuffer(offsets, np.int64)[first])
+    data = np.frombuffer(body, np.uint8)[begin : begin + int(end[-1])]
+    place = np.arange(len(data)) - np.repeat(end - size, size)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(mix(data | place << 8), out=sums[1:])
+    out[short] = mix(sums[end] - sums[end - size])
+    return out
+
+
 def _by_bucket(words: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(buckets with words, order of the words by bucket, cuts between them); the hash deals and never decides."""
-    digest = xxhash.xxh3_64_intdigest
-    bucket = np.array([digest(w) % buckets for w in words.to_pylist()], dtype=np.int64)
-    order = np.argsort(bucket, kind="stable")
-    some, first = np.unique(bucket[order], return_index=True)
-    return some.astype(np.int32), order, np.append(first, len(order))
+    bucket = (np.concatenate([np.zeros(0, np.uint64), *[_hashes(words[i : i + _HASHED]) for i in range(0, len(words), _HASHED)]]) >> np.uint64(33)) % np.uint64(buckets)
+    order = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
+    size = np.bincount(bucket.astype(np.int64), minlength=buckets)
+    some = np.flatnonzero(size)
+    return some.astype(np.int32), order, np.append(0, np.cumsum(size[some]))
 
 
 WORDS, LONGS = pa.list_(pa.field("element", pa.binary())), pa.list_(pa.field("element", pa.int64()))
@@ -217,55 +244,68 @@ class Model:
 
     def step(self, h: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, tuple]:
         """The next state, and what the way back needs."""
-        x, u = self.w["gates"][symbols], h @ self.w["state"]
-        zr = np.tanh(0.5 * (x[:, : 2 * STATE] + u[:, : 2 * STATE]))
+        x, u = self.w["gates"].take(symbols, 0), h @ self.w["state"]
+        zr, un = x[:, : 2 * STATE] + u[:, : 2 * STATE], u[:, 2 * STATE :]
+        zr *= 0.5
+        np.tanh(zr, out=zr)
         zr *= 0.5
         zr += 0.5
-        z, r, un = zr[:, :STATE], zr[:, STATE:], u[:, 2 * STATE :]
-        n = np.tanh(x[:, 2 * STATE :] + r * un)
-        return n + z * (h - n), (z, r, n, un)
+        z, r = zr[:, :STATE], zr[:, STATE:]
+        n = r * un
+        n += x[:, 2 * STATE :]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= z
+        new += n
+        return new, (z, r, n, un)
 
     def output(self, h: np.ndarray, symbols: np.ndarray, back: bool = False):
-        """Natural log probabilities of symbols given the states before them; with ``back`` the gradients too."""
-        order = np.argsort(symbols // CLASS_WORDS, kind="stable")
-        kind, inside = np.divmod(symbols[order], CLASS_WORDS)
-        own, row = h[order], np.arange(len(h))
+        """Natural log probabilities of symbols given the states before them; with ``back`` the gradients too.
+
+        The biases are one more row of the weights, for a component of the states that is always one.
+        """
+        dtype = h.dtype
+        kind, inside = np.divmod(symbols, CLASS_WORDS)
+        order = np.argsort(kind.astype(np.uint8), kind="stable")
+        kind, inside, row = kind[order], inside[order], np.arange(len(h))
+        own = np.ones((len(h), STATE + 1), dtype)
+        own[:, :STATE] = h.take(order, 0)
         cuts = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
-        a = own @ self.w["class"]
-        a += self.w["class_bias"]
-        a -= a.max(1, keepdims=True)
-        picked = a[row, kind]
-        np.exp(a, out=a)
-        total = a.sum(1)
-        b = np.empty((len(h), CLASS_WORDS), dtype=a.dtype)
+        by_class = np.concatenate([self.w["class"], self.w["class_bias"][None]])
+        by_word = np.concatenate([self.w["word"], self.w["word_bias"][:, None]], axis=1)
+        a = own @ by_class
+        b = np.empty((len(h), CLASS_WORDS), dtype)
         for c in range(CLASSES):
             i, j = cuts[c], cuts[c + 1]
             if j > i:
-                np.matmul(own[i:j], self.w["word"][c], out=b[i:j])
-                b[i:j] += self.w["word_bias"][c]
-        b -= b.max(1, keepdims=True)
-        picked += b[row, inside]
+                np.matmul(own[i:j], by_word[c], out=b[i:j])
+        # no value is beyond the sum of its absolute weights, so exponentials need no shift where that is small
+        most = max(1.0, float(np.abs(h).max())) if len(h) else 1.0
+        if most * max(float(np.abs(by_class).sum(0).max()), float(np.abs(by_word).sum(1).max())) > 80:
+            a -= a.max(1, keepdims=True)
+            b -= b.max(1, keepdims=True)
+        picked = a[row, kind] + b[row, inside]
+        np.exp(a, out=a)
         np.exp(b, out=b)
-        sums = b.sum(1)
-        out = np.empty(len(h), dtype=a.dtype)
-        out[order] = picked - np.log(total * sums)
+        total, sums = a @ np.ones(CLASSES, dtype), b @ np.ones(CLASS_WORDS, dtype)
+        out = np.empty(len(h), dtype)
+        out[order] = picked - np.log(total) - np.log(sums)
         if not back:
             return out
-        a /= total[:, None]
+        a *= (1 / total)[:, None]
         a[row, kind] -= 1
-        b /= sums[:, None]
+        b *= (1 / sums)[:, None]
         b[row, inside] -= 1
         d_own = a @ self.w["class"].T
-        found = {"class": own.T @ a, "class_bias": a.sum(0), "word": np.zeros_like(self.w["word"]), "word_bias": np.zeros_like(self.w["word_bias"])}
+        d_class, d_word = own.T @ a, np.zeros_like(by_word)
         for c in range(CLASSES):
             i, j = cuts[c], cuts[c + 1]
             if j > i:
                 d_own[i:j] += b[i:j] @ self.w["word"][c].T
-                found["word"][c] = own[i:j].T @ b[i:j]
-                found["word_bias"][c] = b[i:j].sum(0)
+                np.matmul(own[i:j].T, b[i:j], out=d_word[c])
         d_h = np.empty_like(d_own)
         d_h[order] = d_own
-        return out, d_h, found
+        return out, d_h, {"class": d_class[:STATE], "class_bias": d_class[STATE], "word": d_word[:, :STATE], "word_bias": d_word[:, STATE]}
 
     def gradients(self, symbols: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> tuple[float, dict, np.ndarray]:
         """Loss, gradients and last state of a window (time, streams); fresh: a document starts there."""
@@ -292,7 +332,7 @@ class Model:
             d_h += d_out[t]
             d_h *= keep[t]
         ids = symbols.ravel()
-        order = np.argsort(ids, kind="stable")
+        order = np.argsort(ids.astype(np.uint16), kind="stable")
         ids = ids[order]
         starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
         d_table = np.zeros_like(self.w["gates"])
@@ -328,35 +368,38 @@ class Model:
         return streams * length
 
     def score(self, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Natural log probability of each whole document, its state carried from window to window."""
+        """Natural log probability of each whole document, its state carried from window to window.
+
+        Documents of about equal length are scored side by side, so many that their states stay in the processor's cache.
+        """
         length = np.diff(first)
         order = np.argsort(-length, kind="stable")
-        length, begin = length[order], first[:-1][order]
+        out = np.zeros(len(length))
+        for i in range(0, len(order), SCORED):
+            some = order[i : i + SCORED]
+            out[some] = self._score(symbols, first[:-1][some], length[some])
+        return out
+
+    def _score(self, symbols: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Scores of documents in descending order of length."""
         total = np.zeros(len(length))
         h = np.zeros((len(length), STATE), np.float32)
-        longest = int(length[0]) if len(length) else 0
-        for t0 in range(0, longest, SCORE_WINDOW):
-            n = int(np.searchsorted(-length, -t0))  # documents longer than t0
-            t1 = min(t0 + SCORE_WINDOW, longest)
-            active = np.searchsorted(-length, -np.arange(t0, t1)).tolist()
-            states, picked, owner = [], [], []
-            for t, a in zip(range(t0, t1), active):
-                ids = symbols[begin[:a] + t]
-                states.append(h[:a].copy() if a < n else h[:a])
-                picked.append(ids)
-                owner.append(a)
-                new, _ = self.step(h[:a], ids)
-                h = new if a == len(h) else np.concatenate([new, h[a:n]])
-            states, ids = np.concatenate(states), np.concatenate(picked)
-            logp = self.output(states, ids).astype(np.float64)
+        for t0 in range(0, int(length[0]), SCORE_WINDOW):
+            t1 = min(t0 + SCORE_WINDOW, int(length[0]))
+            active = np.searchsorted(-length, -np.arange(t0, t1)).tolist()  # documents longer than t
+            states, ids = np.empty((sum(active), STATE), np.float32), np.empty(sum(active), np.int64)
             at = 0
-            for a in owner:
+            for t, a in zip(range(t0, t1), active):
+                h = h[:a]
+                states[at : at + a], ids[at : at + a] = h, symbols[begin[:a] + t]
+                h, _ = self.step(h, ids[at : at + a])
+                at += a
+            logp = [self.output(states[i : i + OUTPUT_ROWS], ids[i : i + OUTPUT_ROWS]) for i in range(0, len(ids), OUTPUT_ROWS)]
+            logp, at = np.concatenate(logp).astype(np.float64), 0
+            for a in active:
                 total[:a] += logp[at : at + a]
                 at += a
-            h = h[:n]
-        out = np.zeros(len(length))
-        out[order] = total
-        return out
+        return total
 
 
 def learn(texts: DataFrame, model: Model) -> int:
