@@ -163,6 +163,16 @@ def as_binary(body: np.ndarray, length: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(body))])
 
 
+def byte_strings(column: pa.LargeBinaryArray) -> list[bytes]:
+    """The values of a column without nulls, sliced from its buffer, several times faster than to_pylist."""
+    _, offsets, data = column.buffers()
+    if not len(column):
+        return []
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    body, ends = data.to_pybytes() if data is not None else b"", at.tolist()
+    return [body[i:j] for i, j in zip(ends, ends[1:])]
+
+
 def distinct_words(data: np.ndarray, words: Words) -> tuple[np.ndarray, pa.Array]:
     """For each word the number of its bytes among the distinct words, and these in the order they come."""
     found = as_binary(data[~SPACE[data]], words.end - words.start).dictionary_encode()
@@ -178,7 +188,7 @@ def digests(values: list[bytes]) -> np.ndarray:
 def word_keys(data: np.ndarray, words: Words) -> np.ndarray:
     """The digest of each word of a block."""
     which, distinct = distinct_words(data, words)
-    return digests(distinct.to_pylist())[which]
+    return digests(byte_strings(distinct))[which]
 
 
 class WordSums:

@@ -14,7 +14,7 @@ import functools
 
 import numpy as np
 
-from .textbytes import SPACE, as_binary
+from .textbytes import SPACE, as_binary, byte_strings
 
 END_ID = 2
 #: Bytes of a block that is encoded at once.
@@ -104,7 +104,7 @@ class Encoder:
         start, first = chunk_starts(data, offsets)
         end = np.append(start[1:], len(data))
         found = as_binary(data, end - start).dictionary_encode()
-        which, chunks = found.indices.to_numpy(), found.dictionary.to_pylist()
+        which, chunks = found.indices.to_numpy(), byte_strings(found.dictionary)
         number = np.array([self.number.get(x, -1) for x in chunks], dtype=np.int64)
         kept = len(self.lengths)
         new = np.flatnonzero(number < 0)
