@@ -104,7 +104,7 @@ def test_a_text_of_megabytes(spark):
 
 def test_hot_ids_spread_over_ranges(spark):
     rows = spark.range(4000).select(F.lit(5).cast("long").alias("id"), F.concat(F.lit("text "), "id").alias("text")).withColumn("hash", F.xxhash64("text"))
-    found = P.with_next(rows, ["text"]).withColumn("task", F.spark_partition_id())
+    found = P.with_next(rows, rows, ["text"]).withColumn("task", F.spark_partition_id())
     got = {r.text: r.next_text for r in found.collect()}
     at, seen = "text 0", 0
     while seen < 4000:

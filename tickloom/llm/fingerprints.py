@@ -117,15 +117,15 @@ def _bucket(edges: Column, key: Column) -> Column:
     return _let(passed(coarse), lambda c: c * FAN + passed(F.slice(edges, c * FAN + 1, FAN)))
 
 
-def with_next(rows: DataFrame, carried: list[str]) -> DataFrame:
+def with_next(rows: DataFrame, keyed: DataFrame, carried: list[str]) -> DataFrame:
     """Rows with columns id, hash and text, distinct in id and text, and the carried columns of the following row as ``next_...``.
 
-    Rows are dealt to ranges of (id, hash).  The first row of each range is dealt to the range before too, and that of
+    ``keyed`` has the ids and hashes of all rows, again and again if need be.  Rows are dealt to ranges of (id, hash).  The first row of each range is dealt to the range before too, and that of
     the first range to the last one, so every row meets its follower without an order over all rows.  The edges come
     from a bounded sample; every row is in a range.
     """
     count = partitions(rows.sparkSession)
-    keys = written(rows.select(F.struct("id", "hash").alias("key")), "order")
+    keys = written(keyed.select(F.struct("id", "hash").alias("key")), "order")
     sample = keys.orderBy(F.xxhash64("key.id", "key.hash"), "key").limit(SAMPLE * count)
     sorted_keys = F.sort_array(F.collect_list("key"))
     # one edge a range comes to the driver
@@ -152,8 +152,9 @@ def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     that of the seam and what follows.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    keyed = rows.withColumn("hash", F.xxhash64("text"))
     # an id and a text that come again are one row with a count
-    rows = rows.withColumn("hash", F.xxhash64("text")).groupBy("id", "hash", "text").agg(F.count(F.lit(1)).alias("copies"))
+    rows = keyed.groupBy("id", "hash", "text").agg(F.count(F.lit(1)).alias("copies"))
     stays = F.length("text") - F.floor(F.length("text") / 4)
     # windows that begin here or later reach beyond the part that stays
     seam = F.greatest(F.lit(0), stays - K + 1).cast("int")
@@ -162,7 +163,7 @@ def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     parts = _segments(F.col("text"), lambda e: _let(e, lambda e: F.struct(smallest(e).alias("all"), smallest(early(e)).alias("early"))))
     merged = lambda p: F.struct(_closed(smallest(F.flatten(p["all"])), F.col("text")).alias("all"), smallest(F.flatten(p["early"])).alias("early"))
     rows = rows.withColumn("print", _let(parts, merged)).withColumns({"all": F.col("print.all"), "early": F.col("print.early")}).drop("print")
-    rows = with_next(rows, ["text", "all"])
+    rows = with_next(rows, keyed, ["text", "all"])
     one = lambda text, found, times: F.struct(text.alias("text"), found.alias("all"), times.alias("times"))
     following = one(F.col("next_text"), F.col("next_all"), F.lit(1).cast("long"))
     itself = one(F.col("text"), F.col("all"), F.col("copies") - 1)
