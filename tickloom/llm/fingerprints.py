@@ -68,7 +68,13 @@ def anchors(text: Column, base: Column | None = None) -> Column:
 def smallest(entries: Column) -> Column:
     """The ``SIZE`` entries with the smallest keys, each key at its first place."""
     distinct = lambda s: F.filter(s, lambda e, i: (i == 0) | (_key(e) != _key(s[F.greatest(i - 1, F.lit(0))])))
-    return F.slice(_let(F.sort_array(entries), distinct), 1, SIZE)
+
+    def chosen(s: Column) -> Column:
+        # the first few are mostly enough
+        few = _let(F.slice(s, 1, 4 * SIZE), distinct)
+        return _let(few, lambda f: F.when((F.size(f) >= SIZE) | (F.size(s) <= 4 * SIZE), f).otherwise(_let(s, distinct)))
+
+    return F.slice(_let(F.sort_array(entries), chosen), 1, SIZE)
 
 
 def _segments(text: Column, use: Callable[[Column], Column]) -> Column:
@@ -159,9 +165,10 @@ def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     # windows that begin here or later reach beyond the part that stays
     seam = F.greatest(F.lit(0), stays - K + 1).cast("int")
     rows = rows.withColumns({"stays": stays.cast("int"), "seam": seam})
-    early = lambda e: F.filter(e, lambda x: _place(x) < F.col("seam"))
-    parts = _segments(F.col("text"), lambda e: _let(e, lambda e: F.struct(smallest(e).alias("all"), smallest(early(e)).alias("early"))))
-    merged = lambda p: F.struct(_closed(smallest(F.flatten(p["all"])), F.col("text")).alias("all"), smallest(F.flatten(p["early"])).alias("early"))
+    side = lambda e, before: smallest(F.filter(e, lambda x: (_place(x) < F.col("seam")) == before))
+    parts = _segments(F.col("text"), lambda e: _let(e, lambda e: F.struct(side(e, True).alias("early"), side(e, False).alias("late"))))
+    both = lambda p: F.concat(F.flatten(p["early"]), F.flatten(p["late"]))
+    merged = lambda p: F.struct(_closed(smallest(both(p)), F.col("text")).alias("all"), smallest(F.flatten(p["early"])).alias("early"))
     rows = rows.withColumn("print", _let(parts, merged)).withColumns({"all": F.col("print.all"), "early": F.col("print.early")}).drop("print")
     rows = with_next(rows, keyed, ["text", "all"])
     one = lambda text, found, times: F.struct(text.alias("text"), found.alias("all"), times.alias("times"))
