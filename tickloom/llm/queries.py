@@ -87,6 +87,13 @@ def op10_language_model_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .negatives import hard_negatives
+
+    moved = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
 def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fingerprints import edits
 
@@ -109,5 +116,20 @@ SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS B
 FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id LEFT JOIN (SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id) r ON t.doc_id = r.doc_id"""
 
 
+#: All scores of the anchors, positives and windows told by their ranks.
+NEGATIVES_SQL = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS vec_id, a.label = r.label AS same, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM usable a JOIN usable r ON a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id AND len(a.v) = len(r.v)),
+positives AS (SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON p.anchor_id = n.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_substring_dedup": SUBSTRINGS_SQL}
+    return {"op8_substring_dedup": SUBSTRINGS_SQL, "op12_hard_negative_mining": NEGATIVES_SQL}
