@@ -20,7 +20,6 @@ CODER = Encoder(VOCABULARY)
 
 def plain(text):
     t = Tokenizer.from_file(VOCABULARY) if not hasattr(plain, "t") else plain.t
-    t.encode_special_tokens = True
     plain.t = t
     return t.encode(text or "", add_special_tokens=False).ids + [END_ID]
 
@@ -40,6 +39,26 @@ def test_ids_equal_whole_text_ids(texts):
     assert through_blocks(texts, 8) == [plain(t) for t in texts]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "<s>", " ", "a", "\n", "!", "é", " word"]), max_size=9).map("".join), max_size=6))
+def test_special_tokens_inside_texts(texts):
+    assert through_blocks(texts) == [plain(t) for t in texts]
+    ordinary, own = Encoder(VOCABULARY, True), Tokenizer.from_file(VOCABULARY)
+    own.encode_special_tokens = True
+    for _, _, data, at in blocks(pa.array(texts, pa.string())):
+        ids, bounds = ordinary.block(data, at, False)
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_files_and_packing_of_special_tokens(spark, tmp_path):
+    texts = {i: t for i, t in enumerate(["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|><|endoftext|> <s>", "<|endoftext|", "pre<|endoftext|>fix"])}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check_pack(packing.pack(df, VOCABULARY).collect(), texts)
+    tokenfiles.write(df, str(tmp_path / "special"), VOCABULARY)
+    rows = sorted(tokenfiles.digests(spark, str(tmp_path / "special")).collect(), key=lambda r: r.doc_id)
+    assert [r.ids_crc32 for r in rows] == [zlib.crc32(np.array(plain(t), "<u4").tobytes()) for t in texts.values()]
+
+
 @pytest.mark.parametrize("counts", [{}, {1024: 3}, {1: 5000}, {600: 10, 424: 10, 400: 9, 24: 3}, {s: s % 13 for s in range(1, 1025)}])
 def test_plan_places_every_rank_once(counts):
     seen, fill, items = defaultdict(set), defaultdict(int), defaultdict(list)

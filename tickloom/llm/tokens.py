@@ -11,6 +11,7 @@ apart by their bytes, in a block by a dictionary encoding and between blocks in
 from __future__ import annotations
 
 import functools
+import re
 
 import numpy as np
 
@@ -48,22 +49,85 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return start, np.searchsorted(start, offsets)
 
 
-class Encoder:
-    """Encodes blocks of documents; keeps the ids of frequent chunks between blocks."""
+class Chunked:
+    """Encodes blocks of documents by their chunks; keeps the ids of frequent chunks between blocks."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, size: int):
+        self.size = size
+        self.width = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.number: dict[bytes, int] = {}
+        self.ids, self.lengths = np.zeros(0, self.width), np.zeros(0, np.int64)
+
+    def _starts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raise NotImplementedError
+
+    def _chunks(self, raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raise NotImplementedError
+
+    def block(self, data: np.ndarray, offsets: np.ndarray, closed: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all documents of a block, each closed by END_ID (if so), and where each begins (one more at the end)."""
+        start, first = self._starts(data, offsets)
+        end = np.append(start[1:], len(data))
+        found = as_binary(data, end - start).dictionary_encode()
+        which, chunks = found.indices.to_numpy(), byte_strings(found.dictionary)
+        number = np.array([self.number.get(x, -1) for x in chunks], dtype=np.int64)
+        kept = len(self.lengths)
+        new = np.flatnonzero(number < 0)
+        number[new] = kept + np.arange(len(new))
+        # where each distinct chunk is first
+        example = np.zeros(len(chunks), dtype=np.int64)
+        example[which[::-1]] = np.arange(len(which))[::-1]
+        ids, lengths = self._chunks(data.tobytes(), start[example[new]], end[example[new]])
+        # chunk numbers: the kept ones, the new ones, and one for the end of a document
+        flat = np.concatenate([self.ids, ids, np.array([END_ID], dtype=self.width)])
+        sizes = np.concatenate([self.lengths, lengths, [1]])
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        order = np.insert(number[which], first[1:], kept + len(new)) if closed else number[which]
+        result = gather(flat, at, order)
+        bounds = np.concatenate([[0], np.cumsum(sizes[order])])
+        starts = np.append(first[:-1] + np.arange(len(first) - 1), len(order)) if closed else first
+        if kept + len(new) <= KEPT_CHUNKS and len(ids) <= KEPT_CHUNKS:
+            self.number |= {chunks[i]: kept + k for k, i in enumerate(new.tolist()) if len(chunks[i]) <= KEPT_BYTES}
+            self.ids, self.lengths = flat[:-1], sizes[:-1]
+        return result, bounds[starts]
+
+
+class Encoder(Chunked):
+    """A byte-level vocabulary of the tokenizers library."""
+
+    def __init__(self, vocabulary: str, plain_specials: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_specials
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        apart = [x for x in added if not (plain_specials and x.special)]
+        if any(x.lstrip or x.rstrip or x.single_word for x in apart):
+            raise ValueError("added tokens that depend on what stands beside them")
+        longest = sorted((x.content.encode() for x in apart), key=len, reverse=True)
+        self.apart = re.compile(b"|".join(map(re.escape, longest))) if longest else None
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.size = max(vocab.values()) + 1
-        self.width = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        super().__init__(max(vocab.values()) + 1)
         self.byte_length = np.zeros(self.size, dtype=np.int64)
         for token, i in vocab.items():
             self.byte_length[i] = len(token)
-        self.number: dict[bytes, int] = {}
-        self.ids, self.lengths = np.zeros(0, self.width), np.zeros(0, np.int64)
+
+    def _starts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        edges, at = [], 0
+        raw = data.tobytes() if self.apart else b""
+        while self.apart and (found := self.apart.search(raw, at)):
+            a, b = found.span()
+            # a match may not run from one document into the next
+            inside = np.searchsorted(offsets, a, "right") == np.searchsorted(offsets, b, "left")
+            edges += [a, b] if inside else []
+            at = b if inside else a + 1
+        if not edges:
+            return chunk_starts(data, offsets)
+        start, _ = chunk_starts(data, np.union1d(offsets, edges).astype(np.int64))
+        a, b = np.array(edges[::2]), np.array(edges[1::2])
+        last = np.maximum(np.searchsorted(a, start, "right") - 1, 0)
+        start = start[(start <= a[last]) | (start >= b[last])]
+        return start, np.searchsorted(start, offsets)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -99,33 +163,6 @@ class Encoder:
         back[order] = np.arange(len(order))
         return gather(flat, at, back), lengths[back]
 
-    def block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all documents of a block, each closed by END_ID, and where each begins (one more at the end)."""
-        start, first = chunk_starts(data, offsets)
-        end = np.append(start[1:], len(data))
-        found = as_binary(data, end - start).dictionary_encode()
-        which, chunks = found.indices.to_numpy(), byte_strings(found.dictionary)
-        number = np.array([self.number.get(x, -1) for x in chunks], dtype=np.int64)
-        kept = len(self.lengths)
-        new = np.flatnonzero(number < 0)
-        number[new] = kept + np.arange(len(new))
-        # where each distinct chunk is first
-        example = np.zeros(len(chunks), dtype=np.int64)
-        example[which[::-1]] = np.arange(len(which))[::-1]
-        ids, lengths = self._chunks(data.tobytes(), start[example[new]], end[example[new]])
-        # chunk numbers: the kept ones, the new ones, and one for the end of a document
-        flat = np.concatenate([self.ids, ids, np.array([END_ID], dtype=self.width)])
-        sizes = np.concatenate([self.lengths, lengths, [1]])
-        at = np.concatenate([[0], np.cumsum(sizes)])
-        order = np.insert(number[which], first[1:], kept + len(new))
-        result = gather(flat, at, order)
-        bounds = np.concatenate([[0], np.cumsum(sizes[order])])
-        starts = np.append(first[:-1] + np.arange(len(first) - 1), len(order))
-        if kept + len(new) <= KEPT_CHUNKS and len(ids) <= KEPT_CHUNKS:
-            self.number |= {chunks[i]: kept + k for k, i in enumerate(new.tolist()) if len(chunks[i]) <= KEPT_BYTES}
-            self.ids, self.lengths = flat[:-1], sizes[:-1]
-        return result, bounds[starts]
-
 
 def gather(flat: np.ndarray, at: np.ndarray, order: np.ndarray) -> np.ndarray:
     """The runs flat[at[i]:at[i+1]] for each i of ``order``, one after another."""
@@ -139,6 +176,6 @@ def gather(flat: np.ndarray, at: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(vocabulary: str) -> Encoder:
+def encoder(vocabulary: str, plain_specials: bool = False) -> Encoder:
     """The worker's encoder for a vocabulary file."""
-    return Encoder(vocabulary)
+    return Encoder(vocabulary, plain_specials)
