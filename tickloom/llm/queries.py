@@ -87,6 +87,19 @@ def op10_language_model_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def pieces() -> str:
+    """The piece model that the alignment query uses."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .alignment import alignment
+
+    return alignment(table(spark, sf_dir, "documents"), vocabulary(), pieces())
+
+
 def op12_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .negatives import hard_negatives
 
