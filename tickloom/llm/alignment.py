@@ -34,7 +34,7 @@ from .shared import written
 from .textbytes import blocks
 from .tokens import Chunked, Encoder, gather
 
-UNIT_BYTES = 16 << 20
+UNIT_BYTES = 4 << 20
 #: Pairs of one row of a dictionary.
 ENTRIES = 1 << 16
 #: Bits of a pair that the B id takes.
