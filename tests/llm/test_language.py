@@ -5,7 +5,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from tickloom.llm import language
 from tickloom.llm.language import CLASS_WORDS, CLASSES, STATE, Model, learn, score_documents
 
 from .conftest import twins
@@ -130,3 +132,13 @@ def test_clashing_columns_and_repeated_rows(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, words array<int>, unit string, score double")
     got = score_documents(df).collect()
     assert sorted(r.n_tokens for r in got) == [1, 3, 3, 3] and all(math.isfinite(r.score) for r in got)
+
+
+def test_without_training_rows_words_cost_their_symbol(spark):
+    rows = [(i, "foo bar") for i in range(200)]
+    held = spark.createDataFrame(rows, "doc_id long, text string").filter(language.held_out("doc_id"))
+    more = held.withColumn("text", F.concat("text", F.lit(" foo bar")))
+    a, b = language.score_documents(held).first(), language.score_documents(more).first()
+    assert (a.n_tokens, b.n_tokens, a.train_tokens, a.n_known) == (3, 5, 0, 0)
+    # each of the words costs the same share of the symbols
+    assert b.score < a.score < -0.3 and abs((b.score - a.score) / 2 - a.score / 3) < 0.2

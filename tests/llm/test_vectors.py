@@ -70,7 +70,7 @@ def test_low_recall_is_seen_and_mended(spark, monkeypatch):
     seen, audit = [], vectors.audit
     monkeypatch.setattr(vectors, "audit", lambda *a: seen.append(audit(*a)) or seen[-1])
     x = planted(6)
-    table = vectors.written(vectors.nodes(frame(spark, x), "vec_id", "embedding")[1], "nodes")
+    table = vectors.written(vectors.packed(vectors.nodes(frame(spark, x), "vec_id", "embedding")[1]), "nodes")
     empty = spark.createDataFrame([], "node long, links long")
     assert vectors.audit(table, empty) == 0.0
     links, edges = vectors.link(table, vectors.fit(table), 64, True)
@@ -99,3 +99,16 @@ def test_odd_vectors(spark):
     want += [(str(i), 0, str(i), True) for i in (3, 4, 5, 6, 7, 8, 9)]
     assert got == sorted(want)
     assert near_duplicates(df.limit(0)).count() == 0
+
+
+def test_vectors_of_one_hash_stay_apart(spark):
+    """XXH64 of both is the same, their cosine is next to nothing."""
+    rows = [(1, [1.0, 0.0]), (2, [3.5, 5.808188475432675e182])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert df.selectExpr("xxhash64(embedding) AS h").distinct().count() == 1
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in near_duplicates(df).collect()) == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_a_batch_meets_centroids_in_blocks():
+    near = np.random.default_rng(3).standard_normal((50, 40))
+    assert (vectors._nearest(near, 5) == np.argsort(-near, axis=1)[:, :5]).all()

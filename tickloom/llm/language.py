@@ -513,8 +513,8 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             tokens.append(np.diff(first))
             known.append(np.add.reduceat(c[which] > 0, first[:-1], dtype=np.int64))
             base.append(np.add.reduceat(value[which], first[:-1]))
-            # a word outside the model shares its symbol's probability by the unigram counts
-            rest.append(np.add.reduceat(np.where(own == OTHER, value - log_other, 0)[which], first[:-1]))
+            # a word outside the model shares its symbol's probability by the unigram counts, if there are any
+            rest.append(np.add.reduceat(np.where(own == OTHER, (value - log_other) * bool(n), 0)[which], first[:-1]))
             symbols.append(own[which].astype(np.int32))
         size = np.concatenate([np.zeros(0, np.int64), *tokens])
         starts = np.concatenate([[0], np.cumsum(size)])

@@ -66,27 +66,30 @@ NODE = "node long, dim int, copies long, first long, vector binary"
 
 
 def nodes(rows: DataFrame, key: str, vector: str) -> tuple[DataFrame, DataFrame]:
-    """(id, node) of each row, node null where it can't link, and the distinct vectors as NODE rows."""
+    """(id, v) of each row, v null where it can't link, and the distinct vectors as (node, dim, copies, first, v).
+
+    Vectors are one node only if all their components are equal; a node is a number given when they are written.
+    """
     values = F.col(vector).cast("array<double>")
     fits = F.coalesce(F.forall(values, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False))), F.lit(False))
     fits &= F.coalesce(F.exists(values, lambda x: x != 0), F.lit(False)) & F.col(key).isNotNull()
     # -0.0 and 0.0 are one value
     plain = F.when(fits, F.transform(values, lambda x: x + F.lit(0.0)))
     keyed = rows.select(F.col(key).cast("long").alias("id"), plain.alias("v"))
-    keyed = keyed.withColumn("node", F.when(F.col("v").isNotNull(), F.xxhash64("v")))
-    distinct = (
-        keyed.filter("node is not null")
-        .groupBy("node")
-        .agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first"), F.min("v").alias("v"))
-        .select("node", F.size("v").alias("dim"), "copies", "first", "v")
-    )
+    distinct = keyed.filter("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first"))
+    numbered = distinct.select(F.monotonically_increasing_id().alias("node"), F.size("v").alias("dim"), "copies", "first", "v")
+    return keyed, written(numbered, "vectors")
+
+
+def packed(distinct: DataFrame) -> DataFrame:
+    """The distinct vectors as NODE rows."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = [np.array(x, dtype=np.float64).tobytes() for x in batch.column(4).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(raw, pa.binary())], ["node", "dim", "copies", "first", "vector"])
 
-    return keyed.select("id", "node"), distinct.mapInArrow(pack, NODE)
+    return distinct.mapInArrow(pack, NODE)
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -111,8 +114,10 @@ def centroids(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 def fit(found: DataFrame) -> dict[int, np.ndarray]:
     """Centroids for each vector length, from a bounded sample."""
     sizes = {r.dim: r.n for r in found.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
-    k = {d: max(1, min(MOST_SHARDS, -(-n // SHARD_TARGET))) for d, n in sizes.items()}
-    room = {d: max(k[d], min(SAMPLE, SAMPLE_BYTES // (8 * d * len(sizes)), 64 * k[d])) for d in sizes}
+    fits = {d: max(1, SAMPLE_BYTES // (8 * d * len(sizes))) for d in sizes}
+    # beyond the bytes there are fewer centroids, whose shards are cut in parts
+    k = {d: max(1, min(MOST_SHARDS, -(-n // SHARD_TARGET), fits[d])) for d, n in sizes.items()}
+    room = {d: max(k[d], min(SAMPLE, fits[d], 64 * k[d])) for d in sizes}
     # nodes whose hash lies below their length's share: about as many as there is room for, in one pass
     share = F.create_map(*[F.lit(x) for d in sizes for x in (d, min(1.0, room[d] / sizes[d]))]) if sizes else None
     place = F.shiftrightunsigned(F.xxhash64("node", F.lit("sample")), 11) / F.lit(float(1 << 53))
@@ -129,6 +134,12 @@ def fit(found: DataFrame) -> dict[int, np.ndarray]:
     return out
 
 
+def _nearest(near: np.ndarray, p: int) -> np.ndarray:
+    """The columns of the p largest values of each row, largest first."""
+    some = np.argpartition(-near, p - 1, axis=1)[:, :p]
+    return np.take_along_axis(some, np.argsort(-np.take_along_axis(near, some, 1), axis=1, kind="stable"), 1)
+
+
 def route(found: DataFrame, shards: dict[int, np.ndarray], probes: int) -> DataFrame:
     """A row for each node and shard that it visits: (shard, rank, NODE columns), rank 0 being its home."""
     base, total = {}, 0
@@ -141,10 +152,9 @@ def route(found: DataFrame, shards: dict[int, np.ndarray], probes: int) -> DataF
             dims = np.asarray(batch.column(1))
             for dim in np.unique(dims).tolist():
                 part = batch.filter(pa.array(dims == dim))
-                c = shards[dim]
-                near = matrix(part.column(4), dim) @ c.T
+                c, x = shards[dim], matrix(part.column(4), dim)
                 p = min(max(probes, 2), len(c))
-                top = np.argsort(-near, axis=1, kind="stable")[:, :p]
+                top = np.concatenate([_nearest(x[i : i + BATCH] @ c.T, p) for i in range(0, len(x), BATCH)])
                 row = np.repeat(np.arange(len(part)), p)
                 columns = [pa.array((base[dim] + top).ravel().astype(np.int32)), pa.array(np.tile(np.arange(p, dtype=np.int32), len(part)))]
                 yield pa.RecordBatch.from_arrays(columns + part.take(pa.array(row)).columns, ["shard", "rank", *part.schema.names])
@@ -401,7 +411,7 @@ def link(found: DataFrame, shards: dict[int, np.ndarray], probes: int, exact: bo
 def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept, recall) of every row; recall is the audited share, the same in all rows."""
     keyed, distinct = nodes(rows, key, vector)
-    found = written(distinct, "nodes")
+    found = written(packed(distinct), "nodes")
     shards = fit(found)
     most = max([1, *map(len, shards.values())])
     steps = [(PROBES, False)] + [(PROBES << i, True) for i in range(1 + math.ceil(math.log2(max(1, most / PROBES))))]
@@ -420,8 +430,8 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     )
     firsts = written(named.groupBy("group").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n")), "firsts")
     result = spread_join(named, firsts, "group", F.col("node"), named.count())
-    result = written(result.select("node", "n_links", "component_id", F.col("copies").alias("n")), "classes")
-    return spread_join(keyed, result, "node", F.col("id"), keyed.count(), "left").select(
+    result = result.select("node", "n_links", "component_id", F.col("copies").alias("n")).join(distinct.select("node", "v"), "node").drop("node")
+    return spread_join(keyed, written(result, "classes"), "v", F.col("id"), keyed.count(), "left").select(
         F.col("id").alias("vec_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "id").alias("component_id"),
