@@ -40,6 +40,34 @@ def timeline(snapshots: DataFrame, books: DataFrame, trades: DataFrame) -> DataF
     return out
 
 
+def trailing_sums(is_trade: Column, volume: Column, side: Column, sizes: dict[str, int]) -> dict[str, Column]:
+    """Counts and sums of the trades in (t - w, t] for each window w.
+
+    A sum is null where no trade there has a volume, and NaN where one there has a volume that is not finite.
+    """
+    by_time = Window.partitionBy(*KEYS).orderBy("event_us")
+    finite = F.when(F.abs(volume) < float("inf"), volume)
+    counted = {"trades": is_trade, "known": volume.isNotNull(), "odd": volume.isNotNull() & finite.isNull(), "sideless": is_trade & side.isNull()}
+    added = {"volume": finite, "signed": X.signed_volume(side, finite)}
+
+    def until(upper: int) -> dict[str, Column]:
+        w = by_time.rangeBetween(Window.unboundedPreceding, upper)
+        return {k: F.count(F.when(c, 1)).over(w) for k, c in counted.items()} | {k: F.coalesce(F.sum(c).over(w), F.lit(0.0)) for k, c in added.items()}
+
+    now, out = until(0), {}
+    for name, size in sizes.items():
+        then = until(-size)
+        within = {k: now[k] - then[k] for k in now}
+        total = lambda k: F.when(within["odd"] > 0, F.lit(float("nan"))).when(within["known"] > 0, within[k])  # noqa: B023, E731
+        out |= {
+            f"trade_count_{name}": within["trades"],
+            f"volume_sum_{name}": total("volume"),
+            f"signed_volume_{name}": total("signed"),
+            f"null_side_count_{name}": within["sideless"],
+        }
+    return out
+
+
 def align(snapshots: DataFrame, books: DataFrame, trades: DataFrame, windows: Windows = Windows()) -> DataFrame:
     """One row for each snapshot: frame_no, as-of book and trade, running and trailing trade sums, ages."""
     line = timeline(snapshots, books, trades)
@@ -54,15 +82,7 @@ def align(snapshots: DataFrame, books: DataFrame, trades: DataFrame, windows: Wi
         "run_volume": F.sum(volume).over(to_date),
         "run_value": F.sum(price * volume).over(to_date),
     }
-    by_time = Window.partitionBy(*KEYS).orderBy("event_us")
-    for name, size in windows.trailing.items():
-        w = by_time.rangeBetween(-size + 1, 0)
-        columns |= {
-            f"trade_count_{name}": F.count(F.when(is_trade, 1)).over(w),
-            f"volume_sum_{name}": F.sum(volume).over(w),
-            f"signed_volume_{name}": F.sum(X.signed_volume(side, volume)).over(w),
-            f"null_side_count_{name}": F.count(F.when(is_trade & side.isNull(), 1)).over(w),
-        }
+    columns |= trailing_sums(is_trade, volume, side, windows.trailing)
     frames = line.select(*KEYS, "event_us", "ingested_us", "seq", "kind", "snap", *[c.alias(n) for n, c in columns.items()]).filter(F.col("kind") == FRAME)
     return frames.select(
         "*",
@@ -100,18 +120,21 @@ def lagged_prices(frames: DataFrame, price: str, windows: Windows = Windows(), o
 def realized_volatility(frames: DataFrame, price: str, windows: Windows = Windows()) -> DataFrame:
     """Root of summed squared frame returns in (t - w, t], without the return into the first frame there.
 
-    A running sum of squared returns is taken at the frame and at the first frame of its window, which is the least
-    frame_no of the time range; their difference needs no join.
+    A running sum of squared returns is taken at the frame and at the first frame of its window.  That is the frame
+    after the last one at or before t - w, so each frame carries the sum at its follower; no frame slides.
     """
     rows = Window.partitionBy(*KEYS).orderBy("frame_no")
     to_date = rows.rowsBetween(Window.unboundedPreceding, 0)
     by_time = Window.partitionBy(*KEYS).orderBy("event_us")
     base = frames.withColumn("frame_return", X.simple_return(F.col(price), F.lag(price).over(rows)))
     base = base.withColumns({"__sq": F.coalesce(F.sum(F.col("frame_return") ** 2).over(to_date), F.lit(0.0)), "__n": F.count("frame_return").over(to_date)})
-    first = {f"__first_{n}": F.min(F.struct("frame_no", "__sq", "__n")).over(by_time.rangeBetween(-size + 1, 0)) for n, size in windows.volatility.items()}
-    base = base.withColumns(first)
+    base = base.withColumns({"__sq_next": F.lead("__sq").over(rows), "__n_next": F.lead("__n").over(rows)})
+    last = F.struct("frame_no", "__sq_next", "__n_next")
+    before = {f"__before_{n}": F.max(last).over(by_time.rangeBetween(Window.unboundedPreceding, -size)) for n, size in windows.volatility.items()}
+    base = base.withColumns(before)
     out = {}
     for name in windows.volatility:
-        at = F.col(f"__first_{name}")
-        out[f"rv_{name}"] = F.when(F.col("__n") > at["__n"], F.sqrt(F.greatest(F.col("__sq") - at["__sq"], F.lit(0.0))))
-    return base.withColumns(out).drop("__sq", "__n", *first)
+        # without a frame before the window it begins at the day's first frame, whose sum is 0
+        sq, n = (F.coalesce(F.col(f"__before_{name}")[f"{c}_next"], F.lit(0)) for c in ("__sq", "__n"))
+        out[f"rv_{name}"] = F.when(F.col("__n") > n, F.sqrt(F.greatest(F.col("__sq") - sq, F.lit(0.0))))
+    return base.withColumns(out).drop("__sq", "__n", "__sq_next", "__n_next", *before)
