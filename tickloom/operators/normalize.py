@@ -79,20 +79,26 @@ def number_records(df: DataFrame, position: list[str]) -> DataFrame:
     return df.withColumn("seq", F.row_number().over(w).cast("long"))
 
 
+def _dated(records: DataFrame) -> DataFrame:
+    """Records with a day; where broken records are kept, these too."""
+    return records.filter("trading_date is not null" + (" or broken_record is not null" if "broken_record" in records.columns else ""))
+
+
 def normalize_snapshots(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     fields = ["last_price", "last_volume", "deal_volume", "deal_value", "active_buy_volume", "active_sell_volume", "total_buy_sale_volume"]
-    return raw.select(*_base(raw, "snapshot"), *[X.to_float(_have(raw, c)).alias(c) for c in fields], *keep).filter("trading_date is not null")
+    return _dated(raw.select(*_base(raw, "snapshot"), *[X.to_float(_have(raw, c)).alias(c) for c in fields], *keep))
 
 
 def normalize_books(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    return raw.select(
+    out = raw.select(
         *_base(raw, "book"),
         X.to_float(_have(raw, "total_bid_volume")).alias("reported_total_bid_volume"),
         X.to_float(_have(raw, "total_ask_volume")).alias("reported_total_ask_volume"),
         X.levels(F.col("bid_levels")).alias("bid_levels"),
         X.levels(F.col("ask_levels")).alias("ask_levels"),
         *keep,
-    ).filter("trading_date is not null")
+    )
+    return _dated(out)
 
 
 def normalize_trades(raw: DataFrame, keep: tuple[str, ...] = (), distinct_ids: bool = False, position: tuple[str, ...] = ()) -> DataFrame:
@@ -105,7 +111,8 @@ def normalize_trades(raw: DataFrame, keep: tuple[str, ...] = (), distinct_ids: b
         X.to_float(_have(raw, "volume")).alias("volume"),
         X.clean_side(_have(raw, "side")).alias("side"),
         *keep,
-    ).filter("trading_date is not null")
+    )
+    out = _dated(out)
     if not distinct_ids:
         return out
     w = Window.partitionBy("symbol", "trading_date", "trade_id").orderBy("event_us", "ingested_us", *position)

@@ -11,6 +11,7 @@ from ..functions import exprs as X
 from ..operators import deep_book, intake, normalize, rules
 from ..params import KEYS, Memory, Windows
 from ..sources import readers
+from ..staging import bucketed, written
 from . import pipeline
 
 #: The folders of the feed.
@@ -50,15 +51,25 @@ def _ticks(records: DataFrame) -> DataFrame:
     return numbered.drop(*PLACE, "event_ts", "event_ts_local", "ingested_ts", "ingested_tz_source")
 
 
-def build(raw: dict[str, DataFrame], broken: DataFrame, windows: Windows = Windows(), memory: Memory = Memory(), include_historical_only: bool = False) -> Layer2:
-    """Normalizes, quarantines days with books or trades without a time, validates, aligns and remembers levels."""
-    place = tuple(PLACE)
-    found = {
-        "snapshots": normalize.normalize_snapshots(raw["snapshots"], keep=place),
-        "books": normalize.normalize_books(raw["books"], keep=place),
-        "trades": normalize.normalize_trades(raw["trades"], keep=place),
-    }
-    days = normalize.normalize_daily(raw["daily"])
+def stage(spark: SparkSession, root: str, symbols: str | None = None) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
+    """(daily bars, normalized ticks of each kind, broken lines), each group of the feed read and parsed once.
+
+    Ticks lie in tables bucketed by symbol and day and sorted by time, for the steps that follow.
+    """
+    kinds = {"snapshots": normalize.normalize_snapshots, "books": normalize.normalize_books, "trades": normalize.normalize_trades}
+    read = lambda name: readers.read_lines(spark, root, GROUPS[name], symbols, broken=True)
+    raw_days = written(read("daily"), "daily-bars")
+    days, broken = readers.split_broken(raw_days)
+    found = {}
+    for name, normalized in kinds.items():
+        ticks = bucketed(normalized(read(name), keep=(*PLACE, "broken_record")), name, ("event_us",))
+        found[name], bad = readers.split_broken(ticks)
+        broken = broken.unionByName(bad)
+    return normalize.normalize_daily(days), found, broken
+
+
+def build(days: DataFrame, found: dict[str, DataFrame], broken: DataFrame, windows: Windows = Windows(), memory: Memory = Memory(), include_historical_only: bool = False) -> Layer2:
+    """From staged tables (see stage): quarantines days with books or trades without a time, validates, aligns and remembers levels."""
     # a book or trade whose time can't be read fails its whole day
     marked = [found[n].select(*KEYS, F.col("event_ts_local").isNull().alias("bad")) for n in ("books", "trades")]
     _, failed = intake.quarantine(marked[0].unionByName(marked[1]), F.col("bad"))
@@ -73,4 +84,4 @@ def build(raw: dict[str, DataFrame], broken: DataFrame, windows: Windows = Windo
 
 
 def run(spark: SparkSession, root: str, symbols: str | None = None, windows: Windows = Windows(), memory: Memory = Memory(), include_historical_only: bool = False) -> Layer2:
-    return build(*read_raw(spark, root, symbols), windows, memory, include_historical_only)
+    return build(*stage(spark, root, symbols), windows, memory, include_historical_only)

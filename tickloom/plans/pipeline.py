@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import align, daily, deep_book, features
 from ..params import KEYS, Memory, Windows
-from ..staging import written
+from ..staging import bucketed
 
 STATE = (
     "event_us last_trade_price last_trade_volume last_trade_side cum_volume cum_trade_value trade_count_intraday best_bid best_ask best_bid_size best_ask_size "
@@ -30,11 +30,12 @@ SCORES = (
 def frames_with_memory(
     snapshots: DataFrame, books: DataFrame, trades: DataFrame, windows: Windows = Windows(), memory: Memory = Memory(), validation: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Frames and the remembered levels of each.  The frames are read by several steps and so written once.
+    """Frames and the remembered levels of each.  The frames are read by several steps and so written once, in buckets
+    of symbol and day that no step has to shuffle again.
 
     ``validation`` (see rules.validation_status) gives the degraded flags that lower the levels' confidence.
     """
-    frames = written(align.align(snapshots, books, trades, windows), "frames")
+    frames = bucketed(align.align(snapshots, books, trades, windows), "frames", ("frame_no",))
     levels = deep_book.deep_book(frames, align.assign_forward(snapshots, trades), memory, validation)
     return frames, levels
 

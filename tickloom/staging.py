@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .params import KEYS
+
 
 @functools.cache
 def _local_folder() -> str:
@@ -28,6 +30,21 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def bucketed(df: DataFrame, name: str, order: tuple[str, ...] = (), keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """The same rows from a table in the shared folder that is bucketed by ``keys`` and sorted by ``order`` in each bucket.
+
+    Windows, groupings and joins by these keys then read it without an exchange.  There are as many buckets as shuffle
+    partitions, so that they meet the results of exchanges as they are.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    table = re.sub(r"\W", "_", path.rpartition("/")[2])
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.repartition(count, *keys).write.format("parquet").bucketBy(count, *keys).sortBy(*keys, *order)
+    writer.option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows from a table written to the shared folder: lineage ends here, and lost executors lose nothing."""
     path = shared_path(df.sparkSession, name)
