@@ -74,6 +74,7 @@ def sm07_memory_book_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = align.timeline(B.snapshots(spark, sf_dir), B.books(spark, sf_dir), B.trades(spark, sf_dir))
     source, out, state = (shared_path(spark, f"stream-{x}") for x in ("in", "out", "state"))
     line.repartition(1 + spark.sparkContext.defaultParallelism, *KEYS).write.parquet(source)
+    memory_book.use_rocksdb(spark)
     stream = memory_book.memory_book(spark.readStream.schema(line.schema).parquet(source), B.MEMORY)
     query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
     query.awaitTermination()
