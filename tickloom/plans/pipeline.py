@@ -43,7 +43,11 @@ def frames_with_memory(
 def market_state(
     snapshots: DataFrame, books: DataFrame, trades: DataFrame, days: DataFrame, windows: Windows = Windows(), memory: Memory = Memory(), validation: DataFrame | None = None
 ) -> DataFrame:
-    frames, levels = frames_with_memory(snapshots, books, trades, windows, memory, validation)
+    return state_of(*frames_with_memory(snapshots, books, trades, windows, memory, validation), days, memory)
+
+
+def state_of(frames: DataFrame, levels: DataFrame, days: DataFrame, memory: Memory = Memory()) -> DataFrame:
+    """The market state of aligned frames and their remembered levels."""
     # the local time of a frame travels in its snapshot
     frames = frames.withColumn("local_us", F.col("snap.local_us")) if "local_us" in frames.schema["snap"].dataType.names else frames
     return features.market_state(frames, deep_book.depth_extension(frames, levels, scale=memory.price_scale), days)
@@ -63,8 +67,22 @@ def feature_frames(
     validation: DataFrame | None = None,
 ) -> DataFrame:
     """Every frame with all its columns; with ``validation`` its status and degraded flags lower the quality."""
-    short, long, *_ = names
     state = market_state(snapshots, books, trades, days, windows, memory, validation)
+    return features_of(state, days, bars, windows, names, windows_ms, include_current_bar, validation)
+
+
+def features_of(
+    state: DataFrame,
+    days: DataFrame,
+    bars: DataFrame,
+    windows: Windows,
+    names: tuple[str, str, str, str],
+    windows_ms: tuple[int, int],
+    include_current_bar: bool = False,
+    validation: DataFrame | None = None,
+) -> DataFrame:
+    """Features, hybrids and quality on top of the market state."""
+    short, long, *_ = names
     base = features.base_features(state, windows, short, long, windows_ms[0] / 1000)
     technicals = daily.as_of_days(days.select(*KEYS), bars, include_current_bar)
     store = features.feature_store(base, technicals, days, short=short)

@@ -12,10 +12,10 @@ from ..operators import align, deep_book, features, normalize, rules
 from ..operators.normalize import DAILY_FIELDS
 from ..params import KEYS
 from ..sources import decode, readers, sinks
-from ..staging import shared_path
-from ..streaming import incremental
+from ..staging import shared_path, written
+from ..streaming import incremental, manifests
 from . import bindings as B
-from . import layer2, pipeline
+from . import layer2, layer3, pipeline
 from . import oracle as O
 from .queries import _MEMORY, FRAME, NAMES, RULES, WINDOWS_MS
 
@@ -355,6 +355,65 @@ def sm01_sm04_sm08_recompute_stream(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+_CHANGED = "(symbol = 'S1' OR (symbol = 'S3' AND trading_date < DATE '2024-01-08'))"
+_GONE = "(symbol = 'S2' AND trading_date < DATE '2024-01-05')"
+
+
+@query(
+    O.sql(
+        {"ev": O.MARKET["ev"]} | {"d": f"SELECT symbol, trading_date, {_CHANGED} AS changed, {_GONE} AS gone, count(*) AS n, sum(k) AS total FROM ev GROUP BY ALL"},
+        f"""SELECT symbol, {_DAY}, n, CASE WHEN changed THEN total + n ELSE total END AS total, '1:' || (SELECT count(*) FROM d) || ',' || (SELECT count(*) FROM d) || ',0 2:'
+        || (SELECT count(*) FILTER (changed OR gone) || ',' || count(*) FILTER (changed AND NOT gone) || ',' || count(*) FILTER (gone) FROM d) || ' 2:'
+        || (SELECT count(*) FILTER (changed OR gone) || ',' || count(*) FILTER (changed AND NOT gone) || ',' || count(*) FILTER (gone) FROM d) || ' 3:0,0,0' AS runs FROM d WHERE NOT gone""",
+    )
+)
+def sm02_sm03_sm08_kept_manifest(spark, sf_dir):
+    """A table of which days change and go between runs, the second one repeated: totals by day, and dirty, built, removed."""
+    source, out, kept = (shared_path(spark, f"kept-{x}") for x in ("in", "out", "manifest"))
+    e = B.events(spark, sf_dir).select(*KEYS, "seq", "k")
+    build = lambda records: records.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("total"))
+    runs = []
+
+    def run(batch: int) -> None:
+        now, records = manifests.of_tables(spark, [source]), readers.read_days(spark, source)
+        found = manifests.run_batch(manifests.Kept(spark, kept), batch, now, records, build, lambda df: sinks.replace_days(df, out), lambda gone: sinks.remove_days(spark, out, gone))
+        runs.append(f"{batch}:{found.dirty},{found.built},{found.removed}")
+
+    sinks.replace_days(e, source)
+    run(1)
+    sinks.replace_days(e.filter(_CHANGED).withColumn("k", F.col("k") + 1), source)
+    sinks.remove_days(spark, source, e.filter(_GONE))
+    for batch in (2, 2, 3):
+        run(batch)
+    return readers.read_days(spark, out).withColumn("runs", F.lit(" ".join(runs)))
+
+
+_PACKED = ["mid_price", "cum_volume", "vwap_intraday", "rv_6h", "price_to_ma20", "feature_confidence", "data_quality_score"]
+
+
+@query(O.sql(O.ALL, "SELECT " + O.columns(_PACKED, FRAME, places=9) + f" FROM quality WHERE NOT {_GONE}"), places=9)
+def l3_run_from_stored_tables(spark, sf_dir):
+    """Packages after two runs over stored layer-2 tables: in between days changed, went, and lost a frame.
+
+    Days of S1 are stored in part first; some of S2 go; days of S3 lose a deep frame and keep the packages that they have.
+    """
+    source, out, kept = (shared_path(spark, f"layer3-{x}") for x in ("in", "out", "manifest"))
+    frames, levels = pipeline.frames_with_memory(*_market(spark, sf_dir), B.WINDOWS, B.MEMORY)
+    plan = layer3.Layer3(B.daily(spark, sf_dir), B.event_bars(spark, sf_dir), B.WINDOWS, B.MEMORY, NAMES, WINDOWS_MS)
+    early = "symbol <> 'S1' OR frame_no <= 1"
+    layer3.store(frames.filter(early), levels.filter(early), source)
+    plan.run(spark, source, out, kept, 1)
+    layer3.store(frames.filter("symbol = 'S1'"), levels.filter("symbol = 'S1'"), source)
+    for table in (layer3.FRAMES, layer3.DEEP):
+        sinks.remove_days(spark, f"{source}/{table}", frames.filter(_GONE))
+    deep = written(readers.read_days(spark, f"{source}/{layer3.DEEP}").filter("symbol = 'S3' AND frame_no <> 1"), "lost")
+    sinks.replace_days(deep, f"{source}/{layer3.DEEP}")
+    plan.run(spark, source, out, kept, 2)
+    packed = readers.read_days(spark, out)
+    places = {c: f.name for f in packed.schema if f.name not in (*FRAME,) for c in f.dataType.names}
+    return packed.select(*FRAME, *[F.col(places[c])[c].alias(c) for c in _PACKED])
+
+
 @query(O.sql({"ev": O.MARKET["ev"]}, f"SELECT symbol, {_DAY}, seq, CASE WHEN trading_date < DATE '2024-01-05' THEN k + 1 ELSE k END AS k FROM ev"))
 def snk02_replace_days(spark, sf_dir):
     """All days written, then some replaced: the others stay."""

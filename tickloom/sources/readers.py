@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import exprs as X
 from ..operators.intake import only_symbols
 from ..operators.normalize import DAILY_FIELDS
+from ..params import KEYS
 from .json_text import lenient_json
 
 _LEVELS = "array<struct<price: string, volume: string>>"
@@ -115,6 +117,13 @@ def read_objects(spark: SparkSession, paths: list[str], schema: str) -> DataFram
     return text.select(record.alias("r"), "path").select("r.*", "path")
 
 
+def read_days(spark: SparkSession, path: str) -> DataFrame:
+    """A table partitioned by symbol and day, the symbol as text whatever it looks like."""
+    fields = [f for f in spark.read.parquet(path).schema if f.name not in KEYS]
+    schema = T.StructType([*fields, T.StructField("symbol", T.StringType()), T.StructField("trading_date", T.DateType())])
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_universe(spark: SparkSession, path: str) -> DataFrame:
     """share_code and ipo_date from lines ``code,date``; # starts a comment."""
     raw = spark.read.option("comment", "#").schema("share_code string, ipo_date string").csv(path)

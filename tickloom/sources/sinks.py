@@ -8,12 +8,13 @@ from concurrent.futures import ThreadPoolExecutor
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import exprs as X
-from ..params import KEYS
+from ..params import KEYS, LOCAL_SHIFT_HOURS
 
 
 def replace_days(df: DataFrame, path: str) -> None:
@@ -27,19 +28,60 @@ def _delete(uri: str) -> None:
         store.delete_dir(path)
 
 
+def listed(spark: SparkSession, path: str) -> DataFrame:
+    """The files of a table partitioned by symbol and day: path, keys, size and mtime, by listing, without reading a row."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, symbol string, trading_date date, size long, mtime timestamp")
+    # names of folders are escaped, and the listing escapes them once more
+    plain = lambda c: F.url_decode(F.url_decode(F.regexp_replace(c, r"\+", "%252B")))
+    value = lambda c: F.nullif(plain(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    return files.select("path", value("symbol").alias("symbol"), value("trading_date").cast("date").alias("trading_date"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
+
+
 def remove_days(spark: SparkSession, path: str, gone: DataFrame) -> None:
-    """Deletes the partitions of days whose input vanished: their folders, one for each day, are found by Spark."""
-    files = spark.read.parquet(path).select(*[F.col(c).cast("string") for c in KEYS], "_metadata.file_path")
-    days = gone.select(*[F.col(c).cast("string") for c in KEYS]).distinct()
-    folders = files.join(days, list(KEYS), "left_semi").select(F.regexp_extract("file_path", r"^(.*)/[^/]+$", 1).alias("f")).distinct()
+    """Deletes the partitions of days whose input vanished; their folders are found by listing."""
+    days = gone.select(*KEYS).distinct()
+    folders = listed(spark, path).join(days, list(KEYS), "left_semi").select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("f")).distinct()
     with ThreadPoolExecutor(16) as pool:
         list(pool.map(_delete, (r.f for r in folders.toLocalIterator())))
 
 
+def stamped(records: DataFrame, command: Column | str) -> DataFrame:
+    """Records headed by the time of arrival, their command and the symbol, with the folders of the feed's layout."""
+    name = F.lit(command) if isinstance(command, str) else command
+    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()) + F.expr(f"INTERVAL {LOCAL_SHIFT_HOURS} HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    headed = records.withColumns({"ts": now, "command": name})
+    rest = [c for c in records.columns if c not in ("ts", "command", "symbol")]
+    folders = [F.lower(F.col("command")).alias("group"), F.substring("ts", 1, 4).alias("year"), F.substring("ts", 1, 10).alias("date")]
+    return headed.select("ts", "command", X.clean_symbol(F.col("symbol")).alias("symbol"), *rest, *folders)
+
+
+def append_commands(records: DataFrame, root: str, checkpoint: str, command: Column | str = "Records", seconds: int | None = 5) -> StreamingQuery:
+    """Appends decoded records of any command as lines to root/SYMBOL/command/year/date-batch-part.json.
+
+    The place is that which the feed's readers look for.  A batch writes under names of its own, so a batch that is repeated
+    writes the same files again.
+    """
+
+    def batch(rows: DataFrame, number: int) -> None:
+        lines = stamped(rows, command)
+        named = F.concat_ws("/", "symbol", "group", "year", F.concat("date", F.lit(f"-{number:09d}.json")))
+        body = F.to_json(F.struct(*[c for c in lines.columns if c not in ("group", "year", "date")]))
+        parts = lines.select(named.alias("path"), body.alias("value")).groupBy("path").agg(F.array_join(F.array_sort(F.collect_list("value")), "\n").alias("value"))
+        write_bundles(parts, root).write.format("noop").mode("overwrite").save()
+
+    writer = records.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)).start()
+
+
 def append_stream(records: DataFrame, path: str, checkpoint: str, seconds: int | None = 5) -> StreamingQuery:
     """Appends decoded records by symbol, year and wall-clock day; without ``seconds`` it ends when all input is read."""
-    stamped = records.withColumn("ts", F.current_timestamp()).withColumns({"year": F.year("ts"), "date": F.to_date("ts")})
-    writer = stamped.writeStream.format("json").partitionBy("symbol", "year", "date").option("path", path).option("checkpointLocation", checkpoint)
+    dated = records.withColumn("ts", F.current_timestamp()).withColumns({"year": F.year("ts"), "date": F.to_date("ts")})
+    writer = dated.writeStream.format("json").partitionBy("symbol", "year", "date").option("path", path).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)).start()
 
 
