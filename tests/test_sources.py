@@ -45,7 +45,7 @@ def feed(tmp_path):
 
 
 def test_lines_by_group_and_folder(spark, feed):
-    rows = readers.read_lines(spark, feed, "updatetrades").select("symbol", "file_date", "trade_id", "price", "volume").collect()
+    rows = readers.read_lines(spark, feed, "updatetrades", broken=False).select("symbol", "file_date", "trade_id", "price", "volume").collect()
     assert sorted(map(tuple, rows)) == [("AAA", "2024-01-02", "7", "10.5", "bad"), ("AAA", "2024-01-02", "8", "10.5", "bad"), ("BBB", "2024-01-03", "9", "10.5", "bad")]
     assert {r.symbol for r in readers.read_lines(spark, feed, "updatetrades", " bbb,").collect()} == {"BBB"}
 
@@ -55,10 +55,33 @@ def test_lenient_files_of_every_shape(spark, tmp_path):
     shapes = {"one": json.dumps(a), "array": json.dumps([a, 5, b]), "mark": "\ufeff" + json.dumps(a, indent=2) + json.dumps(b, indent=2), "empty": "", "cut": json.dumps(a) + '{"trade_id": "2'}
     for name, text in shapes.items():
         put(tmp_path / name / "updatetrades" / "2024-01-02.json", text)
-    rows = readers.read_lenient(spark, str(tmp_path), "updatetrades").select("symbol", "pos", "trade_id").collect()
+    rows = readers.read_lenient(spark, str(tmp_path), "updatetrades", broken=False).select("symbol", "pos", "trade_id").collect()
     assert sorted(map(tuple, rows)) == [("ARRAY", 0, "1"), ("ARRAY", 1, "2"), ("CUT", 0, "1"), ("MARK", 0, "1"), ("MARK", 1, "2"), ("ONE", 0, "1")]
 
 
+def test_broken_stretches_go_to_quarantine_and_reading_goes_on(spark, tmp_path):
+    text = '{"trade_id": "1"}\n{"trade_id": broken}\n{"trade_id": "2"}\n  {"trade_id": "3"}\n[{"trade_id": "4"}, oops\n[{"trade_id": "5"}]\n{"trade_id": "6'
+    put(tmp_path / "AAA" / "updatetrades" / "2024-01-02.json", text)
+    good, bad = readers.split_broken(readers.read_lenient(spark, str(tmp_path), "updatetrades"))
+    assert sorted((r.pos, r.trade_id) for r in good.collect()) == [(0, "1"), (1, "2"), (2, "3"), (3, "5")]
+    found = bad.collect()
+    assert sorted(r.broken_record for r in found) == ['[{"trade_id": "4"}, oops', '{"trade_id": "6', '{"trade_id": broken}']
+    assert {r.symbol for r in found} == {"AAA"} and all(r.path.endswith("2024-01-02.json") for r in found)
+    assert readers.read_lenient(spark, str(tmp_path), "updatetrades", "none").count() == 0
+
+
+def test_symbols_with_and_without_folders_in_one_read(spark, feed):
+    rows = readers.read_lines(spark, feed, "updatetrades", "aaa,zzz,bbb,ccc", broken=False)
+    assert sorted(r.symbol for r in rows.collect()) == ["AAA", "AAA", "BBB"]
+    plan = readers.read_lines(spark, feed, "updatetrades", "aaa,bbb")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+
+
+def test_universe_as_json(spark, tmp_path):
+    put(tmp_path / "array.json", json.dumps([{"share_code": " aaa", "ipo_date": "2024-01-20"}, {"share_code": "BBB", "ipo_date": "soon"}, {"share_code": "", "ipo_date": "2024-01-01"}], indent=1))
+    assert sorted(map(tuple, readers.read_universe(spark, str(tmp_path / "array.json")).collect())) == [("AAA", dt.date(2024, 1, 20)), ("BBB", None)]
+
+
 def test_universe_and_its_months(spark, tmp_path):
     put(tmp_path / "universe.csv", "# code,date\n aaa,2024-01-20\nBBB,2024-03-05T00:00:00\nCCC,soon\n")
     universe = readers.read_universe(spark, str(tmp_path / "universe.csv"))
@@ -194,3 +217,26 @@ def test_a_failing_day_leaves_the_others(spark, tmp_path):
     run = incremental.run_once(rows, rows.filter("symbol <> 'C'"), build, lambda df: sinks.replace_days(df, out), lambda d: gone.append(d.count()))
     assert run.counts() == {"dirty": 6, "built": 3, "removed": 2, "failed": 1} and gone == [2]
     assert [e[:2] for e in run.errors] == [("B", str(DAY2))] and {(r[0], r[1]) for r in read(spark, out)} == {("A", DAY1), ("A", DAY2), ("B", DAY1)}
+
+
+def test_layer_2_reads_each_group_of_the_feed_once(spark, feed, monkeypatch):
+    from tickloom.plans import layer2
+
+    read, seen = readers.read_lines, []
+    monkeypatch.setattr(readers, "read_lines", lambda *a, **b: seen.append(a[2]) or read(*a, **b))
+    found = layer2.run(spark, feed)
+    assert sorted(seen) == sorted(layer2.GROUPS.values())
+    for df in (found.levels, found.validation, found.daily, found.broken, found.failed):
+        assert "Scan text" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [r.broken_record for r in found.broken.collect()] == ["{broken"]
+
+
+def test_buckets_spare_the_exchange(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql.window import Window
+
+    from tickloom.staging import bucketed
+
+    rows = spark.range(100).select(F.concat(F.lit("S"), (F.col("id") % 7).cast("string")).alias("symbol"), F.to_date(F.lit("2024-01-02")).alias("trading_date"), "id")
+    df = bucketed(rows, "rows", ("id",)).withColumn("n", F.row_number().over(Window.partitionBy("symbol", "trading_date").orderBy("id")))
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString() and df.filter("n = 1").count() == 7

@@ -10,16 +10,21 @@ LOCAL_SHIFT_HOURS = 7
 KEYS = ("symbol", "trading_date")
 
 
+def clock(hours: int, minutes: int = 0) -> int:
+    """A time of day in microseconds."""
+    return hours * HOUR + minutes * 60 * SECOND
+
+
 @dataclass(frozen=True)
 class Session:
-    """Times of day in microseconds, local."""
-
-    morning: tuple[int, int] = (9 * HOUR, 11 * HOUR + HOUR // 2)
-    afternoon: tuple[int, int] = (13 * HOUR, 14 * HOUR + 3 * HOUR // 4)
-    opening_auction: tuple[int, int] = (9 * HOUR, 9 * HOUR + HOUR // 12)
-    closing_auction: tuple[int, int] = (14 * HOUR + 2 * HOUR // 3, 14 * HOUR + 3 * HOUR // 4)
-    near_close: tuple[int, int] = (14 * HOUR + HOUR // 2, 14 * HOUR + 3 * HOUR // 4)
-    close: int = 14 * HOUR + 3 * HOUR // 4
+    """Times of day in microseconds, local."""
+
+    morning: tuple[int, int] = (clock(9), clock(11, 30))
+    afternoon: tuple[int, int] = (clock(13), clock(14, 45))
+    opening_auction: tuple[int, int] = (clock(9), clock(9, 5))
+    closing_auction: tuple[int, int] = (clock(14, 40), clock(14, 45))
+    near_close: tuple[int, int] = (clock(14, 30), clock(14, 45))
+    close: int = clock(14, 45)
     coverage_gap_seconds: int = 120
 
 
@@ -34,7 +39,7 @@ class Windows:
 
 @dataclass(frozen=True)
 class Memory:
-    """Deep-book memory."""
+    """Thresholds of the deep-book memory."""
 
     expiry_ms: int = 300_000
     carry_ms: int = 15_000
@@ -46,6 +51,8 @@ class Memory:
 
 @dataclass(frozen=True)
 class Tolerances:
+    """Tolerances of the validation rules."""
+
     volume: float = 1.0
     average_price: float = 0.01
     close: float = 0.001

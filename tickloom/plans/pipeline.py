@@ -12,19 +12,25 @@ from ..operators import align, daily, deep_book, features
 from ..params import KEYS, Memory, Windows
 from ..staging import bucketed
 
-STATE = (
-    "event_us last_trade_price last_trade_volume last_trade_side cum_volume cum_trade_value trade_count_intraday best_bid best_ask best_bid_size best_ask_size "
-    "bid_depth_l1 ask_depth_l1 bid_depth_l3 ask_depth_l3 bid_depth_l5 ask_depth_l5 mid_price spread spread_bps day_open current_price day_high_so_far "
-    "day_low_so_far vwap_intraday intraday_return_from_open intraday_pos_in_range book_age_ms tick_age_ms used_reconstructed_depth_l5 missing_depth_level_count"
-).split()
-HYBRIDS = (
-    "price_to_ma20 price_to_ma200 gap_pct relative_volume_day distance_to_day_high distance_to_day_low foreign_net_volume_day foreign_net_ratio_day "
-    "signed_volume_x_imbalance price_to_vwap_x_relative_volume"
-).split()
-SCORES = (
-    "tick_coverage_10s tick_coverage_60s book_coverage_10s book_coverage_60s stale_tick_ms stale_book_ms stale_book_seconds trade_side_inferred_ratio "
-    "spread_invalid_flag outlier_flag book_reconstructed_flag duplicate_event_flag session_valid_flag auction_flag near_close_flag feature_confidence data_quality_score"
-).split()
+STATE = [
+    "event_us", "last_trade_price", "last_trade_volume", "last_trade_side", "cum_volume", "cum_trade_value",
+    "trade_count_intraday", "best_bid", "best_ask", "best_bid_size", "best_ask_size", "bid_depth_l1", "ask_depth_l1",
+    "bid_depth_l3", "ask_depth_l3", "bid_depth_l5", "ask_depth_l5", "mid_price", "spread", "spread_bps", "day_open",
+    "current_price", "day_high_so_far", "day_low_so_far", "vwap_intraday", "intraday_return_from_open",
+    "intraday_pos_in_range", "book_age_ms", "tick_age_ms", "used_reconstructed_depth_l5",
+    "missing_depth_level_count",
+]
+HYBRIDS = [
+    "price_to_ma20", "price_to_ma200", "gap_pct", "relative_volume_day", "distance_to_day_high",
+    "distance_to_day_low", "foreign_net_volume_day", "foreign_net_ratio_day", "signed_volume_x_imbalance",
+    "price_to_vwap_x_relative_volume",
+]
+SCORES = [
+    "tick_coverage_10s", "tick_coverage_60s", "book_coverage_10s", "book_coverage_60s", "stale_tick_ms",
+    "stale_book_ms", "stale_book_seconds", "trade_side_inferred_ratio", "spread_invalid_flag", "outlier_flag",
+    "book_reconstructed_flag", "duplicate_event_flag", "session_valid_flag", "auction_flag", "near_close_flag",
+    "feature_confidence", "data_quality_score",
+]
 
 
 def frames_with_memory(

@@ -11,9 +11,9 @@ from ..functions import exprs as X
 from ..operators import align, deep_book, features, normalize, rules
 from ..operators.normalize import DAILY_FIELDS
 from ..params import KEYS
-from ..sources import decode, readers, sinks
+from ..sources import decode, json_text, readers, sinks
 from ..staging import shared_path, written
-from ..streaming import incremental, manifests
+from ..streaming import incremental, live_feed, manifests
 from . import bindings as B
 from . import layer2, layer3, pipeline
 from . import oracle as O
@@ -162,7 +162,11 @@ def l2_files_to_deep_book(spark, sf_dir):
     return found.levels.select(*_MEMORY[1], *_MEMORY[0])
 
 
-_DAILY = "price_open price_high price_low price_close total_volume deal_volume putthrough_volume putthrough_value buy_foreign_quantity sell_foreign_quantity prop_net_deal_value prop_net_pt_value prop_net_value unit".split()
+_DAILY = [
+    "price_open", "price_high", "price_low", "price_close", "total_volume",
+    "deal_volume", "putthrough_volume", "putthrough_value", "buy_foreign_quantity", "sell_foreign_quantity",
+    "prop_net_deal_value", "prop_net_pt_value", "prop_net_value", "unit",
+]
 
 
 @query(O.sql(O.MARKET, "SELECT " + O.columns(_DAILY, ["symbol", "trading_date"]) + " FROM dly"))
@@ -219,14 +223,15 @@ def fn33_sort_prices(spark, sf_dir):
     return e.groupBy(*KEYS, "side").agg(F.collect_list(F.round("value", 2)).alias("p")).select(*KEYS, "side", X.sort_prices(F.col("p"), F.col("side")).alias("prices"))
 
 
-@query("""SELECT event_id, event_type, CAST(user_id AS BIGINT) AS user_id FROM events WHERE event_id % 20 = 0""")
+@query("""SELECT event_id, event_type, CAST(user_id AS BIGINT) AS user_id FROM events""")
 def src03_read_objects(spark, sf_dir):
-    """One object a file, read strictly.  The files are those of every twentieth event: a file each."""
+    """One object a file, read strictly: a file for each user with all of that user's events."""
     root = shared_path(spark, "objects")
-    e = B.table(spark, sf_dir, "events").filter("event_id % 20 = 0")
-    files = e.select(F.concat(F.col("event_id").cast("string"), F.lit(".json")).alias("path"), F.concat(F.lit("\ufeff"), F.to_json(F.struct("event_id", "event_type", "user_id"))).alias("value"))
+    users = B.table(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_list(F.struct("event_id", "event_type")).alias("events"))
+    files = users.select(F.concat(F.col("user_id").cast("string"), F.lit(".json")).alias("path"), F.concat(F.lit("\ufeff"), F.to_json(F.struct("user_id", "events"))).alias("value"))
     sinks.write_bundles(files, root).write.format("noop").mode("overwrite").save()
-    return readers.read_objects(spark, [root], "event_id long, event_type string, user_id long").drop("path")
+    found = readers.read_objects(spark, [root], "user_id long, events array<struct<event_id: long, event_type: string>>")
+    return found.select("user_id", F.explode("events").alias("x")).select("x.event_id", "x.event_type", "user_id")
 
 
 @query("""SELECT CAST(o_custkey AS VARCHAR) AS share_code, CAST(min(CAST(o_orderdate AS DATE)) AS VARCHAR) AS ipo_date FROM orders GROUP BY ALL""")
@@ -299,6 +304,44 @@ def src12_other_decoders(spark, sf_dir):
     return B.union(parts)
 
 
+@query(
+    O.sql(
+        O.MARKET,
+        """SELECT 'UpdateTrades' AS command, symbol, CAST(seq AS VARCHAR) AS key, CAST(k AS DOUBLE) AS price FROM ev WHERE event_type IN ('purchase', 'error', 'signup')
+        UNION ALL SELECT 'UpdateLastPrices', symbol, CAST(k AS VARCHAR), CAST(k + 1 AS DOUBLE) FROM ev WHERE event_type = 'view'""",
+    )
+)
+def snk01_src09_live_feed(spark, sf_dir):
+    """Frames of two commands as a stream in two runs, decoded, appended to the feed's files and read back from them."""
+    source, out, state = (shared_path(spark, f"live-{x}") for x in ("in", "out", "state"))
+    e = B.events(spark, sf_dir).filter("event_type in ('purchase', 'error', 'signup', 'view')")
+    text = lambda v: _packed_text(F.lit(v) if isinstance(v, str) else v)
+    at, none = text("2024-01-02T02:15:00+00:00"), F.unhex(F.lit("C0"))
+    trade = _packed_list(_packed_int(F.col("seq")), at, _packed_int(F.col("k")), _packed_int(F.lit(10)), text("B"), text("2024-01-02T00:00:00"))
+    price = _packed_list(text(F.col("symbol")), at, _packed_int(F.col("k") + 1), _packed_int(F.lit(5)), _packed_int(F.col("k")), *[none] * 5)
+    call = lambda command, body: _packed_list(_packed_int(F.lit(1)), text(command), body)
+    is_price = F.col("event_type") == "view"
+    frame = F.when(is_price, call("UpdateLastPrices", _packed_list(_packed_list(price)))).otherwise(call("UpdateTrades", _packed_list(text(F.col("symbol")), _packed_list(trade))))
+    frames = e.select("seq", frame.alias("frame"))
+    for part in ("seq % 3 <> 0", "seq % 3 = 0"):
+        frames.filter(part).select("frame").write.mode("append").parquet(source)
+        live_feed.append_feed(spark.readStream.schema("frame binary").parquet(source), out, state, seconds=None).awaitTermination()
+    trades, _ = readers.split_broken(readers.read_lines(spark, out, "updatetrades"))
+    prices, _ = readers.split_broken(readers.read_lines(spark, out, "updatelastprices"))
+    shown = lambda df, key, value: df.select("command", "symbol", F.col(key).cast("double").cast("long").cast("string").alias("key"), F.col(value).cast("double").alias("price"))
+    return shown(trades, "trade_id", "price").unionByName(shown(prices, "deal_volume", "last_price"))
+
+
+@query(O.sql({"ev": O.MARKET["ev"]}, "SELECT seq, CASE WHEN k % 3 = 0 THEN 2 ELSE 1 END AS good, CASE WHEN k % 3 = 2 THEN 0 WHEN k % 5 = 0 THEN 2 ELSE 1 END AS bad FROM ev"))
+def src02_broken_json_in_quarantine(spark, sf_dir):
+    """Texts of which some stretches are broken: the records around them are read, the stretches are kept."""
+    k = F.col("k")
+    third = F.when(k % 3 == 0, '\n{"k": 3}\n{"k": oops}').when(k % 3 == 1, '\n{"k": nope').otherwise("")
+    text = F.concat(F.when((k % 5 == 0) & (k % 3 != 2), '{"k" 1}\n').otherwise(""), F.lit('{"k": 2}'), third)
+    found = json_text.lenient_json(B.events(spark, sf_dir).select("seq", text.alias("text")), "text", "k long", broken=True)
+    return found.groupBy("seq").agg(F.count("k").alias("good"), F.count("broken_record").alias("bad"))
+
+
 # ---- run surface and sinks -------------------------------------------------------------------------------------
 
 

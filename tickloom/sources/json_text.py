@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,11 +11,16 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import udtf
 
 
-@udtf(returnType="pos int, record string")
+#: Where a broken text is taken up again: a line that begins with an object or an array.
+_NEXT = re.compile(r"\n(?=[\[{])")
+
+
+@udtf(returnType="pos int, record string, broken string")
 class SplitObjects:
     """One row for each JSON object of a text: its place among the text's objects and itself.
 
-    A byte-order mark is skipped, arrays are opened, what is no object is left out; broken text ends the list.
+    A byte-order mark is skipped, arrays are opened, what is no object is left out.  Broken text is a row of its own, up
+    to the next line that begins with an object or an array, where reading goes on.
     """
 
     def eval(self, text: str):
@@ -26,15 +32,26 @@ class SplitObjects:
             try:
                 value, at = decoder.raw_decode(text, at)
             except ValueError:
-                return
+                again = _NEXT.search(text, at)
+                end = again.end() if again else len(text)
+                yield None, None, text[at:end].rstrip()
+                at = end
+                continue
             for item in value if isinstance(value, list) else [value]:
                 if isinstance(item, dict):
-                    yield place, json.dumps(item)
+                    yield place, json.dumps(item), None
                     place += 1
 
 
-def lenient_json(texts: DataFrame, text: str, schema: T.StructType | str) -> DataFrame:
-    """The columns of ``texts`` but the text, with pos and the fields of each of its records."""
+def lenient_json(texts: DataFrame, text: str, schema: T.StructType | str, broken: bool = False) -> DataFrame:
+    """The columns of ``texts`` but the text, with pos and the fields of each of its records.
+
+    With ``broken`` what is no JSON comes as rows with its text as broken_record, for quarantine; else it is left out.
+    """
     rest = [c for c in texts.columns if c != text]
     split = texts.lateralJoin(SplitObjects(F.col(text).outer()))
-    return split.select(*rest, "pos", F.from_json("record", schema).alias("__r")).select(*rest, "pos", "__r.*")
+    if not broken:
+        split = split.filter("broken is null")
+    kept = [*rest, "pos", *(["broken_record"] if broken else [])]
+    found = split.withColumnRenamed("broken", "broken_record").withColumn("__r", F.from_json("record", schema))
+    return found.select(*kept, "__r.*")

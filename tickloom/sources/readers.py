@@ -39,18 +39,19 @@ def feed_paths(root: str, group: str, symbols: str | None = None) -> list[str]:
     return [f"{root.rstrip('/')}/{_glob(s) if s else '*'}/{_glob(group)}" for s in wanted or [""]]
 
 
-def _existing(reader: Callable[[str], DataFrame], paths: list[str]) -> DataFrame | None:
-    """What the reader finds at those patterns that match a folder; None if none does."""
-    out = None
-    for path in paths:
-        try:
-            part = reader(path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        out = part if out is None else out.unionByName(part)
-    return out
+def _existing(reader: Callable[[list[str]], DataFrame], paths: list[str]) -> DataFrame | None:
+    """What one reader finds at all patterns together; where some match no folder, at those that do; None if none does."""
+    try:
+        return reader(paths)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    if len(paths) == 1:
+        return None
+    # a symbol without a folder: its half is searched apart
+    half = len(paths) // 2
+    parts = [p for p in (_existing(reader, paths[:half]), _existing(reader, paths[half:])) if p is not None]
+    return None if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def _located(df: DataFrame, group: str, symbols: str | None) -> DataFrame:
@@ -75,18 +76,18 @@ def _empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], f"{rest}, path string, mtime timestamp, block long, row long, symbol string, file_date string")
 
 
-def read_lines(spark: SparkSession, root: str, group: str, symbols: str | None = None, broken: bool = False) -> DataFrame:
+def read_lines(spark: SparkSession, root: str, group: str, symbols: str | None = None, broken: bool = True) -> DataFrame:
     """One object a line: split, scalable, blank lines skipped.
 
-    Broken lines are left out, or with ``broken`` kept as the text broken_record, for quarantine (see split_broken).
+    Broken lines are kept as the text broken_record, for quarantine (see split_broken), or without ``broken`` left out.
     """
     schema, found = SCHEMAS[group], feed_paths(root, group, symbols)
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
     if not broken:
-        lines = _existing(lambda path: _located(reader.schema(schema).option("mode", "DROPMALFORMED").json(path), group, symbols), found)
+        lines = _existing(lambda some: _located(reader.schema(schema).option("mode", "DROPMALFORMED").json(some), group, symbols), found)
         return _empty(spark, schema) if lines is None else lines
     schema += ", broken_record string"
-    texts = _existing(lambda path: _located(reader.text(path), group, symbols), found)
+    texts = _existing(lambda some: _located(reader.text(some), group, symbols), found)
     if texts is None:
         return _empty(spark, schema)
     names = [n.strip().split(" ")[0].rstrip(":") for n in SCHEMAS[group].replace(_LEVELS, "x").split(",")]
@@ -100,13 +101,16 @@ def split_broken(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records.filter("broken_record is null").drop("broken_record"), records.filter("broken_record is not null").select("path", "symbol", "broken_record")
 
 
-def read_lenient(spark: SparkSession, root: str, group: str, symbols: str | None = None) -> DataFrame:
-    """Files of any JSON shape, each read as one text (files of a symbol's day are small)."""
+def read_lenient(spark: SparkSession, root: str, group: str, symbols: str | None = None, broken: bool = True) -> DataFrame:
+    """Files of any JSON shape, each read as one text (files of a symbol's day are small).
+
+    Broken stretches are kept as broken_record, for quarantine (see split_broken), or without ``broken`` left out.
+    """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-    found = _existing(lambda path: _located(reader.text(path, wholetext=True), group, symbols), feed_paths(root, group, symbols))
+    found = _existing(lambda some: _located(reader.text(some, wholetext=True), group, symbols), feed_paths(root, group, symbols))
     if found is None:
-        return _empty(spark, f"pos int, {SCHEMAS[group]}")
-    return lenient_json(found, "value", SCHEMAS[group].replace("symbol string, ", "", 1))
+        return _empty(spark, "pos int, " + ("broken_record string, " if broken else "") + SCHEMAS[group])
+    return lenient_json(found, "value", SCHEMAS[group].replace("symbol string, ", "", 1), broken)
 
 
 def read_objects(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
@@ -125,9 +129,12 @@ def read_days(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_universe(spark: SparkSession, path: str) -> DataFrame:
-    """share_code and ipo_date from lines ``code,date``; # starts a comment."""
-    raw = spark.read.option("comment", "#").schema("share_code string, ipo_date string").csv(path)
-    return raw.select(X.clean_symbol(F.col("share_code")).alias("share_code"), X.date_text(F.col("ipo_date")).alias("ipo_date")).filter("share_code <> 'UNKNOWN'")
+    """share_code and ipo_date from JSON objects, in an array or not, or from lines ``code,date`` (# starts a comment)."""
+    text = spark.read.text(path, wholetext=True).withColumn("is_json", F.ltrim(F.regexp_replace("value", "^\ufeff", "")).rlike(r"^[\[{]"))
+    objects = lenient_json(text.filter("is_json").select("value"), "value", "share_code string, ipo_date string").select("share_code", "ipo_date")
+    lines = text.filter("not is_json").select(F.explode(F.split("value", r"\r?\n")).alias("line")).select(F.split(F.trim("line"), r"\s*,\s*").alias("x"))
+    lines = lines.filter((F.size("x") >= 2) & ~F.col("x")[0].startswith("#")).select(F.col("x")[0].alias("share_code"), F.col("x")[1].alias("ipo_date"))
+    return objects.unionByName(lines).select(X.clean_symbol(F.col("share_code")).alias("share_code"), X.date_text(F.col("ipo_date")).alias("ipo_date")).filter("share_code <> 'UNKNOWN'")
 
 
 def fetch_months(universe: DataFrame, until: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -50,32 +50,29 @@ def remove_days(spark: SparkSession, path: str, gone: DataFrame) -> None:
         list(pool.map(_delete, (r.f for r in folders.toLocalIterator())))
 
 
-def stamped(records: DataFrame, command: Column | str) -> DataFrame:
-    """Records headed by the time of arrival, their command and the symbol, with the folders of the feed's layout."""
-    name = F.lit(command) if isinstance(command, str) else command
-    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()) + F.expr(f"INTERVAL {LOCAL_SHIFT_HOURS} HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    headed = records.withColumns({"ts": now, "command": name})
-    rest = [c for c in records.columns if c not in ("ts", "command", "symbol")]
-    folders = [F.lower(F.col("command")).alias("group"), F.substring("ts", 1, 4).alias("year"), F.substring("ts", 1, 10).alias("date")]
-    return headed.select("ts", "command", X.clean_symbol(F.col("symbol")).alias("symbol"), *rest, *folders)
+#: Lines of one file of a batch, about.
+FILE_LINES = 100_000
 
 
-def append_commands(records: DataFrame, root: str, checkpoint: str, command: Column | str = "Records", seconds: int | None = 5) -> StreamingQuery:
-    """Appends decoded records of any command as lines to root/SYMBOL/command/year/date-batch-part.json.
+def append_lines(records: DataFrame, root: str, command: str, batch: int) -> None:
+    """Writes a batch's records of one command as lines to root/SYMBOL/command/year/date-batch-part.json.
 
-    The place is that which the feed's readers look for.  A batch writes under names of its own, so a batch that is repeated
-    writes the same files again.
+    The place is that which the feed's readers look for, the time of arrival is local.  Files of one symbol beyond
+    ``FILE_LINES`` are several, so that no task gathers all lines of a busy one; a repeated batch replaces its files.
     """
-
-    def batch(rows: DataFrame, number: int) -> None:
-        lines = stamped(rows, command)
-        named = F.concat_ws("/", "symbol", "group", "year", F.concat("date", F.lit(f"-{number:09d}.json")))
-        body = F.to_json(F.struct(*[c for c in lines.columns if c not in ("group", "year", "date")]))
-        parts = lines.select(named.alias("path"), body.alias("value")).groupBy("path").agg(F.array_join(F.array_sort(F.collect_list("value")), "\n").alias("value"))
-        write_bundles(parts, root).write.format("noop").mode("overwrite").save()
-
-    writer = records.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-    return (writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)).start()
+    rows = records.count()
+    if not rows:
+        return
+    local = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()) + F.expr(f"INTERVAL {LOCAL_SHIFT_HOURS} HOURS")
+    head = {"ts": F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), "command": F.lit(command), "symbol": X.clean_symbol(F.col("symbol"))}
+    rest = [c for c in records.columns if c not in head]
+    lines = records.select(*[v.alias(k) for k, v in head.items()], *rest)
+    text = lines.select("symbol", "ts", F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    part = F.pmod(F.xxhash64("value"), F.lit(-(-rows // FILE_LINES)))
+    day = F.substring("ts", 1, 10)
+    path = F.concat_ws("/", "symbol", F.lit(command.lower()), F.substring("ts", 1, 4), F.concat(day, F.lit(f"-{batch:09d}-"), part.cast("string"), F.lit(".json")))
+    files = text.select(path.alias("path"), "value").groupBy("path").agg(F.array_join(F.array_sort(F.collect_list("value")), "\n").alias("value"))
+    write_bundles(files, root).write.format("noop").mode("overwrite").save()
 
 
 def append_stream(records: DataFrame, path: str, checkpoint: str, seconds: int | None = 5) -> StreamingQuery:
