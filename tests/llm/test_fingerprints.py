@@ -86,6 +86,13 @@ def test_null_and_repeated_ids_clashing_columns_and_one_document(spark):
     assert result(P.edits(df.limit(1))) == in_order(expected(rows[:1]))
 
 
+def test_short_texts_with_and_without_anchors(spark):
+    rng = random.Random(8)
+    rows = [(i, "".join(rng.choice("abcd ") for _ in range(rng.randint(0, 32)))) for i in range(300)]
+    assert sum(not plain_anchors(t) and len(t) > 15 for _, t in rows) > 3
+    assert result(P.edits(spark.createDataFrame(rows, "doc_id long, text string"))) == in_order(expected(rows))
+
+
 def test_long_texts_are_the_sum_of_their_segments(spark, monkeypatch):
     rng = random.Random(4)
     text = "".join(rng.choice("abcdefghij klmnop é") for _ in range(3000))

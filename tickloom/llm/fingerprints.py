@@ -168,25 +168,29 @@ def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     side = lambda e, before: smallest(F.filter(e, lambda x: (_place(x) < F.col("seam")) == before))
     parts = _segments(F.col("text"), lambda e: _let(e, lambda e: F.struct(side(e, True).alias("early"), side(e, False).alias("late"))))
     both = lambda p: F.concat(F.flatten(p["early"]), F.flatten(p["late"]))
-    merged = lambda p: F.struct(_closed(smallest(both(p)), F.col("text")).alias("all"), smallest(F.flatten(p["early"])).alias("early"))
-    rows = rows.withColumn("print", _let(parts, merged)).withColumns({"all": F.col("print.all"), "early": F.col("print.early")}).drop("print")
+    merged = lambda p: F.struct(smallest(both(p)).alias("all"), smallest(F.flatten(p["early"])).alias("early"))
+    # early entries that are among all of them need not travel twice
+    rest = F.array_except("print.early", "print.all")
+    rows = rows.withColumn("print", _let(parts, merged)).withColumns({"all": F.col("print.all"), "rest": rest}).drop("print")
     rows = with_next(rows, keyed, ["text", "all"])
     one = lambda text, found, times: F.struct(text.alias("text"), found.alias("all"), times.alias("times"))
-    following = one(F.col("next_text"), F.col("next_all"), F.lit(1).cast("long"))
-    itself = one(F.col("text"), F.col("all"), F.col("copies") - 1)
+    own = _closed(F.col("all"), F.col("text"))
+    following = one(F.col("next_text"), _closed(F.col("next_all"), F.col("next_text")), F.lit(1).cast("long"))
+    itself = one(F.col("text"), own, F.col("copies") - 1)
     rows = rows.withColumn("after", F.explode(F.when(F.col("copies") > 1, F.array(following, itself)).otherwise(F.array(following))))
     head = F.substring("after.text", F.lit(1), F.length("text") - F.col("stays"))
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("stays")), head))
     tail = F.substring("edited", F.col("seam") + 1, F.length("edited"))
+    early = F.filter("all", lambda x: _place(x) < F.col("seam"))
     late = F.flatten(_segments(tail, lambda e: smallest(F.transform(e, lambda x: x + F.col("seam")))))
-    rows = rows.withColumn("edited_print", _closed(smallest(F.concat("early", late)), F.col("edited")))
+    rows = rows.withColumn("edited_print", _closed(smallest(F.concat(early, "rest", late)), F.col("edited")))
     return rows.select(
         F.col("id").alias("doc_id"),
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        readable(F.col("all")).alias("fingerprint"),
+        readable(own).alias("fingerprint"),
         readable(F.col("edited_print")).alias("edited_fingerprint"),
-        likeness(F.col("all"), F.col("edited_print")).alias("near_edited"),
-        likeness(F.col("all"), F.col("after.all")).alias("near_next"),
+        likeness(own, F.col("edited_print")).alias("near_edited"),
+        likeness(own, F.col("after.all")).alias("near_next"),
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("after.times"))).alias("copy"),
     ).drop("copy")
