@@ -89,7 +89,7 @@ def test_null_and_repeated_ids_clashing_columns_and_one_document(spark):
 def test_short_texts_with_and_without_anchors(spark):
     rng = random.Random(8)
     rows = [(i, "".join(rng.choice("abcd ") for _ in range(rng.randint(0, 32)))) for i in range(300)]
-    assert sum(not plain_anchors(t) and len(t) > 15 for _, t in rows) > 3
+    assert sum(not plain_anchors(t) and len(t) >= P.K for _, t in rows) > 3
     assert result(P.edits(spark.createDataFrame(rows, "doc_id long, text string"))) == in_order(expected(rows))
 
 

@@ -38,6 +38,10 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def _named(**fields: Column) -> Column:
+    return F.named_struct(*[x for name, value in fields.items() for x in (F.lit(name), value)])
+
+
 def _entry(key: Column, place: Column) -> Column:
     return F.shiftleft(key.bitwiseAND(F.lit(0x7FFFFFFF)), 32).bitwiseOR(place.cast("long"))
 
@@ -113,7 +117,7 @@ def likeness(a: Column, b: Column) -> Column:
         order = _let(pairs, rising) / F.greatest(F.size(common), F.lit(1))
         return 2 * jaccard / (1 + jaccard) * order
 
-    return _let(F.struct(a.alias("a"), b.alias("b"), F.array_intersect(keys(a), keys(b)).alias("common")), scored)
+    return _let(_named(a=a, b=b, common=F.array_intersect(keys(a), keys(b))), scored)
 
 
 def _bucket(edges: Column, key: Column) -> Column:
@@ -166,14 +170,14 @@ def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     seam = F.greatest(F.lit(0), stays - K + 1).cast("int")
     rows = rows.withColumns({"stays": stays.cast("int"), "seam": seam})
     side = lambda e, before: smallest(F.filter(e, lambda x: (_place(x) < F.col("seam")) == before))
-    parts = _segments(F.col("text"), lambda e: _let(e, lambda e: F.struct(side(e, True).alias("early"), side(e, False).alias("late"))))
+    parts = _segments(F.col("text"), lambda e: _let(e, lambda e: _named(early=side(e, True), late=side(e, False))))
     both = lambda p: F.concat(F.flatten(p["early"]), F.flatten(p["late"]))
-    merged = lambda p: F.struct(smallest(both(p)).alias("all"), smallest(F.flatten(p["early"])).alias("early"))
+    merged = lambda p: _named(all=smallest(both(p)), early=smallest(F.flatten(p["early"])))
     # early entries that are among all of them need not travel twice
     rest = F.array_except("print.early", "print.all")
     rows = rows.withColumn("print", _let(parts, merged)).withColumns({"all": F.col("print.all"), "rest": rest}).drop("print")
     rows = with_next(rows, keyed, ["text", "all"])
-    one = lambda text, found, times: F.struct(text.alias("text"), found.alias("all"), times.alias("times"))
+    one = lambda text, found, times: _named(text=text, all=found, times=times)
     own = _closed(F.col("all"), F.col("text"))
     following = one(F.col("next_text"), _closed(F.col("next_all"), F.col("next_text")), F.lit(1).cast("long"))
     itself = one(F.col("text"), own, F.col("copies") - 1)
