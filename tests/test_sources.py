@@ -70,6 +70,45 @@ def test_broken_stretches_go_to_quarantine_and_reading_goes_on(spark, tmp_path):
     assert readers.read_lenient(spark, str(tmp_path), "updatetrades", "none").count() == 0
 
 
+@pytest.fixture()
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_split_files_give_the_records_of_whole_ones(spark, tmp_path, small_splits):
+    rows = [{"trade_id": str(i), "side": ["a{", "}b", 'c"{', "d\\"][i % 4], "bid_levels": [{"price": "1", "volume": str(i)}]} for i in range(40)]
+    shapes = {
+        "lines": "\n".join(map(json.dumps, rows)),
+        "array": json.dumps(rows),
+        "pretty": json.dumps(rows, indent=2),
+        "flush": json.dumps(rows, indent=0),
+        "printed": "\ufeff" + "".join(json.dumps(r, indent=4) + "\n" for r in rows),
+        "joined": "".join(json.dumps(r, indent=1) for r in rows),
+        "mixed": "[\n5,\n" + ",\n".join(json.dumps(r) for r in rows) + "\n]\n" + json.dumps(rows[0], indent=3).replace("\n", "\r\n"),
+        "empty": "",
+    }
+    for name, text in shapes.items():
+        put(tmp_path / name / "updatetrades" / "2024-01-02.json", text)
+    split = readers.read_lenient(spark, str(tmp_path), "updatetrades", whole=False)
+    found = {}
+    for r in sorted(split.collect(), key=lambda r: (r.symbol, r.block, r.row, r.pos)):
+        assert r.broken_record is None
+        found.setdefault(r.symbol, []).append((r.trade_id, r.side))
+    plain = [(r["trade_id"], r["side"]) for r in rows]
+    assert found == {n.upper(): plain + (plain[:1] if n == "mixed" else []) for n in shapes if n != "empty"}
+
+
+def test_split_files_keep_what_is_broken(spark, tmp_path, small_splits):
+    good = [json.dumps({"trade_id": str(i), "side": "x" * 50}, indent=1) for i in range(9)]
+    text = "\n".join([*good[:3], '{"trade_id": {', *good[3:6], '{"trade_id": oops}', *good[6:], '{"trade_id": "cut'])
+    put(tmp_path / "AAA" / "updatetrades" / "2024-01-02.json", text)
+    rows, bad = readers.split_broken(readers.read_lenient(spark, str(tmp_path), "updatetrades", whole=False))
+    assert [r.trade_id for r in sorted(rows.collect(), key=lambda r: (r.block, r.row, r.pos))] == [str(i) for i in range(9)]
+    assert sorted(r.broken_record for r in bad.collect()) == ['{"trade_id": "cut', '{"trade_id": oops}', '{"trade_id": {']
+
+
 def test_symbols_with_and_without_folders_in_one_read(spark, feed):
     rows = readers.read_lines(spark, feed, "updatetrades", "aaa,zzz,bbb,ccc", broken=False)
     assert sorted(r.symbol for r in rows.collect()) == ["AAA", "AAA", "BBB"]

@@ -223,6 +223,20 @@ def fn33_sort_prices(spark, sf_dir):
     return e.groupBy(*KEYS, "side").agg(F.collect_list(F.round("value", 2)).alias("p")).select(*KEYS, "side", X.sort_prices(F.col("p"), F.col("side")).alias("prices"))
 
 
+@query("""SELECT event_id, event_type, 'U' || CAST(user_id AS VARCHAR) AS symbol FROM events""")
+def src01_split_files(spark, sf_dir):
+    """Files that Spark may split anywhere: a user's events as an indented list, or printed one after another."""
+    root = shared_path(spark, "split-feed")
+    events = B.table(spark, sf_dir, "events").select("user_id", F.struct(F.col("event_id").alias("trade_id"), F.col("event_type").alias("side")).alias("x"))
+    users = events.groupBy("user_id").agg(F.collect_list("x").alias("x"))
+    printed = F.array_join(F.transform("x", lambda x: F.to_json(x, {"pretty": "true"})), "\n")
+    value = F.when(F.col("user_id") % 2 == 0, F.to_json("x", {"pretty": "true"})).otherwise(printed)
+    path = F.concat(F.lit("U"), F.col("user_id").cast("string"), F.lit("/updatetrades/2024-01-02.json"))
+    sinks.write_bundles(users.select(path.alias("path"), value.alias("value")), root).write.format("noop").mode("overwrite").save()
+    found, _ = readers.split_broken(readers.read_lenient(spark, root, "updatetrades", whole=False))
+    return found.select(F.col("trade_id").cast("long").alias("event_id"), F.col("side").alias("event_type"), "symbol")
+
+
 @query("""SELECT event_id, event_type, CAST(user_id AS BIGINT) AS user_id FROM events""")
 def src03_read_objects(spark, sf_dir):
     """One object a file, read strictly: a file for each user with all of that user's events."""

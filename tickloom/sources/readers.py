@@ -13,7 +13,7 @@ from ..functions import exprs as X
 from ..operators.intake import only_symbols
 from ..operators.normalize import DAILY_FIELDS
 from ..params import KEYS
-from .json_text import lenient_json
+from .json_text import lenient_json, stretches
 
 _LEVELS = "array<struct<price: string, volume: string>>"
 _HEAD = "ts string, command string, symbol string, event_time string"
@@ -101,16 +101,17 @@ def split_broken(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records.filter("broken_record is null").drop("broken_record"), records.filter("broken_record is not null").select("path", "symbol", "broken_record")
 
 
-def read_lenient(spark: SparkSession, root: str, group: str, symbols: str | None = None, broken: bool = True) -> DataFrame:
-    """Files of any JSON shape, each read as one text (files of a symbol's day are small).
+def read_lenient(spark: SparkSession, root: str, group: str, symbols: str | None = None, broken: bool = True, whole: bool = True) -> DataFrame:
+    """Files of any JSON shape, each read as one text, or without ``whole`` in as many splits as Spark makes of it.
 
-    Broken stretches are kept as broken_record, for quarantine (see split_broken), or without ``broken`` left out.
+    Broken stretches are kept as broken_record, for quarantine (see split_broken), or without ``broken`` left out.  A
+    record's place is pos among its file's objects; in split files (block, row, pos), of the line that it begins in.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-    found = _existing(lambda some: _located(reader.text(some, wholetext=True), group, symbols), feed_paths(root, group, symbols))
+    found = _existing(lambda some: _located(reader.text(some, wholetext=whole), group, symbols), feed_paths(root, group, symbols))
     if found is None:
         return _empty(spark, "pos int, " + ("broken_record string, " if broken else "") + SCHEMAS[group])
-    return lenient_json(found, "value", SCHEMAS[group].replace("symbol string, ", "", 1), broken)
+    return lenient_json(found if whole else stretches(found), "value", SCHEMAS[group].replace("symbol string, ", "", 1), broken)
 
 
 def read_objects(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
