@@ -7,7 +7,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.sources import decode, readers, sinks
+from tickloom.sources import decode, history, readers, sinks
 from tickloom.streaming import incremental
 
 DAY1, DAY2 = dt.date(2024, 1, 2), dt.date(2024, 1, 3)
@@ -135,6 +135,30 @@ def test_universe_and_its_months(spark, tmp_path):
     ]
 
 
+def test_history_opens_only_the_months_that_are_asked_for(spark, tmp_path):
+    for symbol, days in {"AAA": ["2024-01-25", "2024-01-31", "2024-02-01", "2024-03-09", "2024-03-11"], "B C": ["2024-03-05"]}.items():
+        for d in days:
+            put(tmp_path / symbol / "historical_price" / d[:4] / f"{d}.json", json.dumps({"date": f"{d}T00:00:00", "priceClose": 7, "symbol": "other"}))
+    put(tmp_path / "AAA/historical_price/2024/2024-02-02.json", "{broken")
+    put(tmp_path / "AAA/historical_price/2024/notes.json", "{}")
+    rows = [("AAA", "2024-01-30"), ("AAA", "2024-01-20"), ("B C", "2024-03-05"), ("none", "2024-03-01"), ("late", "2025-01-01"), ("x", None), (None, "2024-01-01")]
+    universe = spark.createDataFrame(rows, "share_code string, ipo_date string")
+    every = history.read_history(universe, f"file://{tmp_path}", "2024-03-10")
+    days = lambda df: sorted((r.symbol, str(r.trading_date)) for r in df.collect())
+    want = [("AAA", f"2024-{d}") for d in ("01-25", "01-31", "02-01", "02-02", "03-09")] + [("B C", "2024-03-05")]
+    assert days(every) == want and every.rdd.getNumPartitions() == 5
+    assert {r.priceClose for r in every.filter("broken_record is null").collect()} == {"7"}
+    assert [str(r.trading_date) for r in every.filter("broken_record is not null").collect()] == ["2024-02-02"]
+    some = history.read_history(universe.filter("share_code = 'AAA'"), f"file://{tmp_path}", "2024-02-01", "2024-01-28")
+    assert days(some) == want[1:3] and some.rdd.getNumPartitions() == 2
+    assert {(str(r.asked_first), str(r.asked_last)) for r in some.collect()} == {("2024-01-28", "2024-01-31"), ("2024-02-01", "2024-02-01")}
+    assert days(every.filter("symbol = 'AAA'")) == want[:5] and days(every) == want  # a filter leaves nothing behind
+    assert history.read_history(universe.filter("share_code = 'none'"), f"file://{tmp_path}", "2024-03-10").count() == 0
+    assert history.read_history(universe.limit(0), f"file://{tmp_path}", "2024-03-10").count() == 0
+    year = history.read_history(universe, f"file://{tmp_path}", "2024-03-10", span=12)
+    assert days(year) == want and year.rdd.getNumPartitions() == 3
+
+
 def test_frames_to_named_columns(spark):
     at = "2024-01-02T02:15:00+00:00"
     price = ["aaa", at, 10.5, 100, 1000, 9.5, None, 40, 0, 100]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import align
 from ..params import KEYS
-from ..sources import decode, json_text, readers
+from ..sources import decode, history, json_text, readers, sinks
 from ..staging import shared_path
 from ..streaming import incremental, memory_book
 from . import bindings as B
@@ -48,6 +48,21 @@ def src14_fetch_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.rounded(readers.fetch_months(universe, "1998-06-15"))
 
 
+def src14_history_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily files of each order priority read back by symbol and month: all of them, and one's days between bounds."""
+    root = shared_path(spark, "history")
+    bars = B.order_bars(spark, sf_dir)
+    date = F.col("date").cast("string")
+    path = F.concat_ws("/", "symbol", F.lit(history.GROUP), F.substring(date, 1, 4), F.concat(date, F.lit(".json")))
+    record = F.to_json(F.struct(F.concat(date, F.lit("T00:00:00")).alias("date"), "symbol", F.col("low").alias("priceLow"), F.col("volume").alias("totalVolume")))
+    sinks.write_bundles(bars.select(path.alias("path"), record.alias("value")), root).write.format("noop").mode("overwrite").save()
+    universe = bars.groupBy(F.col("symbol").alias("share_code")).agg(F.min("date").alias("ipo_date"))
+    every = history.read_history(universe, root, "1998-06-15")
+    some = history.read_history(universe.filter("share_code = '1-URGENT'"), root, "1996-02-20", "1995-03-10")
+    both = every.withColumn("bounded", F.lit(False)).unionByName(some.withColumn("bounded", F.lit(True)))
+    return B.rounded(both.select("bounded", "symbol", "trading_date", "asked_first", "asked_last", F.col("priceLow").cast("double").alias("low"), F.col("totalVolume").cast("double").alias("volume")))
+
+
 def _manifests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     e = B.events(spark, sf_dir).select(*KEYS, F.concat(F.lit("f"), (F.col("k") % 4).cast("string")).alias("path"), F.col("seq").alias("mtime"), F.col("k").alias("size"), "seq")
     return incremental.manifest(e.filter("seq % 50 <> 0")), incremental.manifest(e.filter("seq % 37 <> 0 and not (symbol = 'S3' and seq % 2 = 0 and trading_date < date'2024-01-03')"))
@@ -82,7 +97,7 @@ def sm07_memory_book_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (src01_lenient_json, src11_src13_decode_and_route, src14_fetch_months, sm02_dirty_days, snk03_sm03_removed_days, sm07_memory_book_stream)}
+    return {f.__name__: f for f in (src01_lenient_json, src11_src13_decode_and_route, src14_fetch_months, src14_history_source, sm02_dirty_days, snk03_sm03_removed_days, sm07_memory_book_stream)}
 
 
 _STREAM = (["price", "last_observed_volume", "max_observed_volume", "executed_volume_at_price", "wall_suspicion_score"], ["symbol", "trading_date", "frame_no", "side", "state", "reappeared_count", "stale_age_ms"])
@@ -99,6 +114,12 @@ def oracle_sql() -> dict[str, str]:
         "src14_fetch_months": """SELECT share_code, CAST(greatest(m, ipo_date) AS VARCHAR) AS first, CAST(least(last_day(m), DATE '1998-06-15') AS VARCHAR) AS last FROM (
             SELECT share_code, ipo_date, CAST(unnest(generate_series(date_trunc('month', ipo_date)::TIMESTAMP, TIMESTAMP '1998-06-01', INTERVAL 1 MONTH)) AS DATE) AS m
             FROM (SELECT o_custkey AS share_code, CAST(min(o_orderdate) AS DATE) AS ipo_date FROM orders GROUP BY ALL) WHERE ipo_date <= DATE '1998-06-15')""",
+        "src14_history_source": f"""WITH bars AS (SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS d, min(o_totalprice) AS low, CASE WHEN day(max(CAST(o_orderdate AS DATE))) <> 23 THEN count(*) * 100.0::DOUBLE END AS volume FROM orders GROUP BY ALL),
+            listed AS (SELECT symbol, min(d) AS ipo FROM bars GROUP BY ALL),
+            asked AS (SELECT *, false AS bounded, ipo AS a, DATE '1998-06-15' AS b FROM listed UNION ALL
+                SELECT *, true, greatest(ipo, DATE '1995-03-10'), DATE '1996-02-20' FROM listed WHERE symbol = '1-URGENT')
+            SELECT bounded, symbol, CAST(d AS VARCHAR) AS trading_date, CAST(greatest(a, CAST(date_trunc('month', d) AS DATE)) AS VARCHAR) AS asked_first,
+            CAST(least(b, last_day(d)) AS VARCHAR) AS asked_last, round(low, 6) + 0.0 AS low, volume FROM bars JOIN asked USING (symbol) WHERE d BETWEEN a AND b""",
         "sm02_dirty_days": O.sql(
             _FILES, "SELECT DISTINCT symbol, CAST(trading_date AS VARCHAR) AS trading_date FROM m0 FULL JOIN m1 USING (path, symbol, trading_date) WHERE m0.s IS DISTINCT FROM m1.s OR m0.m IS DISTINCT FROM m1.m"
         ),
