@@ -85,3 +85,19 @@ def test_blocks_of_items_nulls_repeats_and_clashes(spark, monkeypatch):
     assert any(x.startswith("(None") for x in one[0]) == any(x.startswith("(3,") for x in one[0])
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 600)
     assert (rows(), kept()) == one
+
+
+def test_removal_over_blocks_moves_a_hot_text_in_parts(spark, monkeypatch):
+    from tickloom.llm import decontaminate
+
+    docs, items = world()
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(d, t, i, [i]) for i, (d, t) in enumerate(docs)] + [(1000 + i, f"see {items[3][1]} here", i, None) for i in range(300)]
+    rows += [(2000 + i, "a clean text that many rows share", i % 2, None) for i in range(300)] + [(7, None, None, None)] * 20
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n long, other array<int>").repartition(5)
+    kept = lambda: sorted(map(repr, remove_contaminated(frame, bench).collect()))
+    whole = kept()
+    assert 320 < len(whole) < len(rows) - 300
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 600)
+    assert kept() == whole and remove_contaminated(frame, bench).columns == frame.columns
+    assert remove_contaminated(frame.limit(0), bench).count() == 0

@@ -12,7 +12,8 @@ An item too short for any edit is found where its own words stand whole, one aft
 
 The test items are a stated query set: they are taken in blocks of at most ``BLOCK_BYTES``, one after another, and a
 block's pieces go to all tasks.  With several blocks each one's result is written before the next block is read, so that
-driver and tasks hold one block, whatever the size of the set.
+driver and tasks hold one block, whatever the size of the set.  What a block leaves behind is matches, or, where documents
+are to go, SHA-256 digests of the texts that match: the documents themselves move once, after the last block.
 
 Defined results: null and empty texts contain nothing; null items and items whose normal form is empty match nothing;
 equal items with different ids all match; repeated documents match each for
@@ -21,6 +22,7 @@ itself; a null document id keeps its row; other columns are ignored; an empty ta
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import spread_join, written
 from .textbytes import LOWER, blocks
 
 ERROR_RATE = 0.06
@@ -207,17 +209,32 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, key
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """The documents that contain no item, with all their columns."""
     place = docs.columns.index(text)
-    out = docs
+    found = None
     for several, matcher in _matchers(benchmark, rate, item_key, item_text):
 
         def keep(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
-            found = matcher()
+            find = matcher()
             for batch in batches:
                 good = np.ones(batch.num_rows, dtype=bool)
                 for first, _, data, at in blocks(batch.column(place)):
-                    good[[first + r for r, _, _ in found(data, at)]] = False
+                    good[[first + r for r, _, _ in find(data, at)]] = False
                 yield batch.filter(pa.array(good))
 
-        out = out.mapInArrow(keep, docs.schema)
-        out = written(out, "clean") if several else out
-    return out
+        def digests(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
+            find = matcher()
+            for batch in batches:
+                out = []
+                for _, _, data, at in blocks(batch.column(0)):
+                    out += [hashlib.sha256(data[at[r] : at[r + 1]]).digest() for r in {r for r, _, _ in find(data, at)}]
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["__digest"])
+
+        if not several:
+            return docs.mapInArrow(keep, docs.schema)
+        part = written(docs.select(text).mapInArrow(digests, "__digest binary").groupBy("__digest").agg(F.count(F.lit(1)).alias("n")), "contaminated")
+        found = part if found is None else found.unionByName(part)
+    # a text that many rows share is in each block's count with all of them
+    texts = written(found.groupBy("__digest").agg(F.max("n").alias("n")), "contaminated")
+    rows = docs.withColumn("__digest", F.unhex(F.sha2(F.col(text).cast("binary"), 256)))
+    # rows of one text spread by their other columns
+    salt = F.xxhash64(*[c for c, kind in docs.dtypes if c != text and not kind.startswith(("map", "struct", "array", "variant"))], F.lit(0))
+    return spread_join(rows, texts, "__digest", salt, docs.count(), "left_anti").select(*docs.columns)
