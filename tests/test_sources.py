@@ -282,6 +282,40 @@ def test_a_failing_day_leaves_the_others(spark, tmp_path):
     assert [e[:2] for e in run.errors] == [("B", str(DAY2))] and {(r[0], r[1]) for r in read(spark, out)} == {("A", DAY1), ("A", DAY2), ("B", DAY1)}
 
 
+def test_errors_as_data_need_one_build(spark, tmp_path):
+    out = f"file://{tmp_path}/out"
+    rows = days(spark, [(s, d, i, float(i)) for s in "ABCDEFGH" for d in (DAY1, DAY2) for i in range(3)])
+    builds = []
+
+    def build(df, bad):
+        builds.append(1)
+        return df.withColumn("error", F.when(bad, F.concat(F.lit("bad "), F.col("v"))))
+
+    some = F.col("symbol").isin("B", "D", "F") & (F.col("trading_date") == DAY2) & (F.col("v") > 0)
+    run = incremental.run_once(rows, rows, lambda df: build(df, some), lambda df: sinks.replace_days(df, out))
+    assert run.counts() == {"dirty": 16, "built": 13, "removed": 0, "failed": 3} and run.rows == 48 and len(builds) == 1
+    assert sorted(run.errors) == [(s, str(DAY2), "bad 1.0") for s in "BDF"]
+    back = spark.read.parquet(out)
+    assert "error" not in back.columns and back.count() == 39
+    run = incremental.run_once(rows, rows, lambda df: build(df, F.lit(True)), lambda df: sinks.replace_days(df, out))
+    assert run.failed == 16 and run.built == 0 and spark.read.parquet(out).count() == 39
+
+
+def test_what_the_cluster_or_the_plan_raises_goes_through(spark):
+    rows = days(spark, [(s, DAY1, 0, 1.0) for s in "ABCD"])
+    tries = []
+
+    def full(_):
+        tries.append(1)
+        raise OSError("no space left on device")
+
+    with pytest.raises(OSError, match="no space"):
+        incremental.run_once(rows, rows, lambda df: df, full)
+    with pytest.raises(Exception, match="no_such_column"):
+        incremental.run_once(rows, rows, lambda df: df.select("no_such_column"), lambda df: tries.append(1))
+    assert tries == [1]
+
+
 def test_layer_2_reads_each_group_of_the_feed_once(spark, feed, monkeypatch):
     from tickloom.plans import layer2
 
