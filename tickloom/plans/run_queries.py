@@ -401,13 +401,13 @@ def sm06_run_once(spark, sf_dir):
 
 @query(
     O.sql(
-        {"ev": O.MARKET["ev"]} | {"d": "SELECT symbol, trading_date, count(*) AS n, sum(k) AS total, bool_or(k = 13) AS bad, bool_and(symbol = 'S3') AS gone FROM ev GROUP BY ALL"},
-        f"""SELECT symbol, {_DAY}, CASE WHEN bad THEN 'a record of 13' END AS error, CASE WHEN NOT bad THEN n END AS n, CASE WHEN NOT bad THEN total END AS total,
+        {"ev": O.MARKET["ev"]} | {"d": "SELECT symbol, trading_date, count(*) AS n, CAST(sum(k) AS BIGINT) AS total, bool_or(k = 13) AS bad, bool_and(symbol = 'S3') AS gone FROM ev GROUP BY ALL"},
+        f"""SELECT symbol, {_DAY}, CASE WHEN bad THEN 'a record of 13' END AS error, CASE WHEN bad THEN 0 ELSE n END AS n, CASE WHEN bad THEN 0 ELSE total END AS total,
         (SELECT count(*) || ',' || count(*) FILTER (NOT gone AND NOT bad) || ',' || count(*) FILTER (gone) || ',' || count(*) FILTER (NOT gone AND bad) FROM d) AS run FROM d WHERE NOT gone""",
     )
 )
 def sm06_errors_as_data(spark, sf_dir):
-    """Every day with its totals or its error, from one build of all days; days without records are removed."""
+    """Every day with its totals, or zeros and its error, from one build of all days; days without records are removed."""
     e = B.events(spark, sf_dir)
     out = shared_path(spark, "days")
 
@@ -417,8 +417,9 @@ def sm06_errors_as_data(spark, sf_dir):
 
     run = incremental.run_once(e.select(*KEYS), e.filter("symbol <> 'S3'"), build, lambda df: sinks.replace_days(df, out))
     failed = spark.createDataFrame(run.errors, "symbol string, trading_date string, error string").withColumn("trading_date", F.col("trading_date").cast("date"))
-    every = readers.read_days(spark, out).unionByName(failed, allowMissingColumns=True)
-    return every.withColumn("run", F.lit(",".join(str(n) for n in run.counts().values())))
+    # every day may have failed, and then no file tells the columns
+    every = spark.read.schema("n long, total long, symbol string, trading_date date").parquet(out).unionByName(failed, allowMissingColumns=True)
+    return every.fillna(0, ["n", "total"]).withColumn("run", F.lit(",".join(str(n) for n in run.counts().values())))
 
 
 @query(O.sql({"ev": O.MARKET["ev"]}, f"SELECT symbol, {_DAY}, count(*) AS n, sum(k) AS total FROM ev GROUP BY ALL"))
