@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tickloom.llm import packing, tokenfiles
+from tickloom.llm import packing, tokenfiles, tokens
 from tickloom.llm.textbytes import blocks
 from tickloom.llm.tokens import END_ID, Encoder
 
@@ -152,3 +152,11 @@ def test_an_id_on_many_rows_spreads_over_parts(spark, tmp_path):
     got = sorted(tokenfiles.digests(spark, folder).collect(), key=lambda r: r.start)
     want = sorted(rows, key=lambda r: (r[0] is not None, r[1]))
     assert [(r.doc_id, r.n_tokens) for r in got] == [(k, len(plain(t))) for k, t in want]
+
+
+def test_an_idle_worker_keeps_no_encoder():
+    """Spark keeps idle Python workers; a task of the packing leaves none of its encoder in them."""
+    batch = pa.record_batch({"doc_id": [1, 2], "text": ["some words", None]})
+    (got,) = packing._pieces(iter([batch]), VOCABULARY, 1024)
+    assert got.column("length").to_pylist() == [len(plain("some words")), 1]
+    assert tokens.encoder.cache_info().currsize == 0

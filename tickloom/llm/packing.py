@@ -13,6 +13,8 @@ null id keeps its row; other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import gapless, written
-from .textbytes import blocks
+from .textbytes import blocks, release_memory
 from .tokens import BLOCK_BYTES, encoder
 
 CAPACITY = 1024
@@ -115,10 +117,10 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, min(n, head))] + [(s, capacity) for s in range(head, n, capacity)]
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) of every document."""
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, capacity: int) -> Iterator[pa.RecordBatch]:
+    # an executor's tasks take its cores; the library's threads would only add to a worker's memory
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    try:
         coder = encoder(vocabulary)
         for batch in batches:
             rows: list[tuple[int, int, int, int, int]] = []
@@ -131,8 +133,17 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, key: str
             row, k, start, length, crc = np.array(rows, dtype=np.int64).reshape(-1, 5).T
             columns = [batch.column(0).take(pa.array(row)), pa.array(k.astype(np.int32)), *map(pa.array, (start, length, crc))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+    finally:
+        # Spark keeps idle workers and takes them in turn, so each would hold an encoder
+        coder = batch = data = ids = raw = rows = None  # noqa: F841
+        encoder.cache_clear()
+        release_memory()
 
+
+def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32) of every document."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    encode = functools.partial(_pieces, vocabulary=vocabulary, capacity=capacity)
     return rows.mapInArrow(encode, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
