@@ -77,3 +77,16 @@ def test_texts_of_one_hash_stay_apart(spark):
     df = spark.createDataFrame(rows, DOCS)
     assert df.selectExpr("xxhash64(text) AS h").distinct().count() == 1
     assert len(check(spark, rows)[1]) == 2
+
+
+def test_links_between_many_texts_that_share_their_keys(spark):
+    """300 texts share most of their shingles without being near copies; of these, 30 pairs are."""
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(900)}" for _ in range(400)]
+    own = lambda n: [f"x{rng.randrange(10**9)}" for _ in range(n)]
+    texts = [base + own(52) for _ in range(240)]
+    for _ in range(30):
+        tail = own(5)
+        texts += [base + tail + own(47) for _ in range(2)]
+    near, got = check(spark, [(i, " ".join(x), "en", "s", 0) for i, x in enumerate(texts)])
+    assert len(near) == 30 and len(got) == 270
