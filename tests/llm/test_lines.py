@@ -1,6 +1,10 @@
 import re
 
-from tickloom.llm.lines import _within_one, dedup_lines
+import numpy as np
+import pyarrow as pa
+
+from tickloom.llm.lines import _Lines, _within_one, dedup_lines
+from tickloom.llm.textbytes import blocks
 
 from .conftest import twins
 
@@ -97,3 +101,11 @@ def test_distance_on_words():
 
     words = [list(x) for n in range(4) for x in itertools.product(b"ab", repeat=n)]
     assert all(_within_one(a, b) == (distance(a, b) <= 1) for a in words for b in words)
+
+
+def test_words_of_one_line_without_those_of_the_others():
+    texts = ["red  green\x0bblue\x1cx\n\t\né y \r z", "", "last\x0cline"]
+    (here,) = [_Lines(first, data, at) for first, _, data, at in blocks(pa.array(texts))]
+    found = [b" ".join(here.line(i)) for i in range(len(here))]
+    assert "spans" not in vars(here)
+    assert found == here.texts(np.arange(len(here)))

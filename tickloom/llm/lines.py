@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import units
-from .textbytes import KEY, WordSums, digests, find_words, mix, single_spaced, word_keys
+from .textbytes import KEY, Words, WordSums, digests, find_words, mix, single_spaced, word_keys
 
 EXACT, HALF, VARIANT, WORDS = 0, 1, 2, 3
 NO_LINE = np.uint64(0)
@@ -61,9 +61,29 @@ class _Lines:
         self.document = first + self.row
         begin = np.searchsorted(self.row, self.row)
         self.number = np.arange(len(self.row)) - begin
-        self.spans = find_words(data, np.append(self.start, len(data)))
-        self.first, self.stop = self.spans.first[:-1], self.spans.first[1:]
-        self.words = self.stop - self.first
+
+    def __len__(self) -> int:
+        return len(self.start)
+
+    @functools.cached_property
+    def spans(self) -> Words:
+        return find_words(self.data, np.append(self.start, len(self.data)))
+
+    @property
+    def first(self) -> np.ndarray:
+        return self.spans.first[:-1]
+
+    @property
+    def stop(self) -> np.ndarray:
+        return self.spans.first[1:]
+
+    @functools.cached_property
+    def words(self) -> np.ndarray:
+        return self.stop - self.first
+
+    def line(self, i: int) -> list[bytes]:
+        """The words of one line, without those of the others; bytes.split parts at the same six bytes as find_words."""
+        return self.data[self.start[i] : self.end[i]].tobytes().split()
 
     @functools.cached_property
     def sums(self) -> WordSums:
@@ -106,7 +126,7 @@ def _joined(parts: list[np.ndarray], dtype) -> np.ndarray:
 
 
 def _bounds(here: list[_Lines]) -> np.ndarray:
-    return np.cumsum([0, *[len(x.words) for x in here]])
+    return np.cumsum([0, *map(len, here)])
 
 
 def _within_one(a: list[bytes], b: list[bytes]) -> bool:
@@ -250,7 +270,7 @@ def _send_words(table, replies):
         part = asked[asked["unit"] == unit]
         lines, text = np.unique(part["line"], return_inverse=True)
         block = np.searchsorted(bounds, lines, side="right") - 1
-        texts = [here[b].texts(np.array([i]) - bounds[b])[0] for b, i in zip(block.tolist(), lines.tolist())]
+        texts = [b" ".join(here[b].line(i)) for b, i in zip(block.tolist(), (lines - bounds[block]).tolist())]
         pairs = np.zeros(len(part), dtype=_PAIR)
         pairs["line"], pairs["text"] = part["other"], text
         values.append(len(pairs).to_bytes(8, "little") + pairs.tobytes() + b"\n".join(texts))
@@ -266,7 +286,7 @@ def _near(here: list[_Lines], replies: pa.Table) -> np.ndarray:
         texts = [x.split(b" ") for x in value[8 + n * _PAIR.itemsize :].split(b"\n")]
         block = np.searchsorted(bounds, pairs["line"], side="right") - 1
         for b, line, text in zip(block.tolist(), pairs["line"].tolist(), pairs["text"].tolist()):
-            if _within_one(here[b].texts(np.array([line - bounds[b]]))[0].split(b" "), texts[text]):
+            if _within_one(here[b].line(line - bounds[b]), texts[text]):
                 out.append(line)
     return np.array(out, dtype=np.int64)
 
