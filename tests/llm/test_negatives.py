@@ -1,7 +1,9 @@
 import math
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,3 +97,34 @@ def test_bounds_hold_and_discard():
     found = {(i, j): s for a, b, c in pairs for i, j, s in zip(a.tolist(), b.tolist(), c.tolist())}
     assert all(found[i, j] == exact[i, j] for i in range(400) for j in np.flatnonzero(exact[i] >= need[i]).tolist())
     assert len(found) < 400 * 400 / 4
+
+
+def test_memory_is_bounded_where_most_rows_fit_the_windows():
+    rng = np.random.default_rng(2)
+    n, d = 1500, 64
+    v = (0.5 + 0.5 * rng.random((n, 1))) * (rng.normal(size=d) + 0.1 * rng.normal(size=(n, d)))
+    label = rng.integers(0, 3, n)
+    table = pa.table({"id": np.arange(n), "label": pa.array([str(c) for c in label]), "v": pa.array(v.tolist(), pa.list_(pa.float64())), "row": np.arange(n)})
+    whole = np.floor(256 * v)
+    block, scores = N.Block(table, {d: N.axes(whole / 256)}), (whole @ whole.T).astype(np.int64)
+    same = np.where((label[:, None] == label) & ~np.eye(n, dtype=bool), scores, -1)
+    chosen = np.ma.array(-np.sort(-same, axis=1)[:, :2])
+    tracemalloc.start()
+    best = block.negatives(iter(table.to_batches()), chosen, 3, 30, 90)
+    best.settle()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 250e6
+    group, score, ids, _ = best.kept
+    for a in range(0, n, 100):
+        for p in range(2):
+            fit = np.flatnonzero((label != label[a]) & (30 * chosen[a, p] <= 100 * scores[a]) & (100 * scores[a] <= 90 * chosen[a, p]))
+            fit = fit[np.lexsort((fit, -scores[a][fit]))][:3]
+            assert len(fit) and fit.tolist() == ids[group == 2 * a + p].tolist() and scores[a][fit].tolist() == score[group == 2 * a + p].tolist()
+
+
+def test_any_row_of_an_id_makes_it_an_anchor(spark):
+    rows = [r[:3] + ("no",) for r in clustered(60)]
+    more = rows + [(7, None, 1, "yes"), (8, rows[8][1], rows[8][2], "yes"), rows[9]]
+    got = N.hard_negatives(spark.createDataFrame(more, SCHEMA), F.col("rank") == "yes", positives=2, negatives=3).collect()
+    assert sorted(map(tuple, got)) == [r for r in plain(rows, every=1, positives=2, negatives=3) if r[0] in (7, 8)] != []
