@@ -337,3 +337,33 @@ def test_buckets_spare_the_exchange(spark):
     rows = spark.range(100).select(F.concat(F.lit("S"), (F.col("id") % 7).cast("string")).alias("symbol"), F.to_date(F.lit("2024-01-02")).alias("trading_date"), "id")
     df = bucketed(rows, "rows", ("id",)).withColumn("n", F.row_number().over(Window.partitionBy("symbol", "trading_date").orderBy("id")))
     assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString() and df.filter("n = 1").count() == 7
+
+
+def test_many_failing_days_are_found_without_writing(spark, tmp_path):
+    out = f"file://{tmp_path}/out"
+    rows = days(spark, [(s, d, i, float(i)) for s in "ABCDEFGHIJKLMNOPQR" for d in (DAY1, DAY2) for i in range(3)])
+    raised = lambda c, bad: F.when(bad, F.raise_error(F.concat(F.lit("bad "), F.col("symbol")))).otherwise(c)
+    good, writes = (F.col("symbol") == "B") & (F.col("trading_date") == DAY2), []
+
+    def write(df):
+        writes.append(1)
+        sinks.replace_days(df, out)
+
+    run = incremental.run_once(rows, rows, lambda df: df.withColumn("v", raised(F.col("v"), ~good)), write)
+    assert run.counts() == {"dirty": 36, "built": 1, "removed": 0, "failed": 35} and len(writes) == 2
+    assert sorted((e[0], e[1]) for e in run.errors) == sorted((s, str(d)) for s in "ABCDEFGHIJKLMNOPQR" for d in (DAY1, DAY2) if (s, d) != ("B", DAY2))
+    assert all(f"bad {e[0]}" in e[2] for e in run.errors) and {(r[0], r[1]) for r in read(spark, out)} == {("B", DAY2)}
+    # a few of many days, records that raise themselves, and what only writing raises
+    few = F.col("symbol").isin("C", "Q") & (F.col("trading_date") == DAY1)
+    cases = [(rows, lambda df: df.withColumn("v", raised(F.col("v"), few)), write), (rows.withColumn("v", raised(F.col("v"), few)), lambda df: df, write)]
+    for records, build, put in [*cases, (rows, lambda df: df, lambda df: write(df.withColumn("v", raised(F.col("v"), few))))]:
+        run = incremental.run_once(rows, records, build, put)
+        assert run.counts() == {"dirty": 36, "built": 34, "removed": 0, "failed": 2} and sorted(e[:2] for e in run.errors) == [(s, str(DAY1)) for s in "CQ"]
+
+
+def test_days_without_a_symbol_are_tried_too(spark, tmp_path):
+    rows = days(spark, [(s, DAY1, i, float(i)) for s in ("", "A", "B=%/") for i in range(3)])
+    seen = []
+    build = lambda df: df.withColumn("v", F.when(F.col("symbol") != "A", F.raise_error(F.lit("bad"))).otherwise(F.col("v")))
+    run = incremental.run_once(rows, rows, build, lambda df: seen.append([r.symbol for r in df.collect()]))
+    assert sorted(e[0] for e in run.errors) == ["", "B=%/"] and run.built == 1 and seen == [["A"] * 3]
